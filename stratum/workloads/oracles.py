@@ -238,7 +238,7 @@ def _schema_test_rules() -> str:
 
     daily = f"({_daily_from_ctes()})"
     tables = [
-        ("raw_transactions", "raw_fct",
+        ("fct_transactions", "raw_fct",
          [no_repeat("transaction_id"), not_null("transaction_id"), not_null("customer_id"),
           not_null("amount_usd")]),
         ("dim_customer", "dim", [not_null("customer_id"), not_null("is_current")]),
@@ -295,12 +295,12 @@ FROM events""",
 SELECT transaction_id, customer_id, amount, CAST(transaction_ts AS VARCHAR) AS transaction_ts,
        amount_usd, transaction_date, transaction_hour FROM fct""",
         "silver_customer": f"WITH {SNAPSHOTS} SELECT {frame_columns} FROM dim",
-        "scd2_framing": f"""WITH {SNAPSHOTS}
+        "scd2_frame": f"""WITH {SNAPSHOTS}
 SELECT {customer_columns}, DATE '{AS_OF}' AS effective_from, DATE '9999-12-31' AS effective_to,
        true AS is_current FROM v1""",
-        "scd2_merge_full": f"WITH {_history(True)} SELECT {frame_columns} FROM history",
+        "scd2_merge": f"WITH {_history(True)} SELECT {frame_columns} FROM history",
         "scd2_merge_incremental": f"WITH {_history(False)} SELECT {frame_columns} FROM history",
-        "point_in_time_lookup": f"""WITH {_history(True)}
+        "point_in_time_join": f"""WITH {_history(True)}
 SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id,
        CAST(o_orderdate AS DATE) AS o_orderdate, h.segment, h.region
 FROM orders LEFT JOIN history h
@@ -345,28 +345,28 @@ SELECT d.customer_id, segment, region, signup_date, lifetime_value, lifetime_tra
        date_diff('day', signup_date, DATE '{AS_OF}') AS tenure_days,
        {_tier('lifetime_spend')} AS customer_tier
 FROM dim d LEFT JOIN summary s ON d.customer_id = s.customer_id""",
-        "customer_value_tier": f"""
+        "value_tier": f"""
 WITH spend AS (
   SELECT o_custkey, CAST(sum(CAST(8 * l_quantity AS BIGINT)) AS BIGINT) AS spend
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)
 SELECT o_custkey, spend, {_tier('spend')} AS value_tier FROM spend""",
-        "customer_engagement_status": f"""
+        "engagement_status": f"""
 WITH last AS (
   SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS last_purchase_date FROM orders GROUP BY o_custkey)
 SELECT o_custkey, last_purchase_date, {_engagement('last_purchase_date')} AS engagement_status
 FROM last""",
-        "safe_division": """
+        "safe_divide": """
 WITH balances AS (
   SELECT o_orderkey, o_totalprice,
          CASE WHEN o_custkey % 10 = 0 THEN 0.0 WHEN o_custkey % 10 <> 1 THEN c_acctbal END AS balance
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
 SELECT o_orderkey, CASE WHEN balance <> 0 THEN round(o_totalprice / balance, 6) END AS ratio
 FROM balances""",
-        "surrogate_keys": """SELECT o_orderkey, md5(
+        "surrogate_key": """SELECT o_orderkey, md5(
   coalesce(CASE WHEN o_custkey % 10 <> 0 THEN CAST(o_custkey AS VARCHAR) END, '_null_')
   || '-' || coalesce(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), '_null_')) AS order_sk
 FROM orders""",
-        "cents_conversion": """SELECT p_partkey,
+        "cents_to_dollars": """SELECT p_partkey,
        CAST(round(p_retailprice * 100) AS BIGINT) / 100.0::DOUBLE AS dollars FROM part""",
         "json_flatten": """SELECT event_id, event_type,
        CAST(json_extract_string(props, '$.k') AS BIGINT) AS "props.k" FROM events""",
@@ -377,7 +377,7 @@ FROM orders""",
        CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS BIGINT) END AS p_size, p_retailprice
 FROM part""",
         "scan_json": "SELECT event_id, user_id, event_type, value, props FROM events",
-        "incremental_orders": f"""SELECT o_orderkey, o_custkey, o_totalprice,
+        "incremental_extract": f"""SELECT o_orderkey, o_custkey, o_totalprice,
        CAST(o_orderdate AS DATE) AS updated_at
 FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{AS_OF}' - INTERVAL 30 DAY""",
         "bronze_stamp": f"""SELECT p_partkey, '{AS_OF} 06:00:00' AS _ingested_at,
@@ -397,7 +397,7 @@ UNION ALL SELECT 'web_events', (SELECT count(*) FROM events), 'success'
 UNION ALL SELECT 'customer_master', 0, 'failed'""",
         "retention_filter": f"""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ingest_date
 FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '{AS_OF}' - INTERVAL 90 DAY""",
-        "union_of_parts": """SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS c_mktsegment FROM customer
+        "union_by_name": """SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS c_mktsegment FROM customer
 UNION ALL SELECT c_custkey, NULL, NULL, c_mktsegment FROM customer""",
         "dq_transactions": f"WITH {SILVER},{RAW_FCT} {_both_transaction_tables()}",
         "dq_customer_360": f"""WITH {_c360_ctes(SILVER, 'fct')},

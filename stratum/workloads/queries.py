@@ -57,9 +57,12 @@ CUSTOMER_COLUMNS = ("segment", "region", "signup_date", "lifetime_value")
 _QUERIES: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+def query(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        _QUERIES[name] = function
+        return function
+
+    return register
 
 
 def all_queries() -> dict[str, Query]:
@@ -118,7 +121,7 @@ def _as(kind: str, *names: str) -> list:
 # Silver -----------------------------------------------------------------------------------------
 
 
-@query
+@query("silver_cast")
 def silver_cast(spark, sf_dir):
     bronze = bronze_transactions(spark, sf_dir).withColumn(
         "transaction_ts",
@@ -129,7 +132,7 @@ def silver_cast(spark, sf_dir):
     )
 
 
-@query
+@query("silver_filter")
 def silver_filter(spark, sf_dir):
     typed = silver.cast_transactions(bronze_transactions(spark, sf_dir))
     return silver.keep_valid_transactions(typed).select(
@@ -137,7 +140,7 @@ def silver_filter(spark, sf_dir):
     )
 
 
-@query
+@query("dedupe_latest")
 def dedupe_latest(spark, sf_dir):
     latest = latest_per_key(
         bronze_transactions(spark, sf_dir), ["transaction_id"], ["_ingested_at"], ["tie_break"]
@@ -147,7 +150,7 @@ def dedupe_latest(spark, sf_dir):
     )
 
 
-@query
+@query("silver_enrich")
 def silver_enrich(spark, sf_dir):
     enriched = silver.enrich_transactions(table(spark, sf_dir, "events"), "value", "ts")
     return enriched.select(
@@ -155,7 +158,7 @@ def silver_enrich(spark, sf_dir):
     )
 
 
-@query
+@query("silver_transactions")
 def silver_transactions(spark, sf_dir):
     return _silver(spark, sf_dir).select(
         "transaction_id",
@@ -168,7 +171,7 @@ def silver_transactions(spark, sf_dir):
     )
 
 
-@query
+@query("silver_customer")
 def silver_customer(spark, sf_dir):
     return _customers(spark, sf_dir).select(
         "customer_id", *CUSTOMER_COLUMNS, "effective_from", "effective_to", "is_current"
@@ -178,22 +181,22 @@ def silver_customer(spark, sf_dir):
 # Slowly changing dimension ----------------------------------------------------------------------
 
 
-@query
+@query("scd2_frame")
 def scd2_framing(spark, sf_dir):
     return scd2_frame(customer_snapshot(spark, sf_dir, 1), AS_OF)
 
 
-@query
+@query("scd2_merge")
 def scd2_merge_full(spark, sf_dir):
     return _history(spark, sf_dir, full_snapshot=True)
 
 
-@query
+@query("scd2_merge_incremental")
 def scd2_merge_incremental(spark, sf_dir):
     return _history(spark, sf_dir, full_snapshot=False)
 
 
-@query
+@query("point_in_time_join")
 def point_in_time_lookup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer_id"), "o_orderdate"
@@ -209,7 +212,7 @@ def point_in_time_lookup(spark, sf_dir):
 # Staging, intermediate, marts -------------------------------------------------------------------
 
 
-@query
+@query("stg_transactions")
 def stg_transactions(spark, sf_dir):
     staged, _ = _staged(spark, sf_dir)
     return staged.select(
@@ -222,7 +225,7 @@ def stg_transactions(spark, sf_dir):
     )
 
 
-@query
+@query("stg_customers")
 def stg_customers(spark, sf_dir):
     _, customers = _staged(spark, sf_dir)
     return customers.withColumns(
@@ -230,7 +233,7 @@ def stg_customers(spark, sf_dir):
     )
 
 
-@query
+@query("transactions_enriched")
 def transactions_enriched(spark, sf_dir):
     return marts.transactions_enriched(*_staged(spark, sf_dir)).select(
         "transaction_id",
@@ -262,14 +265,14 @@ def _daily(frame):
     )
 
 
-@query
+@query("daily_revenue")
 def daily_revenue(spark, sf_dir):
     """Silver holds each transaction_id once, so the mart need not count distinct ids."""
     staged = _staged(spark, sf_dir, _clean_silver)
     return _daily(marts.daily_revenue(*staged, unique_transactions=True))
 
 
-@query
+@query("daily_revenue_distinct")
 def daily_revenue_distinct(spark, sf_dir):
     """The same mart over repeated ids."""
     return _daily(marts.daily_revenue(*_staged(spark, sf_dir, _undeduped)))
@@ -296,12 +299,12 @@ def _customer_360(spark, sf_dir):
     return marts.customer_360(*_staged(spark, sf_dir), as_of=AS_OF, unique_transactions=True)
 
 
-@query
+@query("customer_360")
 def customer_360(spark, sf_dir):
     return _c360(_customer_360(spark, sf_dir))
 
 
-@query
+@query("customer_360_distinct")
 def customer_360_distinct(spark, sf_dir):
     """The same mart over repeated ids."""
     return _c360(marts.customer_360(*_staged(spark, sf_dir, _undeduped), as_of=AS_OF))
@@ -310,14 +313,14 @@ def customer_360_distinct(spark, sf_dir):
 # Gold -------------------------------------------------------------------------------------------
 
 
-@query
+@query("revenue_by_segment")
 def revenue_by_segment(spark, sf_dir):
     return gold.revenue_by_segment(_clean_silver(spark, sf_dir), _customers(spark, sf_dir)).drop(
         "_processed_at"
     )
 
 
-@query
+@query("revenue_by_segment_all_versions")
 def revenue_by_segment_all_versions(spark, sf_dir):
     """Joined to every version in the history, so a changed customer counts once per version."""
     return gold.revenue_by_segment(
@@ -325,12 +328,12 @@ def revenue_by_segment_all_versions(spark, sf_dir):
     ).drop("_processed_at")
 
 
-@query
+@query("customer_txn_summary")
 def customer_txn_summary(spark, sf_dir):
     return gold.customer_summary(_silver(spark, sf_dir))
 
 
-@query
+@query("customer_ltv")
 def customer_ltv(spark, sf_dir):
     recent = _silver(spark, sf_dir).filter(F.col("transaction_date") >= F.lit(LTV_START).cast("date"))
     ltv = gold.customer_ltv(recent, _customers(spark, sf_dir), as_of=AS_OF)
@@ -349,7 +352,7 @@ def customer_ltv(spark, sf_dir):
 # Scalar expressions -----------------------------------------------------------------------------
 
 
-@query
+@query("value_tier")
 def customer_value_tier(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -361,7 +364,7 @@ def customer_value_tier(spark, sf_dir):
     return spend.select("o_custkey", "spend", value_tier(F.col("spend")).alias("value_tier"))
 
 
-@query
+@query("engagement_status")
 def customer_engagement_status(spark, sf_dir):
     last = (
         table(spark, sf_dir, "orders")
@@ -375,7 +378,7 @@ def customer_engagement_status(spark, sf_dir):
     )
 
 
-@query
+@query("safe_divide")
 def safe_division(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
@@ -389,7 +392,7 @@ def safe_division(spark, sf_dir):
     )
 
 
-@query
+@query("surrogate_key")
 def surrogate_keys(spark, sf_dir):
     customer = F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey"))
     return table(spark, sf_dir, "orders").select(
@@ -397,7 +400,7 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
-@query
+@query("cents_to_dollars")
 def cents_conversion(spark, sf_dir):
     in_cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
     return table(spark, sf_dir, "part").select(
@@ -408,13 +411,13 @@ def cents_conversion(spark, sf_dir):
 # Sources ----------------------------------------------------------------------------------------
 
 
-@query
+@query("json_flatten")
 def json_flatten(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     return parse_and_flatten(events, "props", "k bigint")
 
 
-@query
+@query("api_unwrap")
 def api_unwrap(spark, sf_dir):
     schema = (
         "p_partkey bigint, spec struct<p_brand: string, p_type: string>, p_size bigint,"
@@ -423,7 +426,7 @@ def api_unwrap(spark, sf_dir):
     return flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload", schema))
 
 
-@query
+@query("api_unwrap_inferred")
 def api_unwrap_inferred(spark, sf_dir):
     flat = flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload"))
     return flat.select("p_partkey", "p_size", "p_retailprice", "`spec.p_brand`", "`spec.p_type`")
@@ -447,14 +450,14 @@ def _write_event_json(spark, sf_dir, path):
     table(spark, sf_dir, "events").select(*names).write.json(path)
 
 
-@query
+@query("scan_csv")
 def scan_csv(spark, sf_dir):
     path = scratch_path(spark, "part_csv")
     _write_part_csv(spark, sf_dir, path)
     return read_source(spark, SourceSpec("product_catalog", "flat_file", path, schema=PART_COLUMNS))
 
 
-@query
+@query("scan_json")
 def scan_json(spark, sf_dir):
     path = scratch_path(spark, "events_json")
     _write_event_json(spark, sf_dir, path)
@@ -464,7 +467,7 @@ def scan_json(spark, sf_dir):
     return read_source(spark, spec)
 
 
-@query
+@query("incremental_extract")
 def incremental_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("updated_at", F.to_date("o_orderdate"))
     return incremental_extract(
@@ -472,13 +475,13 @@ def incremental_orders(spark, sf_dir):
     )
 
 
-@query
+@query("bronze_stamp")
 def bronze_stamp(spark, sf_dir):
     stamped = stamp(table(spark, sf_dir, "part"), "product_catalog", f"{AS_OF} 06:00:00")
     return stamped.select("p_partkey", *_as("string", "_ingested_at"), "_source_system")
 
 
-@query
+@query("bronze_land_roundtrip")
 def bronze_land_roundtrip(spark, sf_dir):
     """The first day is landed twice, the second day once."""
     root = scratch_path(spark, "bronze")
@@ -490,7 +493,7 @@ def bronze_land_roundtrip(spark, sf_dir):
     return landed.select("p_partkey", *_as("bigint", "p_size"), "_source_system", "ingest_date")
 
 
-@query
+@query("silver_roundtrip")
 def silver_roundtrip(spark, sf_dir):
     """Written by month, then overwritten by a filter of itself."""
     path = f"{scratch_path(spark, 'silver')}/fct_transactions"
@@ -504,7 +507,7 @@ def silver_roundtrip(spark, sf_dir):
     )
 
 
-@query
+@query("ingest_summary")
 def ingest_summary(spark, sf_dir):
     """Two good sources, one that fails, one of unknown type."""
     root = scratch_path(spark, "ingest")
@@ -523,13 +526,13 @@ def ingest_summary(spark, sf_dir):
     return results_frame(spark, results).select("source_name", "row_count", "status")
 
 
-@query
+@query("retention_filter")
 def retention_filter(spark, sf_dir):
     bronze = table(spark, sf_dir, "orders").withColumn("ingest_date", F.to_date("o_orderdate"))
     return expired_partitions(bronze, AS_OF, 90).select("o_orderkey", "ingest_date")
 
 
-@query
+@query("union_by_name")
 def union_of_parts(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
     return union_by_name(
@@ -548,18 +551,20 @@ def _rules(frame):
 def _transaction_rules(spark, sf_dir):
     contract = dq.transactions_contract()
     return (
-        dq.validation_frame("fct_transactions", _silver(spark, sf_dir), contract),
-        dq.validation_frame("raw_transactions", _raw_contract_table(spark, sf_dir), contract),
+        dq.validation_frame("fct_transactions", _silver(spark, sf_dir), contract, single_pass=True),
+        dq.validation_frame(
+            "raw_transactions", _raw_contract_table(spark, sf_dir), contract, single_pass=True
+        ),
     )
 
 
-@query
+@query("dq_transactions")
 def dq_transactions(spark, sf_dir):
     clean, raw = _transaction_rules(spark, sf_dir)
     return _rules(clean.unionByName(raw))
 
 
-@query
+@query("dq_customer_360")
 def dq_customer_360(spark, sf_dir):
     mart = _customer_360(spark, sf_dir)
     dirty = mart.select(
@@ -572,13 +577,13 @@ def dq_customer_360(spark, sf_dir):
     )
     contract = dq.customer_360_contract()
     return _rules(
-        dq.validation_frame("mart_customer_360", mart, contract).unionByName(
-            dq.validation_frame("dirty_customer_360", dirty, contract)
+        dq.validation_frame("mart_customer_360", mart, contract, single_pass=True).unionByName(
+            dq.validation_frame("dirty_customer_360", dirty, contract, single_pass=True)
         )
     )
 
 
-@query
+@query("dq_custom")
 def dq_custom(spark, sf_dir):
     rules = [
         dq.Expectation("quantities sum above line count", F.sum("l_quantity") > F.count(F.lit(1))),
@@ -589,42 +594,39 @@ def dq_custom(spark, sf_dir):
     return _rules(dq.validation_frame("lineitem", table(spark, sf_dir, "lineitem"), rules))
 
 
-@query
+@query("dq_gate")
 def dq_gate(spark, sf_dir):
     return dq.gate_summary(*_transaction_rules(spark, sf_dir))
 
 
-@query
+@query("schema_tests")
 def schema_tests(spark, sf_dir):
     tests = st.source_and_mart_tests()
     staged = _staged(spark, sf_dir)
+    tables = {
+        "fct_transactions": _raw_contract_table(spark, sf_dir),
+        "dim_customer": _customers(spark, sf_dir),
+        "mart_daily_revenue": marts.daily_revenue(*staged, unique_transactions=True),
+        "mart_customer_360": _customer_360(spark, sf_dir),
+    }
     frames = [
-        dq.validation_frame("raw_transactions", _raw_contract_table(spark, sf_dir), tests["fct_transactions"]),
-        dq.validation_frame("dim_customer", _customers(spark, sf_dir), tests["dim_customer"]),
-        dq.validation_frame(
-            "mart_daily_revenue",
-            marts.daily_revenue(*staged, unique_transactions=True),
-            tests["mart_daily_revenue"],
-        ),
-        dq.validation_frame(
-            "mart_customer_360", _customer_360(spark, sf_dir), tests["mart_customer_360"]
-        ),
+        dq.validation_frame(name, df, tests[name], single_pass=True) for name, df in tables.items()
     ]
     return _rules(union_by_name(*frames))
 
 
-@query
+@query("test_unique")
 def test_unique(spark, sf_dir):
     return st.repeated_values(bronze_transactions(spark, sf_dir), "transaction_id")
 
 
-@query
+@query("test_not_null")
 def test_not_null(spark, sf_dir):
     failing = st.null_rows(bronze_transactions(spark, sf_dir), "customer_id")
     return failing.select("transaction_id", "customer_id", "tie_break")
 
 
-@query
+@query("test_accepted_values")
 def test_accepted_values(spark, sf_dir):
     mart = _customer_360(spark, sf_dir).withColumn(
         "value_tier", F.when(F.col("region") != "ASIA", F.col("value_tier"))
@@ -633,14 +635,14 @@ def test_accepted_values(spark, sf_dir):
     return failing.select("customer_id", "value_tier")
 
 
-@query
+@query("test_accepted_range")
 def test_accepted_range(spark, sf_dir):
     typed = silver.cast_transactions(bronze_transactions(spark, sf_dir))
     failing = st.out_of_range_rows(typed, "amount", min_value=0)
     return failing.select("transaction_id", "amount", "tie_break")
 
 
-@query
+@query("freshness")
 def freshness(spark, sf_dir):
     report = st.freshness(table(spark, sf_dir, "events"), "ts", EVENTS_CHECKED_AT)
     return report.select(
@@ -650,7 +652,7 @@ def freshness(spark, sf_dir):
     )
 
 
-@query
+@query("freshness_sla")
 def freshness_sla(spark, sf_dir):
     bronze = {
         "customer_transactions": table(spark, sf_dir, "lineitem").withColumnRenamed(
