@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 
 def cents(amount: Column) -> Column:
-    """Whole cents; null for null, NaN, infinity and anything beyond a bigint."""
+    """Whole cents of an amount already rounded to two places.
+
+    Null for null, NaN, infinity and anything beyond a bigint.
+    """
     return F.round(amount * 100).try_cast("bigint")
 
 

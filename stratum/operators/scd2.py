@@ -36,9 +36,11 @@ def scd2_merge(
 
     A changed key gets its open version closed and a new one opened, a new key gets a version, and
     with ``full_snapshot`` a key missing from the snapshot is closed. Unchanged keys keep their row,
-    so that applying a snapshot again changes nothing. Closed versions never enter the join.
+    so that applying a snapshot again changes nothing. Closed versions never enter the join. A column
+    only the snapshot has is added, one only the history has is null in new versions.
     """
     day = resolve_date(as_of)
+    dim = _with_new_columns(dim, snapshot)
     closed = dim.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
     old = dim.filter("is_current").select(
         *[F.col(key) for key in keys], F.struct(*[_q(c) for c in dim.columns]).alias("_old")
@@ -70,6 +72,13 @@ def scd2_merge(
     return closed.unionByName(live)
 
 
+def _with_new_columns(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
+    known = set(dim.columns)
+    return dim.withColumns(
+        {f.name: F.lit(None).cast(f.dataType) for f in snapshot.schema if f.name not in known}
+    )
+
+
 def _shaped_like(snapshot: DataFrame, dim: DataFrame) -> DataFrame:
     present = set(snapshot.columns)
     return snapshot.select(
