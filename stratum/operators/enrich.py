@@ -1,7 +1,13 @@
 """Left joins of facts to a dimension.
 
 No broadcast hints: whether the dimension is small enough is left to Spark's size statistics
-(``spark.sql.autoBroadcastJoinThreshold``) and to AQE, which also splits a hot key on the fact side.
+(``spark.sql.autoBroadcastJoinThreshold``) and to AQE.
+
+A hot key on the fact side is split by AQE, but only where both inputs of the join come straight out
+of a shuffle made for it. A dimension that a window or an aggregation has left partitioned by the key
+would be joined in place and the hot key stay in one task. Joining on the key and a salt always gives
+such shuffles: with one salt nothing is copied and AQE splits what it measures as skewed, with more
+salts every key is spread over that many tasks and the dimension copied as often.
 """
 
 from __future__ import annotations
@@ -10,11 +16,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_SALT = "_salt"
 
 
-def left_lookup(facts: DataFrame, dim: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+def left_lookup(
+    facts: DataFrame, dim: DataFrame, key: str, attributes: Sequence[str], salts: int = 1
+) -> DataFrame:
     """Facts with the dimension's attributes; one ``key`` column, facts without a match kept."""
-    return facts.join(dim.select(key, *attributes), key, "left")
+    salted = _salted_facts(facts, key, salts)
+    return salted.join(_copies(dim.select(key, *attributes), salts), [key, _SALT], "left").drop(_SALT)
+
+
+def _salted_facts(facts: DataFrame, key: str, salts: int) -> DataFrame:
+    """The salt is a hash of the row, so that a retried task gives each row the same one."""
+    hashed = [key]
+    if salts > 1:
+        hashed = [f"`{f.name}`" for f in facts.schema if not isinstance(f.dataType, _UNHASHABLE)]
+    return facts.withColumn(_SALT, F.pmod(F.xxhash64(*hashed), F.lit(salts).cast("bigint")))
+
+
+_UNHASHABLE = (T.MapType, T.VariantType)
+
+
+def _copies(dim: DataFrame, salts: int) -> DataFrame:
+    all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    return dim.withColumn(_SALT, F.explode(all_salts))
 
 
 def attribute_sets(dim: DataFrame, key: str, attributes: Sequence[str], versions: str) -> DataFrame:
@@ -22,14 +50,8 @@ def attribute_sets(dim: DataFrame, key: str, attributes: Sequence[str], versions
 
     Joined to facts that hold a key once per group, it keeps them that way: distinct keys become a
     plain count, and ``versions`` restores the weight of a key the dimension holds several times.
-    Repartitioning by the key alone lets the aggregation and the join share one shuffle.
     """
-    return (
-        dim.select(key, *attributes)
-        .repartition(key)
-        .groupBy(key, *attributes)
-        .agg(F.count(F.lit(1)).alias(versions))
-    )
+    return dim.groupBy(key, *attributes).agg(F.count(F.lit(1)).alias(versions))
 
 
 def point_in_time_join(
@@ -40,6 +62,7 @@ def point_in_time_join(
     attributes: Sequence[str],
     valid_from: str = "effective_from",
     valid_to: str = "effective_to",
+    salts: int = 1,
 ) -> DataFrame:
     """Facts with the attributes that held on date ``at``.
 
@@ -53,6 +76,14 @@ def point_in_time_join(
         F.col(valid_to).alias("_to"),
         *attributes,
     )
-    day = F.to_date(facts[at])
-    holds = (facts[key] == F.col("_key")) & (day >= F.col("_from")) & (day < F.col("_to"))
-    return facts.join(versions, holds, "left").drop("_key", "_from", "_to")
+    versions = _copies(versions, salts).withColumnRenamed(_SALT, "_version_salt")
+    salted = _salted_facts(facts, key, salts)
+    day = F.to_date(F.col(at))
+    holds = (
+        (F.col(key) == F.col("_key"))
+        & (F.col(_SALT) == F.col("_version_salt"))
+        & (day >= F.col("_from"))
+        & (day < F.col("_to"))
+    )
+    helpers = ("_key", "_from", "_to", _SALT, "_version_salt")
+    return salted.join(versions, holds, "left").drop(*helpers)

@@ -132,7 +132,7 @@ def customer_360(
         F.max("transaction_date").alias("last_purchase_date"),
     )
     grouped = (
-        left_lookup(behaviour, customers, "customer_id", CUSTOMER_ATTRIBUTES)
+        behaviour.join(customers.select("customer_id", *CUSTOMER_ATTRIBUTES), "customer_id", "left")
         .groupBy("customer_id", *CUSTOMER_ATTRIBUTES)
         .agg(
             F.max("_n_ids").alias("total_transactions"),

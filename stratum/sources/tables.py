@@ -55,16 +55,15 @@ def overwrite_table(
 ) -> int:
     """Replace the table at ``path`` by ``df``, which may read that very table; returns its row count.
 
-    Rows are counted by an observation on the write itself. Files go to a hidden sibling first and
-    are swapped in once complete, so a failed job leaves the old table. Partitioned output is
-    rebalanced by its partition column: few files per partition, and a hot partition split over
-    several tasks.
+    Rows are counted by an observation in the writing stage itself, behind the last shuffle, where a
+    map task that is run again after a lost executor cannot be counted twice. Files go to a hidden
+    sibling first and are swapped in once complete, so a failed job leaves the old table. Partitioned
+    output is rebalanced by its partition column: few files per partition, and a hot partition split
+    over several tasks.
     """
     spark = df.sparkSession
     counted = Observation()
-    rows = df.observe(counted, F.count(F.lit(1)).alias("rows"))
-    if partition_col:
-        rows = rows.hint("rebalance", F.col(partition_col))
+    rows = _written_rows(df, counted, partition_col)
     writer = rows.write.format(fmt).mode("overwrite")
     if partition_col:
         writer = writer.partitionBy(partition_col)
@@ -77,6 +76,12 @@ def overwrite_table(
     return counted.get["rows"]
 
 
+def _written_rows(df: DataFrame, counted: Observation, partition_col: str | None) -> DataFrame:
+    if partition_col:
+        df = df.hint("rebalance", F.col(partition_col))
+    return df.observe(counted, F.count(F.lit(1)).alias("rows"))
+
+
 def materialize(
     df: DataFrame, name: str, how: str, path: str | None = None, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:

@@ -2,6 +2,7 @@ import os
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stratum.operators.unions import union_by_name
@@ -52,9 +53,10 @@ def test_empty_overwrite(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 0
 
 
-def test_hot_partition_is_rebalanced(spark):
-    hinted = spark.range(10).withColumn("p", F.lit(1)).hint("rebalance", F.col("p"))
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(hinted)
+def test_rows_are_counted_behind_the_rebalancing_shuffle(spark):
+    written = tables._written_rows(spark.range(10).withColumn("p", F.lit(1)), Observation(), "p")
+    plan = plan_of(written)
+    assert 0 < plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
 
 def test_load_table_files(spark, tmp_path):
