@@ -42,7 +42,14 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.driver.memory": "8g",
+            # The test files hold one row group each, so a scan is one task, and whatever is joined
+            # to it by broadcast stays in that task. Shuffling all but tiny tables uses all cores.
+            "spark.sql.autoBroadcastJoinThreshold": "1m",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "1m",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     queries = all_queries()

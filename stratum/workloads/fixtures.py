@@ -37,17 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def bronze_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as raw transactions: repeated ids, null customers, unusable amounts."""
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # Text forms are made once per order, below the join, not once per line.
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("customer"),
+        F.col("o_orderdate").cast("string").alias("transaction_ts"),
+    )
     eightfold = (8 * F.col("l_quantity")).cast("bigint")
     bad = F.col("l_suppkey") % 20 == 0
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
-        F.when(F.col("l_partkey") % 50 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.when(F.col("l_partkey") % 50 != 0, F.col("customer")).alias("customer_id"),
         F.when(bad & (F.col("l_linenumber") % 2 == 0), F.lit("n/a"))
         .when(bad, (-eightfold).cast("string"))
         .otherwise(eightfold.cast("string"))
         .alias("amount"),
-        F.col("o_orderdate").cast("string").alias("transaction_ts"),
+        "transaction_ts",
         F.col("l_shipdate").alias("_ingested_at"),
         F.col("l_partkey").alias("tie_break"),
     )
