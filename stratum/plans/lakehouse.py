@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,7 @@ from stratum.sources.bronze import IngestionResult, ingest
 from stratum.sources.registry import SourceConfig
 from stratum.sources.tables import (
     DEFAULT_FORMAT,
+    load_table_files,
     materialize,
     overwrite_table,
     read_table,
@@ -55,6 +56,9 @@ class Lake:
         moment = datetime.now(timezone.utc).replace(tzinfo=None)
         return cls(root, moment.date(), moment, **settings)
 
+    def on(self, as_of: date) -> Lake:
+        return replace(self, as_of=as_of)
+
     def path(self, layer: str, table: str = "") -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}".rstrip("/")
 
@@ -83,12 +87,12 @@ def run(
 
 def build_silver(spark: SparkSession, lake: Lake, full_snapshot: bool = False) -> dict[str, int]:
     """Rewrite the fact table and bring the customer history up to date."""
-    # Bronze is what ingestion lands: Parquet, whatever the format of the layers above it.
+    # Bronze days are united by column name: a feed may gain a column from one day to the next.
     transactions = silver.silver_transactions(
-        read_table(spark, lake.path("bronze", "customer_transactions")), lake.batch_ts
+        load_table_files(spark, lake.path("bronze", "customer_transactions")), lake.batch_ts
     )
     snapshot = silver.silver_customers(
-        read_table(spark, lake.path("bronze", "customer_master")), lake.as_of, lake.batch_ts
+        load_table_files(spark, lake.path("bronze", "customer_master")), lake.as_of, lake.batch_ts
     )
     history_path = lake.path("silver", "dim_customer")
     customers = snapshot

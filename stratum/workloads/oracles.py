@@ -184,7 +184,7 @@ FROM fct f LEFT JOIN {dim} d ON f.customer_id = d.customer_id GROUP BY 1, 2, 3""
 def _rules(table: str, source: str, rules: list[tuple[str, str, str]]) -> str:
     """One row per (name, severity, aggregate condition)."""
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS \"table\", '{name}' AS name, '{severity}' AS severity,"
+        f"SELECT '{table}' AS table_name, '{name}' AS name, '{severity}' AS severity,"
         f" (SELECT {condition} FROM {source}) AS passed"
         for name, severity, condition in rules
     )
@@ -369,7 +369,7 @@ FROM orders""",
         "cents_to_dollars": """SELECT p_partkey,
        CAST(round(p_retailprice * 100) AS BIGINT) / 100.0::DOUBLE AS dollars FROM part""",
         "json_flatten": """SELECT event_id, event_type,
-       CAST(json_extract_string(props, '$.k') AS BIGINT) AS "props.k" FROM events""",
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS props_k FROM events""",
         "api_unwrap": _payload_records(),
         "api_unwrap_inferred": _payload_records(),
         "scan_csv": f"""SELECT {part_code} AS part_code, p_name || ', "' || p_brand || '"' AS label,
@@ -421,11 +421,11 @@ dirty AS (
         ),
         "dq_gate": f"""WITH {SILVER},{RAW_FCT},
 rules AS ({_both_transaction_tables()})
-SELECT "table", count(*) FILTER (passed) AS passed,
+SELECT table_name, count(*) FILTER (passed) AS passed,
        count(*) FILTER (NOT passed AND severity = 'error') AS failed,
        count(*) FILTER (NOT passed AND severity <> 'error') AS warnings,
        count(*) FILTER (NOT passed AND severity = 'error') = 0 AS success
-FROM rules GROUP BY "table" """,
+FROM rules GROUP BY table_name""",
         "schema_tests": f"WITH {_c360_ctes(SILVER, 'fct')},{RAW_FCT} {_schema_test_rules()}",
         "test_unique": f"""WITH {BRONZE_TRANSACTIONS}
 SELECT transaction_id, count(*) AS n_records FROM bronze_transactions
@@ -451,7 +451,7 @@ SELECT *, {_status('age_seconds', 'NULL', 'sla_hours')} AS status FROM ages""",
 
 def _payload_records() -> str:
     return """
-SELECT p_partkey, p_brand AS "spec.p_brand", p_type AS "spec.p_type",
+SELECT p_partkey, p_brand AS spec_p_brand, p_type AS spec_p_type,
        CASE WHEN p_partkey % 4 <> 2 THEN CAST(p_size AS BIGINT) END AS p_size, p_retailprice
 FROM part WHERE p_partkey % 4 <> 3
 UNION ALL

@@ -414,7 +414,7 @@ def cents_conversion(spark, sf_dir):
 @query("json_flatten")
 def json_flatten(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    return parse_and_flatten(events, "props", "k bigint")
+    return parse_and_flatten(events, "props", "k bigint", separator="_")
 
 
 @query("api_unwrap")
@@ -423,13 +423,12 @@ def api_unwrap(spark, sf_dir):
         "p_partkey bigint, spec struct<p_brand: string, p_type: string>, p_size bigint,"
         " p_retailprice double"
     )
-    return flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload", schema))
+    return flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload", schema), "_")
 
 
 @query("api_unwrap_inferred")
 def api_unwrap_inferred(spark, sf_dir):
-    flat = flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload"))
-    return flat.select("p_partkey", "p_size", "p_retailprice", "`spec.p_brand`", "`spec.p_type`")
+    return flatten(unwrap_payloads(product_payloads(spark, sf_dir), "payload"), "_")
 
 
 def _write_part_csv(spark, sf_dir, path):
@@ -545,7 +544,7 @@ def union_of_parts(spark, sf_dir):
 
 
 def _rules(frame):
-    return frame.select("table", "name", "severity", "passed")
+    return frame.select(F.col("table").alias("table_name"), "name", "severity", "passed")
 
 
 def _transaction_rules(spark, sf_dir):
@@ -596,7 +595,9 @@ def dq_custom(spark, sf_dir):
 
 @query("dq_gate")
 def dq_gate(spark, sf_dir):
-    return dq.gate_summary(*_transaction_rules(spark, sf_dir))
+    return dq.gate_summary(*_transaction_rules(spark, sf_dir)).withColumnRenamed(
+        "table", "table_name"
+    )
 
 
 @query("schema_tests")

@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 
+from stratum.__main__ import main
 from stratum.operators.quality import QualityGateError
 from stratum.plans import lakehouse
 from stratum.sources.registry import load_sources
@@ -66,9 +67,9 @@ def test_end_to_end_twice_and_with_a_change(spark, tmp_path, config):
     assert {name: rows(table(spark, first, "gold", name)) for name in GOLD} == before
 
     (tmp_path / "customers.csv").write_text(CUSTOMERS.replace("c2,B", "c2,Z"), encoding="utf-8")
-    (tmp_path / "transactions.csv").write_text(
-        TRANSACTIONS.replace("t3,c2,20.00", "t3,c2,21.00"), encoding="utf-8"
-    )
+    lines = TRANSACTIONS.replace("t3,c2,20.00", "t3,c2,21.00").splitlines()
+    widened = [lines[0] + ",channel"] + [line + ",web" for line in lines[1:]]
+    (tmp_path / "transactions.csv").write_text("\n".join(widened) + "\n", encoding="utf-8")
     second = lake(tmp_path, 2)
     lakehouse.run(spark, config, second)
     history = table(spark, second, "silver", "dim_customer").filter("customer_id = 'c2'")
@@ -77,7 +78,7 @@ def test_end_to_end_twice_and_with_a_change(spark, tmp_path, config):
         ("Z", date(2024, 3, 2), date(9999, 12, 31), True),
     ]
     facts = table(spark, second, "silver", "fct_transactions").filter("transaction_id = 't3'")
-    assert [r.amount_usd for r in facts.collect()] == [21.0]
+    assert [(r.amount_usd, r.channel) for r in facts.collect()] == [(21.0, "web")]
     assert table(spark, second, "gold", "mart_daily_revenue").filter(
         "customer_segment = 'Z'"
     ).count() == 1
@@ -102,5 +103,23 @@ def test_missing_table_blocks_unless_allowed(spark, tmp_path):
     assert lakehouse.check_layer(spark, empty, "gold", lakehouse.gold_rules(), True) == []
 
 
+def test_command_line(spark, tmp_path, config):
+    registry = tmp_path / "sources.json"
+    registry.write_text(
+        json.dumps({"sources": [{"name": s.name, "type": s.type, "path": s.path} for s in config.sources]}),
+        encoding="utf-8",
+    )
+    root = str(tmp_path / "lake")
+    common = ["--root", root, "--as-of", "2024-03-01"]
+    assert main(["run", "--config", str(registry), *common]) == 0
+    assert main(["check-gold", *common]) == 0
+    assert main(["check-gold", "--root", str(tmp_path / "empty")]) == 1
+    assert main(["check-gold", "--root", str(tmp_path / "empty"), "--allow-missing"]) == 0
+    tier = read_table(spark, f"{root}/gold/dim_customer_ltv").filter("customer_id = 'c1'").first()
+    assert tier.tenure_days == 425
+    with pytest.raises(SystemExit):
+        main(["run", *common])
+
+
 def test_lake_now():
     assert lakehouse.Lake.now("/x").path("silver", "t") == "/x/silver/t"

@@ -59,6 +59,30 @@ def test_rows_are_counted_behind_the_rebalancing_shuffle(spark):
     assert 0 < plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    path = tmp_path / "t"
+    hot = F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(-1)
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {key: spark.conf.get(key) for key in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        df = spark.range(0, 60_000, 1, 8).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+        assert tables.overwrite_table(df.withColumn("p", hot), str(path), "p") == 60_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    files = {
+        folder.name: len(list(folder.glob("*.parquet"))) for folder in path.iterdir() if folder.is_dir()
+    }
+    assert files.pop("p=-1") > 4
+    assert sum(files.values()) <= 2 * len(files)
+
+
 def test_load_table_files(spark, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(FileNotFoundError):
