@@ -1,8 +1,8 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default: all cores) choose data and
-cores. Each query runs once to warm up, then three times; the median counts. Results go to Spark's
-``noop`` sink, so every row and column is computed and nothing is collected.
+cores. All queries run once to warm up, then three times each; the median counts. Results go to
+Spark's ``noop`` sink, so every row and column is computed and nothing is collected.
 """
 
 from __future__ import annotations
@@ -35,10 +35,7 @@ HEADLINE = (
 RUNS = 3
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    chosen = sys.argv[1:] or HEADLINE
+def bench_session(cpus: str):
     spark = build_session(
         "bench",
         f"local[{cpus}]",
@@ -49,18 +46,40 @@ def main() -> None:
             # to it by broadcast stays in that task. Shuffling all but tiny tables uses all cores.
             "spark.sql.autoBroadcastJoinThreshold": "1m",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "1m",
+            # The default of 1 MB would leave shuffles of this size to one or two tasks.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+def seconds(run) -> float:
+    start = time.perf_counter()
+    run()
+    return time.perf_counter() - start
+
+
+def write_out(df) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
+    chosen = sys.argv[1:] or HEADLINE
+    spark = bench_session(cpus)
     queries = all_queries()
-    medians = {}
+
+    def run(name: str) -> None:
+        write_out(queries[name](spark, sf_dir))
+
     for name in chosen:
-        seconds = []
-        for _ in range(RUNS + 1):
-            start = time.perf_counter()
-            queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            seconds.append(time.perf_counter() - start)
-        medians[name] = round(statistics.median(seconds[1:]), 3)
+        run(name)
+    medians = {
+        name: round(statistics.median(seconds(lambda n=name: run(n)) for _ in range(RUNS)), 3)
+        for name in chosen
+    }
     spark.stop()
     print(
         json.dumps(

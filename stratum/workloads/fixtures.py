@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values shared with the SQL twins.
@@ -69,41 +69,50 @@ def clean_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
-    """Customer master as of the first or second snapshot day."""
-    key = F.col("c_custkey")
-    segment = F.col("c_mktsegment")
-    if version == 1:
-        keep = key % 13 != 0
-    else:
-        keep = key % 11 != 0
-        segment = F.when(key % 7 == 0, F.lit("MACHINERY")).otherwise(segment)
+def _customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     return (
         table(spark, sf_dir, "customer")
-        .filter(keep)
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            key.cast("string").alias("customer_id"),
-            segment.alias("segment"),
-            F.col("r_name").alias("region"),
-            F.date_add(F.lit("1994-01-01").cast("date"), (key % 365).cast("int")).alias("signup_date"),
-            F.col("c_acctbal").alias("lifetime_value"),
-        )
     )
 
 
+def _in_snapshot(version: Column) -> Column:
+    key = F.col("c_custkey")
+    return F.when(version == 1, key % 13 != 0).otherwise(key % 11 != 0)
+
+
+def _customer_columns(version: Column) -> list[Column]:
+    key = F.col("c_custkey")
+    moved = (version == 2) & (key % 7 == 0)
+    return [
+        key.cast("string").alias("customer_id"),
+        F.when(moved, F.lit("MACHINERY")).otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.col("r_name").alias("region"),
+        F.date_add(F.lit("1994-01-01").cast("date"), (key % 365).cast("int")).alias("signup_date"),
+        F.col("c_acctbal").alias("lifetime_value"),
+    ]
+
+
+def customer_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    """Customer master as of the first or second snapshot day."""
+    number = F.lit(version)
+    master = _customer_master(spark, sf_dir).filter(_in_snapshot(number))
+    return master.select(*_customer_columns(number))
+
+
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both snapshots as loaded on their days."""
-    first, second = (
-        customer_snapshot(spark, sf_dir, version).withColumn(
-            "_ingested_at", F.lit(day).cast("timestamp")
-        )
-        for version, day in SNAPSHOT_DAYS.items()
+    """Both snapshots as loaded on their days, from one reading of the customers."""
+    version = F.col("version")
+    days = [F.lit(day).cast("timestamp") for day in SNAPSHOT_DAYS.values()]
+    versions = F.explode(F.array(*[F.lit(number) for number in SNAPSHOT_DAYS]))
+    both = _customer_master(spark, sf_dir).withColumn("version", versions)
+    return both.filter(_in_snapshot(version)).select(
+        *_customer_columns(version),
+        F.when(version == 1, days[0]).otherwise(days[1]).alias("_ingested_at"),
     )
-    return first.unionByName(second)
 
 
 def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
