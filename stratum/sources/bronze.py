@@ -68,7 +68,7 @@ def ingest(
             df = read_source(spark, spec)
             results.append(land(df, bronze_root, spec.name, batch_ts, partition_column))
         except UnknownSourceType as error:
-            logger.warning("%s, skipping %s", error, spec.name)
+            logger.warning("%s: skipped, %s", spec.name, error)
         except Exception as error:
             logger.error("%s: ingestion failed: %s", spec.name, error)
             results.append(IngestionResult(spec.name, 0, "", batch_ts, "failed"))

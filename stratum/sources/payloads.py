@@ -15,13 +15,14 @@ def unwrap_payloads(payloads: DataFrame, column: str, schema: str | None = None)
     A list holds records, an object holds them under ``results``, and an object without ``results``
     is one record. Without a schema one distributed pass infers it. Malformed JSON stops the job.
     """
-    payload = payloads.select(F.parse_json(F.col(column)).alias("_payload"))
     body = F.col("_payload")
-    is_list = F.schema_of_variant(body).startswith("ARRAY")
     results = F.variant_get(body, "$.results", "array<variant>")
-    records = payload.select(
+    records = payloads.select(
+        F.parse_json(F.col(column)).alias("_payload"),
+        F.col(column).rlike(r"^\s*\[").alias("_is_list"),
+    ).select(
         F.explode(
-            F.when(is_list, body.cast("array<variant>")).otherwise(
+            F.when(F.col("_is_list"), body.cast("array<variant>")).otherwise(
                 F.coalesce(results, F.array(body))
             )
         ).alias("_record")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +22,41 @@ NULL_TOKENS = (
 )
 
 
+JDBC_FETCH_ROWS = "10000"
+
+
 class UnknownSourceType(ValueError):
     """No reader is registered for the type of a source."""
 
 
+def csv_options(spec: SourceSpec) -> dict:
+    return {"header": True, "mode": "FAILFAST", "escape": '"', "enforceSchema": False, **spec.options}
+
+
+def json_options(spec: SourceSpec) -> dict:
+    """A document per file, or one record per line (and then splittable) with the option ``lines``."""
+    options = {key: value for key, value in spec.options.items() if key != "lines"}
+    lines = str(spec.options.get("lines", "false")).lower() == "true"
+    return {"multiLine": not lines, "mode": "FAILFAST", **options}
+
+
+def text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def typed_fields(raw: DataFrame, schema: str | None) -> DataFrame:
+    """Text fields with missing-value tokens as null, converted to the declared columns by name."""
+    cleaned = {name: _without_null_tokens(F.col(f"`{name}`")) for name in raw.columns}
+    if schema is None:
+        return raw.select(*[value.alias(name) for name, value in cleaned.items()])
+    return raw.select(
+        *[
+            cleaned.get(field.name, F.lit(None)).try_cast(field.dataType).alias(field.name)
+            for field in T.StructType.fromDDL(schema)
+        ]
+    )
+
+
 def read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """CSV with a header, columns matched by name.
 
@@ -34,32 +65,21 @@ def read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     line with the wrong number of fields stops the read. Files stay splittable; set the option
     ``multiLine`` for fields that contain line breaks.
     """
-    options = {"header": True, "mode": "FAILFAST", "escape": '"', **spec.options}
+    options = csv_options(spec)
     header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(spec.path)
-    as_text = T.StructType([T.StructField(name, T.StringType()) for name in header.columns])
-    raw = spark.read.options(enforceSchema=False, **options).schema(as_text).csv(spec.path)
-    cleaned = {f"{c}": _without_null_tokens(F.col(f"`{c}`")) for c in raw.columns}
-    if spec.schema is None:
-        return raw.select(*[value.alias(name) for name, value in cleaned.items()])
-    return raw.select(
-        *[
-            cleaned.get(field.name, F.lit(None)).try_cast(field.dataType).alias(field.name)
-            for field in T.StructType.fromDDL(spec.schema)
-        ]
-    )
+    raw = spark.read.options(**options).schema(text_schema(header.columns)).csv(spec.path)
+    return typed_fields(raw, spec.schema)
 
 
 def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """A JSON array of records per file, or JSON lines (splittable) with the option ``lines``."""
-    options = {key: value for key, value in spec.options.items() if key != "lines"}
-    lines = str(spec.options.get("lines", "false")).lower() == "true"
-    reader = spark.read.option("multiLine", not lines).option("mode", "FAILFAST").options(**options)
+    """A JSON array of records per file, or JSON lines."""
+    reader = spark.read.options(**json_options(spec))
     return (reader.schema(spec.schema) if spec.schema else reader).json(spec.path)
 
 
 def read_flat_file(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.format not in FLAT_FILE_FORMATS:
-        raise ValueError(f"Unsupported format: {spec.format}")
+        raise ValueError(f"no reader for files of format {spec.format}")
     return (read_csv if spec.format == "csv" else read_json)(spark, spec)
 
 
@@ -79,11 +99,12 @@ def jdbc_options(spec: SourceSpec) -> dict[str, str]:
     """Options of the JDBC reader.
 
     With ``partitionColumn`` (plus bounds and ``numPartitions``) the query is wrapped as a derived
-    table, because Spark splits tables but not queries.
+    table, because Spark splits tables but not queries. Rows are fetched in batches; some drivers
+    would otherwise hold a whole result in memory.
     """
     if not spec.connection_string or not spec.query:
         raise ValueError(f"source {spec.name} needs connection_string and query")
-    options = {"url": spec.connection_string, **spec.options}
+    options = {"url": spec.connection_string, "fetchsize": JDBC_FETCH_ROWS, **spec.options}
     if "partitionColumn" in options:
         needed = {"lowerBound", "upperBound", "numPartitions"} - options.keys()
         if needed:
@@ -108,7 +129,7 @@ def register_reader(source_type: str, reader: Reader) -> None:
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.type not in _READERS:
-        raise UnknownSourceType(f"Unknown source type: {spec.type}")
+        raise UnknownSourceType(f"no reader for sources of type {spec.type}")
     return _READERS[spec.type](spark, expand_environment(spec))
 
 

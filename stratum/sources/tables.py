@@ -26,7 +26,7 @@ def load_table_files(spark: SparkSession, path: str, recursive: bool = False) ->
     ``recursive`` also takes folders that are not ``key=value`` partitions.
     """
     if not table_exists(spark, path):
-        raise FileNotFoundError(f"No parquet files found under {path}")
+        raise FileNotFoundError(f"no data files under {path}")
     return (
         spark.read.option("mergeSchema", True)
         .option("recursiveFileLookup", recursive)
@@ -37,7 +37,7 @@ def load_table_files(spark: SparkSession, path: str, recursive: bool = False) ->
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the directory holds any data file (names starting with _ or . do not count)."""
     fs, target = _file_system(spark, path)
-    if not fs.exists(target):
+    if not fs.exists(target) and not _finish_interrupted_swap(spark, path):
         return False
     files = fs.listFiles(target, True)
     while files.hasNext():
@@ -69,7 +69,12 @@ def overwrite_table(
         writer = writer.partitionBy(partition_col)
     if fmt == DEFAULT_FORMAT:
         staged = _sibling(path, "staged")
-        writer.save(staged)
+        try:
+            writer.save(staged)
+        except Exception:
+            fs, leftovers = _file_system(spark, staged)
+            fs.delete(leftovers, True)
+            raise
         _swap(spark, staged, path)
     else:
         writer.option("overwriteSchema", "true").save(path)
@@ -111,16 +116,29 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def _sibling(path: str, purpose: str) -> str:
+    return f"{_sibling_prefix(path, purpose)}{uuid.uuid4().hex}"
+
+
+def _sibling_prefix(path: str, purpose: str) -> str:
+    """Hidden from readers: starts with an underscore and holds no ``=``."""
     parent, _, name = path.rstrip("/").rpartition("/")
     prefix = f"{parent}/" if parent else ("/" if path.startswith("/") else "")
-    return f"{prefix}_{purpose}_{name.replace('=', '_')}_{uuid.uuid4().hex}"
+    return f"{prefix}_{purpose}_{name.replace('=', '_')}_"
+
+
+def _finish_interrupted_swap(spark: SparkSession, path: str) -> bool:
+    """Put the old table back if a driver was lost after moving it away; whether there was one."""
+    fs, target = _file_system(spark, path)
+    pattern = _file_system(spark, f"{_sibling_prefix(path, 'retired')}*")[1]
+    found = sorted(fs.globStatus(pattern) or [], key=lambda status: status.getModificationTime())
+    return bool(found) and fs.rename(found[-1].getPath(), target)
 
 
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
     fs, target = _file_system(spark, path)
     source = _file_system(spark, staged)[1]
     retired = _file_system(spark, _sibling(path, "retired"))[1]
-    replaced = fs.exists(target)
+    replaced = fs.exists(target) or _finish_interrupted_swap(spark, path)
     if replaced and not fs.rename(target, retired):
         raise OSError(f"could not move the old table away from {path}")
     if not fs.rename(source, target):

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.sources.bronze import stamp
+from stratum.sources.readers import csv_options, json_options, text_schema, typed_fields
 from stratum.sources.registry import (
     DEFAULT_PARTITION_COLUMN,
     FLAT_FILE_FORMATS,
@@ -24,25 +26,20 @@ def land_new_files(
     """Append new files of a flat-file source to bronze and return; gives the rows read.
 
     The checkpoint remembers which files are done, so a re-run after a lost job neither repeats nor
-    skips one. The declared schema is applied by position for CSV.
+    skips one. Files are parsed as in a batch read; the declared schema must name all CSV columns in
+    file order. A source is landed either this way or by ``land``, not both into one folder.
     """
     spec = expand_environment(spec)
     if spec.format not in FLAT_FILE_FORMATS:
-        raise ValueError(f"Unsupported format: {spec.format}")
+        raise ValueError(f"no reader for files of format {spec.format}")
     if not spec.schema:
         raise ValueError(f"source {spec.name} needs a schema to be read as a stream")
-    defaults = (
-        {"header": True, "mode": "FAILFAST", "escape": '"', "enforceSchema": False}
-        if spec.format == "csv"
-        else {"multiLine": True, "mode": "FAILFAST"}
-    )
-    options = {key: value for key, value in spec.options.items() if key != "lines"}
-    arriving = (
-        spark.readStream.format(spec.format)
-        .options(**{**defaults, **options})
-        .schema(spec.schema)
-        .load(spec.path)
-    )
+    if spec.format == "csv":
+        names = T.StructType.fromDDL(spec.schema).names
+        reader = spark.readStream.options(**csv_options(spec)).schema(text_schema(names))
+        arriving = typed_fields(reader.csv(spec.path), spec.schema)
+    else:
+        arriving = spark.readStream.options(**json_options(spec)).schema(spec.schema).json(spec.path)
     stamped = stamp(arriving, spec.name, None).withColumn(
         partition_column, F.to_date("_ingested_at")
     )

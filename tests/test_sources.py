@@ -64,7 +64,7 @@ def test_json_array_and_json_lines(spark, tmp_path):
 
 
 def test_unsupported_format_and_unknown_type(spark):
-    with pytest.raises(ValueError, match="Unsupported format: xml"):
+    with pytest.raises(ValueError, match="no reader for files of format xml"):
         read_source(spark, SourceSpec("s", "flat_file", "x", "xml"))
     with pytest.raises(readers.UnknownSourceType):
         read_source(spark, SourceSpec("s", "queue"))
@@ -82,6 +82,7 @@ PAYLOADS = [
     '[{"id": 1, "a": {"b": {"c": "x"}, "l": [1, 2]}}, {"id": 2}]',
     '{"results": [{"id": 3, "a": {"b": {"c": "y"}}}], "next": null}',
     ' {"id": 4, "a": {"b": null}}',
+    '\n[\n]',
     '{"results": []}',
     "[]",
 ]
@@ -132,10 +133,13 @@ def test_parse_and_flatten(spark):
 
 def test_jdbc_options():
     spec = SourceSpec("db", "database", connection_string="jdbc:x://h/d", query="SELECT 1")
-    assert jdbc_options(spec) == {"url": "jdbc:x://h/d", "query": "SELECT 1"}
+    fetch = {"fetchsize": "10000"}
+    assert jdbc_options(spec) == {"url": "jdbc:x://h/d", "query": "SELECT 1", **fetch}
     split = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
     spec = SourceSpec("db", "database", connection_string="u", query="SELECT 1", options=split)
-    assert jdbc_options(spec) == {"url": "u", **split, "dbtable": "(SELECT 1) source_query"}
+    assert jdbc_options(spec) == {
+        "url": "u", **fetch, **split, "dbtable": "(SELECT 1) source_query",
+    }
     with pytest.raises(ValueError, match="lowerBound, numPartitions, upperBound"):
         jdbc_options(
             SourceSpec("db", "database", connection_string="u", query="q", options={"partitionColumn": "id"})

@@ -45,6 +45,19 @@ def test_failed_overwrite_leaves_the_old_table(spark, tmp_path):
     with pytest.raises(Exception, match="boom"):
         tables.overwrite_table(broken, path)
     assert tables.read_table(spark, path).count() == 4
+    assert os.listdir(tmp_path) == ["t"]
+
+
+def test_table_moved_away_by_a_lost_driver_comes_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.overwrite_table(spark.range(4), path)
+    os.rename(path, tables._sibling(path, "retired"))
+    assert tables.table_exists(spark, path)
+    assert tables.read_table(spark, path).count() == 4
+    os.rename(path, tables._sibling(path, "retired"))
+    assert tables.overwrite_table(spark.range(2), path) == 2
+    assert os.listdir(tmp_path) == ["t"]
+    assert not tables.table_exists(spark, str(tmp_path / "other"))
 
 
 def test_empty_overwrite(spark, tmp_path):
@@ -189,15 +202,30 @@ def test_scratch_is_below_the_configured_folder(spark):
 def test_stream_lands_only_new_files(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
-    spec = SourceSpec("s", "flat_file", str(landing), schema="a string, b string")
+    spec = SourceSpec("s", "flat_file", str(landing), schema="a string, b bigint")
     root, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "state")
     (landing / "1.csv").write_text("a,b\n1,2\n3,4\n", encoding="utf-8")
     assert land_new_files(spark, spec, root, checkpoint) == 2
     assert land_new_files(spark, spec, root, checkpoint) == 0
-    (landing / "2.csv").write_text("a,b\n5,6\n", encoding="utf-8")
+    (landing / "2.csv").write_text("a,b\nNA,x\n", encoding="utf-8")
     assert land_new_files(spark, spec, root, checkpoint) == 1
     landed = tables.read_table(spark, f"{root}/s")
-    assert rows(landed.select("a", "_source_system")) == [("1", "s"), ("3", "s"), ("5", "s")]
+    assert rows(landed.select("a", "b", "_source_system")) == [
+        ("1", 2, "s"), ("3", 4, "s"), (None, None, "s"),
+    ]
     assert "ingest_date" in landed.columns
     with pytest.raises(ValueError, match="needs a schema"):
         land_new_files(spark, SourceSpec("s", "flat_file", str(landing)), root, checkpoint)
+
+
+@pytest.mark.parametrize("lines", ["true", "false"])
+def test_stream_of_json(spark, tmp_path, lines):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    records = ['{"a": 1}', '{"a": 2}']
+    text = "\n".join(records) if lines == "true" else f"[{', '.join(records)}]"
+    (landing / "1.json").write_text(text, encoding="utf-8")
+    spec = SourceSpec("s", "flat_file", str(landing), "json", "a bigint", options={"lines": lines})
+    land_new_files(spark, spec, str(tmp_path / "bronze"), str(tmp_path / "state"))
+    landed = tables.read_table(spark, f"{tmp_path}/bronze/s")
+    assert rows(landed.select("a")) == [(1,), (2,)]
