@@ -54,6 +54,14 @@ def bench_session(cpus: str):
     return spark
 
 
+def scale_factor(sf_dir: str) -> float | str:
+    name = os.path.basename(sf_dir)
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def seconds(run) -> float:
     start = time.perf_counter()
     run()
@@ -88,7 +96,7 @@ def main() -> None:
                 "value": round(sum(medians.values()), 3),
                 "unit": "sec",
                 "queries": medians,
-                "sf": os.path.basename(sf_dir).removeprefix("sf"),
+                "sf": scale_factor(sf_dir),
                 "cpus": int(cpus),
             }
         )

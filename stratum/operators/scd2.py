@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.dates import OPEN_END, resolve_date
+from stratum.operators.dedupe import latest_per_key
 
 FRAME_COLUMNS = ("effective_from", "effective_to", "is_current")
 
@@ -32,12 +33,15 @@ def scd2_merge(
     as_of: date | str,
     full_snapshot: bool = False,
 ) -> DataFrame:
-    """History after applying ``snapshot`` (one row per key) on day ``as_of``.
+    """History after applying ``snapshot`` on day ``as_of``.
 
     A changed key gets its open version closed and a new one opened, a new key gets a version, and
     with ``full_snapshot`` a key missing from the snapshot is closed. Unchanged keys keep their row,
     so that applying a snapshot again changes nothing. Closed versions never enter the join. A column
     only the snapshot has is added, one only the history has is null in new versions.
+
+    Keys must not be null. A key the snapshot repeats counts once, as its greatest row, so that
+    copies cannot multiply versions; that step leaves the snapshot partitioned for the join.
     """
     day = resolve_date(as_of)
     dim = _with_new_columns(dim, snapshot)
@@ -45,7 +49,7 @@ def scd2_merge(
     old = dim.filter("is_current").select(
         *[F.col(key) for key in keys], F.struct(*[_q(c) for c in dim.columns]).alias("_old")
     )
-    opened = scd2_frame(_shaped_like(snapshot, dim), as_of)
+    opened = scd2_frame(latest_per_key(_shaped_like(snapshot, dim), keys, []), as_of)
     new = opened.select(
         *[F.col(key) for key in keys], F.struct(*[_q(c) for c in dim.columns]).alias("_new")
     )

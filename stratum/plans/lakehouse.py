@@ -37,6 +37,10 @@ from stratum.sources.tables import (
 
 logger = logging.getLogger("stratum.lakehouse")
 
+TABLES = {
+    "silver": ("fct_transactions", "dim_customer"),
+    "gold": ("agg_revenue_by_segment", "dim_customer_ltv", "mart_daily_revenue", "mart_customer_360"),
+}
 CUSTOMER_KEY = ("customer_id",)
 TRACKED = ("segment", "region", "signup_date", "lifetime_value")
 
@@ -136,6 +140,18 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     }
 
 
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Temp views over all stored silver and gold tables, for queries in SQL; gives their names."""
+    names = []
+    for layer, tables in TABLES.items():
+        for table in tables:
+            path = lake.path(layer, table)
+            if table_exists(spark, path):
+                materialize(read_table(spark, path, lake.fmt), table, "view")
+                names.append(table)
+    return names
+
+
 def silver_rules() -> dict[str, list[Expectation]]:
     tests = source_and_mart_tests()
     return {

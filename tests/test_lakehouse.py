@@ -61,6 +61,9 @@ def test_end_to_end_twice_and_with_a_change(spark, tmp_path, config):
     c360 = {r.customer_id: r for r in table(spark, first, "gold", "mart_customer_360").collect()}
     assert (c360["c1"].value_tier, c360["c1"].engagement_status) == ("platinum", "active")
     assert c360["c9"].customer_segment is None
+    assert lakehouse.register_views(spark, first) == ["fct_transactions", "dim_customer", *GOLD]
+    top = spark.sql("SELECT customer_id FROM mart_customer_360 WHERE value_tier = 'platinum'")
+    assert rows(top) == [("c1",)]
     before = {name: rows(table(spark, first, "gold", name)) for name in GOLD}
 
     lakehouse.run(spark, config, first)
@@ -101,6 +104,7 @@ def test_missing_table_blocks_unless_allowed(spark, tmp_path):
     with pytest.raises(QualityGateError, match="table is missing"):
         lakehouse.check_layer(spark, empty, "gold", lakehouse.gold_rules())
     assert lakehouse.check_layer(spark, empty, "gold", lakehouse.gold_rules(), True) == []
+    assert lakehouse.register_views(spark, empty) == []
 
 
 def test_command_line(spark, tmp_path, config):

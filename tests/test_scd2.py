@@ -79,6 +79,14 @@ def test_late_snapshot_is_refused(first, second):
         merge(first, second, date(2019, 12, 31)).collect()
 
 
+def test_copies_in_the_snapshot_do_not_multiply_versions(spark, first):
+    copies = snapshot(spark, [("changed", "B", 1.0)] * 50 + [("changed", "C", 1.0), ("new", "N", 1.0)] * 2)
+    merged = merge(first, copies, DAYS[1])
+    current = merged.filter("is_current").select("customer_id", "segment")
+    assert rows(current) == [("changed", "C"), ("gone", "A"), ("new", "N"), ("same", "A")]
+    assert merged.count() == 5
+
+
 def test_new_snapshot_column_is_added(first, second):
     merged = merge(first, second.withColumn("tier", F.lit("t")), DAYS[1])
     got = {(r.customer_id, r.segment): r.tier for r in merged.collect()}
