@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratum.operators import quality as dq
 from stratum.operators.dedupe import latest_per_key
 from stratum.operators.enrich import left_lookup, point_in_time_join
-from stratum.plans import gold, marts, silver
+from stratum.plans import gold, lakehouse, marts, silver
 from stratum.workloads import fixtures
 from stratum.workloads.queries import all_queries
 from tests.conftest import plan_of, rows
@@ -195,6 +195,15 @@ def test_contract_has_no_expand_and_scans_ids_apart(spark, skewed):
     ]
 
 
+def test_uniqueness_rules_of_one_column_share_their_scan(spark, skewed):
+    rules = lakehouse.silver_rules()["fct_transactions"]
+    for single_pass, scans in ((False, 2), (True, 1)):
+        frame = dq.validation_frame("t", skewed, rules, single_pass)
+        assert plan_of(frame).count("Range (") == scans
+        assert "Expand" not in plan_of(frame)
+        assert [r.passed for r in frame.orderBy("position").collect()] == [True] * len(rules)
+
+
 def test_small_dimension_is_broadcast_by_its_size_only(spark, sf_dir):
     orders = fixtures.clean_transactions(spark, sf_dir).withColumn("amount_usd", F.col("amount"))
     nations = fixtures.table(spark, sf_dir, "nation")
