@@ -395,6 +395,14 @@ FROM fct WHERE amount_usd >= 80""",
 SELECT 'product_catalog' AS source_name, (SELECT count(*) FROM part) AS row_count, 'success' AS status
 UNION ALL SELECT 'web_events', (SELECT count(*) FROM events), 'success'
 UNION ALL SELECT 'customer_master', 0, 'failed'""",
+        "table_files_union": """
+SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, NULL::VARCHAR AS p_brand, 1::BIGINT AS batch FROM part
+UNION ALL SELECT p_partkey, NULL, p_brand, 2 FROM part""",
+        "export_roundtrip": "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0",
+        "mart_materialization": f"""WITH {CLEAN_SILVER},{SNAPSHOTS},{_staging()}
+SELECT region, count(transaction_id) AS transactions,
+       {_money(_total('transaction_amount'))} AS revenue
+FROM enriched GROUP BY region""",
         "retention_filter": f"""SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ingest_date
 FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '{AS_OF}' - INTERVAL 90 DAY""",
         "union_by_name": """SELECT c_custkey, c_name, c_acctbal, NULL::VARCHAR AS c_mktsegment FROM customer

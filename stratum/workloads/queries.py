@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 
 from stratum.functions import (
     VALUE_TIERS,
+    cents,
+    cents_as_double,
     cents_to_dollars,
     engagement_status,
     safe_divide,
+    sum_cents,
     surrogate_key,
     value_tier,
 )
@@ -31,7 +34,13 @@ from stratum.sources.bronze import expired_partitions, ingest, land, results_fra
 from stratum.sources.payloads import flatten, parse_and_flatten, unwrap_payloads
 from stratum.sources.readers import incremental_extract, read_source
 from stratum.sources.registry import SourceSpec
-from stratum.sources.tables import overwrite_table, read_table
+from stratum.sources.tables import (
+    export_table,
+    load_table_files,
+    materialize,
+    overwrite_table,
+    read_table,
+)
 from stratum.workloads.fixtures import (
     AS_OF,
     LTV_START,
@@ -525,6 +534,43 @@ def ingest_summary(spark, sf_dir):
     return results_frame(spark, results).select("source_name", "row_count", "status")
 
 
+@query("table_files_union")
+def table_files_union(spark, sf_dir):
+    """Two batches of files with different columns, loaded as one table."""
+    root = scratch_path(spark, "part_files")
+    part = table(spark, sf_dir, "part")
+    part.select("p_partkey", "p_size").write.parquet(f"{root}/batch=1")
+    part.select("p_brand", "p_partkey").write.parquet(f"{root}/batch=2")
+    loaded = load_table_files(spark, root)
+    return loaded.select("p_partkey", *_as("bigint", "p_size"), "p_brand", *_as("bigint", "batch"))
+
+
+@query("export_roundtrip")
+def export_roundtrip(spark, sf_dir):
+    """Exported twice; the second export replaces the first."""
+    path = scratch_path(spark, "export")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    export_table(customers, "parquet", {"path": path}, "customers")
+    export_table(customers.filter("c_acctbal > 0"), "parquet", {"path": path}, "customers")
+    return read_table(spark, path)
+
+
+@query("mart_materialization")
+def mart_materialization(spark, sf_dir):
+    """Staging as views, the enriched model ephemeral, a mart as a table."""
+    transactions, customers = _staged(spark, sf_dir, _clean_silver)
+    transactions = materialize(transactions, "mart_stg_transactions", "view")
+    customers = materialize(customers, "mart_stg_customers", "view")
+    enriched = materialize(
+        marts.transactions_enriched(transactions, customers), "enriched", "ephemeral"
+    )
+    by_region = enriched.groupBy("region").agg(
+        F.count("transaction_id").alias("transactions"),
+        cents_as_double(sum_cents(cents(F.col("transaction_amount")))).alias("revenue"),
+    )
+    return materialize(by_region, "mart_by_region", "table", scratch_path(spark, "mart_by_region"))
+
+
 @query("retention_filter")
 def retention_filter(spark, sf_dir):
     bronze = table(spark, sf_dir, "orders").withColumn("ingest_date", F.to_date("o_orderdate"))
