@@ -12,6 +12,7 @@ from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.operators.quality import (
     Expectation,
@@ -90,14 +91,20 @@ def run(
 
 
 def build_silver(spark: SparkSession, lake: Lake, full_snapshot: bool = False) -> dict[str, int]:
-    """Rewrite the fact table and bring the customer history up to date."""
+    """Rewrite the fact table and bring the customer history up to date.
+
+    ``full_snapshot`` says that every customer feed is complete, so that one it omits is closed.
+    """
     # Bronze days are united by column name: a feed may gain a column from one day to the next.
     transactions = silver.silver_transactions(
         load_table_files(spark, lake.path("bronze", "customer_transactions")), lake.batch_ts
     )
-    snapshot = silver.silver_customers(
-        load_table_files(spark, lake.path("bronze", "customer_master")), lake.as_of, lake.batch_ts
-    )
+    master = load_table_files(spark, lake.path("bronze", "customer_master"))
+    if full_snapshot:
+        # Only the last feed says who is gone; earlier days still hold every customer ever sent.
+        last_feed = master.agg(F.max("_ingested_at")).first()[0]
+        master = master.filter(F.col("_ingested_at") == F.lit(last_feed))
+    snapshot = silver.silver_customers(master, lake.as_of, lake.batch_ts)
     history_path = lake.path("silver", "dim_customer")
     customers = snapshot
     if table_exists(spark, history_path):

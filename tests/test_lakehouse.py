@@ -90,6 +90,17 @@ def test_end_to_end_twice_and_with_a_change(spark, tmp_path, config):
 GOLD = ("agg_revenue_by_segment", "dim_customer_ltv", "mart_daily_revenue", "mart_customer_360")
 
 
+@pytest.mark.parametrize("full_snapshot", [True, False])
+def test_customer_missing_from_the_next_feed(spark, tmp_path, config, full_snapshot):
+    lakehouse.run(spark, config, lake(tmp_path, 1), full_snapshot)
+    shorter = "".join(CUSTOMERS.splitlines(keepends=True)[:2])
+    (tmp_path / "customers.csv").write_text(shorter, encoding="utf-8")
+    second = lake(tmp_path, 2)
+    lakehouse.run(spark, config, second, full_snapshot)
+    history = table(spark, second, "silver", "dim_customer").select("customer_id", "is_current")
+    assert rows(history) == [("c1", True), ("c2", not full_snapshot)]
+
+
 def test_failed_gate_blocks_gold(spark, tmp_path, config):
     nothing_valid = TRANSACTIONS.splitlines()[0] + "\nt1,c1,-1,2024-01-01\n"
     (tmp_path / "transactions.csv").write_text(nothing_valid, encoding="utf-8")
