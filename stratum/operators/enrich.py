@@ -41,8 +41,10 @@ _UNHASHABLE = (T.MapType, T.VariantType)
 
 
 def _copies(dim: DataFrame, salts: int) -> DataFrame:
+    """Spark's size estimate does not know of the copies, so several are kept from being broadcast."""
     all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    return dim.withColumn(_SALT, F.explode(all_salts))
+    copies = dim.withColumn(_SALT, F.explode(all_salts))
+    return copies if salts == 1 else copies.hint("merge")
 
 
 def attribute_sets(dim: DataFrame, key: str, attributes: Sequence[str], versions: str) -> DataFrame:

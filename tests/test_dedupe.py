@@ -7,6 +7,7 @@ from stratum.operators.dedupe import latest_per_key
 from tests.conftest import rows
 
 SCHEMA = "k string, at date, v string"
+KEYS = st.sampled_from([None, "a", "b", "c"])
 
 
 def test_latest_wins_and_nulls_order_last(spark):
@@ -45,7 +46,7 @@ def test_column_names_with_dots(spark):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from([None, "a", "b", "c"]), st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=30))
+@given(st.lists(st.tuples(KEYS, st.integers(0, 3), st.integers(0, 9)), min_size=1, max_size=30))
 def test_one_maximal_row_per_key(spark, data):
     df = spark.createDataFrame(data, "k string, at int, v int")
     best = {}

@@ -101,7 +101,8 @@ def test_no_nested_loops_and_no_python(spark, sf_dir, name):
 
 def test_scan_reads_only_needed_columns_and_pushes_filters(spark, sf_dir):
     plan = plan_of(all_queries()["revenue_by_segment"](spark, sf_dir))
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+    columns = "o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz"
+    assert f"ReadSchema: struct<{columns}>" in plan
     assert "IsNotNull(o_totalprice)" in plan and "GreaterThan(o_totalprice,0.0)" in plan
 
 
@@ -177,6 +178,15 @@ def test_salts_do_not_change_the_result(spark, skewed, customers, salts):
         assert rows(looked_up.groupBy("customer_id", "segment").count()) == rows(expected)
 
 
+def test_copies_of_a_small_dimension_are_not_broadcast(spark, sf_dir):
+    orders = fixtures.clean_transactions(spark, sf_dir)
+    master = fixtures.table(spark, sf_dir, "customer").withColumnRenamed("c_name", "customer_id")
+    once = left_lookup(orders, master, "customer_id", ["c_acctbal"])
+    copied = left_lookup(orders, master, "customer_id", ["c_acctbal"], salts=16)
+    assert "BroadcastHashJoin" in plan_of(once)
+    assert "SortMergeJoin" in plan_of(copied) and "Broadcast" not in plan_of(copied)
+
+
 def test_point_in_time_is_an_equi_join(spark, skewed, customers):
     with no_broadcast(spark):
         looked_up = point_in_time_join(

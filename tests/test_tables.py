@@ -178,7 +178,8 @@ def test_ingest_reports_failures_and_skips_unknown_types(spark, tmp_path):
 
 def test_retention_reads_only_expired_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
-    days = spark.range(100).select("id", F.date_sub(F.lit("2020-04-30").cast("date"), F.col("id").cast("int")).alias("ingest_date"))
+    day = F.date_sub(F.lit("2020-04-30").cast("date"), F.col("id").cast("int"))
+    days = spark.range(100).select("id", day.alias("ingest_date"))
     days.write.partitionBy("ingest_date").parquet(path)
     table = tables.read_table(spark, path)
     expired = expired_partitions(table, "2020-04-30", 90)
