@@ -1,8 +1,8 @@
 """Run the lakehouse from the command line.
 
-usage: python -m stratum {ingest,silver,check-silver,gold,check-gold,run} --config FILE --root PATH
+usage: python -m stratum {ingest,silver,check-silver,gold,check-gold,freshness,run} --config FILE --root PATH
 
-Exits with 1 when a gate blocks promotion or a source could not be ingested.
+Exits with 1 when a gate blocks promotion, a source could not be ingested or a table is too old.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ STEPS = ("ingest", "silver", "check-silver", "gold", "check-gold")
 
 def main(arguments: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="stratum", description=__doc__.splitlines()[0])
-    parser.add_argument("step", choices=(*STEPS, "run"))
-    parser.add_argument("--config", help="source registry, needed for ingest and run")
+    parser.add_argument("step", choices=(*STEPS, "freshness", "run"))
+    parser.add_argument("--config", help="source registry, needed for ingest, freshness and run")
     parser.add_argument("--root", required=True, help="folder that holds bronze, silver and gold")
     parser.add_argument("--format", default="parquet", help="format of the silver and gold tables")
     parser.add_argument("--as-of", type=date.fromisoformat, help="business date, default today (UTC)")
@@ -32,7 +32,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--full-snapshot", action="store_true", help="close customers the feed omits")
     parser.add_argument("--allow-missing", action="store_true", help="gate: skip missing tables")
     options = parser.parse_args(arguments)
-    if options.step in ("ingest", "run") and not options.config:
+    if options.step in ("ingest", "freshness", "run") and not options.config:
         parser.error("--config is needed")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
 
@@ -59,6 +59,11 @@ def run_step(spark, step: str, lake: lakehouse.Lake, options) -> int:
             spark, config.sources, lake.path("bronze"), lake.batch_ts, config.partition_column
         )
         return int(any(result.status != "success" for result in results))
+    if step == "freshness":
+        report = lakehouse.freshness_report(spark, load_sources(options.config), lake).collect()
+        for row in report:
+            logging.getLogger("stratum").info("%s: %s, %s s old", row["name"], row["status"], row["age_seconds"])
+        return int(any(row["status"] == "error" for row in report))
     if step == "silver":
         lakehouse.build_silver(spark, lake, options.full_snapshot)
     elif step == "gold":

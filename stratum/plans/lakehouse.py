@@ -23,7 +23,7 @@ from stratum.operators.quality import (
     validate_table,
 )
 from stratum.operators.scd2 import scd2_merge
-from stratum.operators.schema_tests import source_and_mart_tests
+from stratum.operators.schema_tests import freshness, sla_report, source_and_mart_tests
 from stratum.plans import gold, marts, silver
 from stratum.sources.bronze import IngestionResult, ingest
 from stratum.sources.registry import SourceConfig
@@ -147,6 +147,24 @@ def build_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     }
 
 
+def freshness_report(spark: SparkSession, config: SourceConfig, lake: Lake) -> DataFrame:
+    """Age and status of the silver facts and of every landed source that has an SLA."""
+    facts = read_table(spark, lake.path("silver", "fct_transactions"), lake.fmt)
+    now = lake.batch_ts
+    report = freshness(facts, "_processed_at", now).withColumn("name", F.lit("fct_transactions"))
+    landed = {
+        spec.name: read_table(spark, lake.path("bronze", spec.name))
+        for spec in config.sources
+        if spec.sla_hours is not None and table_exists(spark, lake.path("bronze", spec.name))
+    }
+    columns = ["name", "max_loaded_at", "age_seconds", "status"]
+    if not landed:
+        return report.select(columns)
+    hours = {spec.name: spec.sla_hours for spec in config.sources if spec.name in landed}
+    sources = sla_report(landed, hours, now).withColumnRenamed("source_name", "name")
+    return report.select(columns).unionByName(sources.select(columns))
+
+
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """Temp views over all stored silver and gold tables, for queries in SQL; gives their names."""
     names = []

@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -101,6 +102,22 @@ def test_customer_missing_from_the_next_feed(spark, tmp_path, config, full_snaps
     assert rows(history) == [("c1", True), ("c2", not full_snapshot)]
 
 
+def test_freshness_report(spark, tmp_path, config):
+    first = lake(tmp_path, 1)
+    lakehouse.run(spark, config, first)
+    with_sla = replace(
+        config, sources=tuple(replace(s, sla_hours=h) for s, h in zip(config.sources, (6, 24, None)))
+    )
+    later = replace(first, batch_ts=datetime(2024, 3, 1, 19))
+    report = lakehouse.freshness_report(spark, with_sla, later)
+    assert {r["name"]: (r["age_seconds"], r["status"]) for r in report.collect()} == {
+        "fct_transactions": (13 * 3600, "warn"),
+        "customer_transactions": (13 * 3600, "error"),
+        "customer_master": (13 * 3600, "pass"),
+    }
+    assert lakehouse.freshness_report(spark, config, first).count() == 1
+
+
 def test_failed_gate_blocks_gold(spark, tmp_path, config):
     nothing_valid = TRANSACTIONS.splitlines()[0] + "\nt1,c1,-1,2024-01-01\n"
     (tmp_path / "transactions.csv").write_text(nothing_valid, encoding="utf-8")
@@ -128,6 +145,7 @@ def test_command_line(spark, tmp_path, config):
     common = ["--root", root, "--as-of", "2024-03-01"]
     assert main(["run", "--config", str(registry), *common]) == 0
     assert main(["check-gold", *common]) == 0
+    assert main(["freshness", "--config", str(registry), *common]) == 0
     assert main(["check-gold", "--root", str(tmp_path / "empty")]) == 1
     assert main(["check-gold", "--root", str(tmp_path / "empty"), "--allow-missing"]) == 0
     tier = read_table(spark, f"{root}/gold/dim_customer_ltv").filter("customer_id = 'c1'").first()
