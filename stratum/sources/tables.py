@@ -126,24 +126,32 @@ def _sibling_prefix(path: str, purpose: str) -> str:
     return f"{prefix}_{purpose}_{name.replace('=', '_')}_"
 
 
+def _retired(spark: SparkSession, path: str) -> list:
+    """Old versions of this table a lost driver left behind, the newest last."""
+    fs, _ = _file_system(spark, path)
+    # The suffix is matched by its exact length: another table's name may start with this one's.
+    pattern = _file_system(spark, _sibling_prefix(path, "retired") + "?" * len(uuid.uuid4().hex))[1]
+    found = sorted(fs.globStatus(pattern) or [], key=lambda status: status.getModificationTime())
+    return [status.getPath() for status in found]
+
+
 def _finish_interrupted_swap(spark: SparkSession, path: str) -> bool:
     """Put the old table back if a driver was lost after moving it away; whether there was one."""
     fs, target = _file_system(spark, path)
-    pattern = _file_system(spark, f"{_sibling_prefix(path, 'retired')}*")[1]
-    found = sorted(fs.globStatus(pattern) or [], key=lambda status: status.getModificationTime())
-    return bool(found) and fs.rename(found[-1].getPath(), target)
+    retired = _retired(spark, path)
+    return bool(retired) and fs.rename(retired[-1], target)
 
 
 def _swap(spark: SparkSession, staged: str, path: str) -> None:
     fs, target = _file_system(spark, path)
     source = _file_system(spark, staged)[1]
-    retired = _file_system(spark, _sibling(path, "retired"))[1]
+    old = _file_system(spark, _sibling(path, "retired"))[1]
     replaced = fs.exists(target) or _finish_interrupted_swap(spark, path)
-    if replaced and not fs.rename(target, retired):
+    if replaced and not fs.rename(target, old):
         raise OSError(f"could not move the old table away from {path}")
     if not fs.rename(source, target):
         if replaced:
-            fs.rename(retired, target)
+            fs.rename(old, target)
         raise OSError(f"could not move the new table to {path}")
-    if replaced:
-        fs.delete(retired, True)
+    for version in _retired(spark, path):
+        fs.delete(version, True)

@@ -4,6 +4,8 @@ import math
 from datetime import date, datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratum.plans import gold, marts
@@ -67,7 +69,7 @@ def plain_daily(transactions, customers):
         F.count_distinct("customer_id").alias("active_customers"),
         F.sum("transaction_amount").cast("decimal(24,2)").alias("total_revenue"),
         F.round(F.avg("transaction_amount"), 2).cast("decimal(24,2)").alias("avg_transaction_value"),
-        F.round(F.sum("transaction_amount") / F.count_distinct("customer_id"), 2)
+        F.round(F.try_divide(F.sum("transaction_amount"), F.count_distinct("customer_id")), 2)
         .cast("decimal(24,2)")
         .alias("revenue_per_customer"),
     )
@@ -189,3 +191,28 @@ def test_empty_input_gives_empty_marts(facts, customers):
     inputs = staged(facts.filter("1 = 0"), customers)
     assert marts.daily_revenue(*inputs, unique_transactions=True).count() == 0
     assert marts.customer_360(*inputs).count() == 0
+
+
+IDS = st.sampled_from([None, "t1", "t2", "t3", "t4"])
+CUSTOMERS = st.sampled_from([None, "a", "b", "c"])
+CENTS = st.integers(-50_000, 2_000_000).map(lambda n: n / 100)
+FACTS = st.lists(st.tuples(IDS, CUSTOMERS, CENTS, st.sampled_from([D1, D2])), min_size=1, max_size=15)
+DIMS = st.lists(
+    st.tuples(st.sampled_from("abd"), st.sampled_from([None, "X", "Y"]), st.sampled_from([None, "R"])),
+    max_size=6,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(FACTS, DIMS, st.booleans())
+def test_any_input_equals_plain_plan(spark, data, members, unique):
+    if unique:
+        data = [(f"u{i}", customer, amount, day) for i, (_, customer, amount, day) in enumerate(data)]
+    facts = spark.createDataFrame([fact(*row) for row in data], FACT)
+    customers = spark.createDataFrame([dim(*member) for member in members], DIM)
+    inputs = staged(facts, customers)
+    daily = marts.daily_revenue(*inputs, unique_transactions=unique)
+    assert rows(daily) == rows(plain_daily(*inputs))
+    expected = plain_360(*inputs)
+    c360 = marts.customer_360(*inputs, as_of=AS_OF, unique_transactions=unique)
+    assert rows(c360.select(*expected.columns)) == rows(expected)

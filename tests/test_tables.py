@@ -58,6 +58,17 @@ def test_table_moved_away_by_a_lost_driver_comes_back(spark, tmp_path):
     assert tables.overwrite_table(spark.range(2), path) == 2
     assert os.listdir(tmp_path) == ["t"]
     assert not tables.table_exists(spark, str(tmp_path / "other"))
+    os.rename(path, tables._sibling(f"{path}_longer", "retired"))
+    assert not tables.table_exists(spark, path)
+    assert tables.table_exists(spark, f"{path}_longer")
+
+
+def test_versions_left_by_a_lost_driver_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(9).write.parquet(tables._sibling(path, "retired"))
+    tables.overwrite_table(spark.range(4), path)
+    assert tables.read_table(spark, path).count() == 4
+    assert os.listdir(tmp_path) == ["t"]
 
 
 def test_empty_overwrite(spark, tmp_path):
