@@ -69,6 +69,12 @@ def text_of(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once; an outer array named in a lambda is computed for
+    every element otherwise."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def number_rows(
     df: DataFrame,
     group: Sequence[str],

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import SPACE, settle, text_of
+from stratum.llm.common import SPACE, let, settle, text_of
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -20,12 +20,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE + "+"), lambda w: w != "")
 
 
-def let(value: Column, body) -> Column:
-    """body(value) with the value computed once; an outer array named in a lambda is computed for
-    every element otherwise."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def repeated_window_words(words: Column, n: int = 3) -> Column:
     """How many words lie in a window of n words that the text holds twice or more.
 

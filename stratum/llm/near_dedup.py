@@ -6,10 +6,11 @@ into a class first, so copies cost nothing below. Then, in several independent t
 * A tree's root deals the classes to nodes by one selected minwise token (a minwise value of the
   set under one hash function). Two sets of similarity J share a node with probability J.
 * In a small node all pairs are compared, by sketches of 64 minwise tokens of four bits.
-* In a large node every member is compared with a few leaders, different ones in every tree.
-  Members close to a leader stay linked to it and leave. The rest branch by further selected
-  tokens, until no large node is left. So a node of any size costs a few comparisons per member,
-  and no bucket is cut off.
+* In a large node every member is compared with a few random leaders, others in every tree, and
+  with the member that is nearest to these leaders together: the middle of the node, such as the
+  text that all others are edits of. Members well within the threshold of one of them leave,
+  linked to it. The rest branch by further selected tokens, until no large node is left. So a node
+  of any size costs a few comparisons per member, and no bucket is cut off.
 
 Pairs whose sketches allow the wanted similarity are confirmed on the full sets. Links of classes
 form components, and the smallest doc_id of each component stays.
@@ -46,11 +47,12 @@ class Settings:
     shingle: int = 5
     percent: int = 75  # linked if 100 * intersection >= percent * union
     trees: int = 10
-    small: int = 32  # nodes up to this size are compared exhaustively
+    small: int = 64  # nodes up to this size are compared exhaustively
     # Of 64 sketch tokens 15 differ on average at similarity 0.75, with a deviation of 3.4.
     may_differ: int = 28  # candidates
-    close: int = 15  # near enough to a leader to leave its node
-    leaders: int = 2
+    close: int = 10  # near enough to a leader to leave its node
+    sure: int = 6  # near enough to the middle to need no other leader
+    leaders: int = 4
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -68,7 +70,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np
         n_windows = np.where(n_words >= k, n_words - k + 1, (n_words > 0).astype(np.int64))
         at = np.concatenate([[0], np.cumsum(n_windows)])
         sums = np.zeros(len(w) + k, np.uint64)
-        for i in range(k):
+        for i in range(min(k, len(w))):
             sums[: len(w) - i] += w[i:] * _PLACE[i]
         # Window starts of long documents; a short one takes its only window from its words.
         doc = np.repeat(np.arange(docs), n_windows)
@@ -208,25 +210,55 @@ def candidates(classes: DataFrame, settings: Settings, max_levels: int = 200) ->
         found.append(settle(close.select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct(), "pairs"))
 
         large = live.filter(F.col("n") > settings.small)
-        best = F.array_min(
+        own = [F.col(c) for c in SKETCH]
+        apart = [_differing(own, [F.col(f"lead{i}.{c}") for c in SKETCH]) for i in range(settings.leaders)]
+        middle = large.groupBy("node").agg(
+            F.min(F.struct(sum(apart, F.lit(0)).alias("d"), "id", *SKETCH)).alias("middle")
+        )
+        led = large.join(middle.withColumnRenamed("node", "at"), F.col("node") == F.col("at"))
+        far = COORDINATES + 1  # from itself: nothing learnt
+        nearest = F.array_min(
             F.array(
                 *[
                     F.struct(
-                        _differing([F.col(c) for c in SKETCH], [F.col(f"lead{i}.{c}") for c in SKETCH]).alias("d"),
+                        F.when(F.col(f"lead{i}.id") == F.col("id"), far).otherwise(d).alias("d"),
                         F.col(f"lead{i}.id").alias("id"),
                     )
-                    for i in range(settings.leaders)
+                    for i, d in enumerate(apart)
                 ]
             )
         )
-        large = settle(large.select("node", "id", *SKETCH, best.alias("best")), "large")
-        if large.isEmpty():
+        to_middle = F.when(F.col("middle.id") == F.col("id"), far).otherwise(
+            _differing(own, [F.col(f"middle.{c}") for c in SKETCH])
+        )
+        led = settle(
+            led.select(
+                "node",
+                "id",
+                *SKETCH,
+                F.col("middle.id").alias("middle"),
+                to_middle.alias("to_middle"),
+                nearest.alias("nearest"),
+            ),
+            "large",
+        )
+        if led.isEmpty():
             break
-        led = large.filter((F.col("best.d") <= settings.may_differ) & (F.col("best.id") != F.col("id")))
-        found.append(led.select(*_pair(F.col("id"), F.col("best.id"))).distinct())
-        rows = large.filter(
-            (F.col("best.d") > settings.close) & (F.col("best.id") != F.col("id"))
-        ).select(F.xxhash64("node", _next_token(F.col("node"))).alias("node"), "id", *SKETCH)
+        found.append(
+            led.filter(F.col("to_middle") <= settings.may_differ)
+            .select(*_pair(F.col("id"), F.col("middle")))
+            .distinct()
+        )
+        found.append(
+            led.filter(
+                (F.col("to_middle") > settings.sure) & (F.col("nearest.d") <= settings.may_differ)
+            )
+            .select(*_pair(F.col("id"), F.col("nearest.id")))
+            .distinct()
+        )
+        rows = led.filter(F.least("to_middle", "nearest.d") > settings.close).select(
+            F.xxhash64("node", _next_token(F.col("node"))).alias("node"), "id", *SKETCH
+        )
     else:
         raise RuntimeError(f"large nodes are left after {max_levels} levels")
     pairs = found[0]

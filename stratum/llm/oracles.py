@@ -103,7 +103,7 @@ left join lowest l on c.id = l.id
 def _spans(kind: str, pattern: str) -> str:
     """Matches of a kind with their places, from the pieces between them."""
     return f"""
-    select doc_id, '{kind}' as kind, v[i] as value, text,
+    select doc_id, '{kind}' as kind, v[i] as value, text, right(g[i], 40) || ' ' || left(g[i + 1], 40) as around,
            cast(list_sum(list_transform(g[1:i], lambda x: length(x)))
              + coalesce(list_sum(list_transform(v[1:i - 1], lambda x: length(x))), 0) as bigint) as start
     from (select *, unnest(range(1, len(v) + 1)) as i from (
@@ -128,8 +128,7 @@ shaped as (
     select *, start + length(value) as stop, regexp_replace(value, '[^0-9]', '', 'g') as digits,
            regexp_replace(value, ' ', '', 'g') as compact,
            start = 0 or not regexp_matches(text[start:start], '[A-Za-z0-9]') as free_before,
-           not regexp_matches(text[start + length(value) + 1:start + length(value) + 1], '[A-Za-z0-9]') as free_after,
-           text[greatest(start - 39, 1):start] || ' ' || text[start + length(value) + 1:start + length(value) + 40] as around
+           not regexp_matches(text[start + length(value) + 1:start + length(value) + 1], '[A-Za-z0-9]') as free_after
     from found
 ), checked as (
     select * from shaped where case kind

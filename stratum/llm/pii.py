@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import text_of
+from stratum.llm.common import let, text_of
 
 LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
@@ -32,7 +32,8 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = tuple(PATTERNS)
 #: Score of a confirmed span without any context.
 PRIOR = {"email": 0.95, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9, "national_id": 0.4}
-#: Words that make a span likelier (for the kind) or unlikelier (for all), within 40 characters.
+#: Words that make a span likelier (for the kind) or unlikelier (for all), within 40 characters and
+#: not beyond another match of the kind's pattern.
 NEAR = 40
 SUPPORT = {
     "email": "mail|contact|write|reach",
@@ -99,36 +100,60 @@ def _confirmer(kind: str):
     return lambda span: _confirmed(kind, span["value"])
 
 
+_SPANS = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+#: Matches placed at a time; appending one by one would copy the array for each.
+CHUNK = 128
+
+
 def _located(text: Column, kind: str) -> Column:
-    """Array of (start, end, value) of all matches, in order, before any check."""
+    """Array of (start, end, value, text before, text after) of all matches, before any check.
+
+    The texts reach to the neighbouring matches.
+    """
     pattern = PATTERNS[kind]
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    zero = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,value:string>>").alias("spans"),
-    )
-    return F.when(
-        F.size(values) > 0,
-        F.aggregate(
-            F.arrays_zip(F.slice(gaps, 1, F.size(values)).alias("gap"), values.alias("value")),
-            zero,
-            lambda acc, x: F.struct(
-                (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("at"),
-                F.concat(
-                    acc["spans"],
-                    F.array(
-                        F.struct(
-                            (acc["at"] + F.length(x["gap"])).alias("start"),
-                            (acc["at"] + F.length(x["gap"]) + F.length(x["value"])).alias("end"),
-                            x["value"].alias("value"),
-                        )
-                    ),
-                ).alias("spans"),
+
+    def state(at: Column, spans: Column) -> Column:
+        return F.struct(at.alias("at"), spans.alias("spans"))
+
+    def place(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["value"])
+        span = F.struct(
+            start.alias("start"),
+            end.alias("end"),
+            x["value"].alias("value"),
+            x["gap"].alias("before"),
+            x["after"].alias("after"),
+        )
+        return state(end, F.concat(acc["spans"], F.array(span)))
+
+    def place_all(matches: Column) -> Column:
+        none = F.array().cast(_SPANS)
+        chunks = F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / CHUNK).cast("int"))
+        return F.aggregate(
+            chunks,
+            state(F.lit(0), none),
+            lambda acc, c: let(
+                F.aggregate(F.slice(matches, c * CHUNK + 1, CHUNK), state(acc["at"], none), place),
+                lambda own: state(own["at"], F.concat(acc["spans"], own["spans"])),
             ),
             lambda acc: acc["spans"],
-        ),
-    ).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+        )
+
+    def with_gaps(values: Column) -> Column:
+        return let(F.split(text, pattern, -1), lambda gaps: placed(gaps, values))
+
+    def placed(gaps: Column, values: Column) -> Column:
+        before, after = F.slice(gaps, 1, F.size(values)), F.slice(gaps, 2, F.size(values))
+        return let(
+            F.arrays_zip(before.alias("gap"), values.alias("value"), after.alias("after")), place_all
+        )
+
+    return let(
+        values,
+        lambda v: F.when(F.size(v) > 0, with_gaps(v)).otherwise(F.array().cast(_SPANS)),
+    )
 
 
 @dataclass(frozen=True)
@@ -150,22 +175,20 @@ def find_pii(docs: DataFrame, text_col: str = "text", out: str = "pii", options:
     found = []
     for kind in (k for k in KINDS if k in options.kinds):
         checked = F.filter(_located(text, kind), _confirmer(kind))
-        scored = F.transform(checked, _scorer(text, kind))
+        scored = F.transform(checked, _scorer(kind))
         if kind not in BASE:
             scored = F.filter(scored, lambda s: s["score"] >= options.threshold)
         found.append(scored)
     return docs.withColumn(out, F.concat(*found))
 
 
-def _scorer(text: Column, kind: str):
-    return lambda span: _scored(text, kind, span)
+def _scorer(kind: str):
+    return lambda span: _scored(kind, span)
 
 
-def _scored(text: Column, kind: str, span: Column) -> Column:
+def _scored(kind: str, span: Column) -> Column:
     """The span with its kind and score; context is looked at only for confirmed spans."""
-    before = F.substring(text, F.greatest(span["start"] - NEAR + 1, F.lit(1)), F.least(span["start"], F.lit(NEAR)))
-    after = F.substring(text, span["end"] + 1, F.lit(NEAR))
-    around = F.concat(before, F.lit(" "), after)
+    around = F.concat(F.right(span["before"], F.lit(NEAR)), F.lit(" "), F.left(span["after"], F.lit(NEAR)))
     score = (
         F.lit(PRIOR[kind])
         + F.when(around.rlike(rf"(?i)\b(?:{SUPPORT[kind]})"), BONUS).otherwise(0.0)

@@ -1,0 +1,145 @@
+import html
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from stratum.llm import html_extract, pieces, queries, sentence_pieces
+from stratum.llm.dom import read
+
+
+@pytest.fixture(scope="module")
+def model_file():
+    return sentence_pieces.default_model()
+
+
+def segmentations(raw, by_spelling):
+    if not raw:
+        return [()]
+    return [
+        (by_spelling[raw[:n]], *rest)
+        for n in range(1, len(raw) + 1)
+        if raw[:n] in by_spelling
+        for rest in segmentations(raw[n:], by_spelling)
+    ]
+
+
+def test_samples_follow_the_distribution_without_replacement(model_file):
+    vocab = pieces.vocabulary(model_file, 0.3)
+    text, n, k = "the tt", 6000, 3
+    spelled = {s: i for i, s in reversed(list(enumerate(vocab.spelled))) if s and i >= 259}
+    found = segmentations(b" " + text.encode(), spelled)
+    weight = np.array([vocab.log_prob[list(s)].sum() for s in found])
+    p = dict(zip(found, np.exp(weight - np.logaddexp.reduce(weight)), strict=True))
+    first, second = Counter(), Counter()
+    inclusion_sum = 0.0
+    for part in pieces.text_slices(pa.array([text] * n)):
+        keys = pieces.mix(np.arange(n, dtype=np.uint64))
+        samples, threshold = pieces.sample(part, keys, k, vocab)
+        rows = [[tuple(s.pieces[s.at[j] : s.at[j + 1]].tolist()) for j in range(n)] for s in samples]
+        for j in range(n):
+            assert len({r[j] for r in rows}) == k
+            values = [s.perturbed[j] for s in samples] + [threshold[j]]
+            assert values == sorted(values, reverse=True)
+        first.update(rows[0])
+        second.update(rows[1])
+        # weights of p / inclusion sum to 1 on average
+        for s, r in zip(samples, rows, strict=True):
+            share = -np.expm1(-np.exp(s.log_prob - threshold))
+            inclusion_sum += sum(p[x] / q for x, q in zip(r, share, strict=True))
+    assert abs(inclusion_sum / n - 1) < 0.03
+    for s in sorted(p, key=p.get)[-6:]:
+        assert abs(first[s] / n - p[s]) < 0.03
+        expected = sum(p[q] * p[s] / (1 - p[q]) for q in p if q != s)
+        assert abs(second[s] / n - expected) < 0.03
+
+
+def test_samples_do_not_depend_on_the_batch(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    exact = ["doc_id", "sample", "n_ids", "digest"]  # sums of logs differ in the last bits
+    one = sentence_pieces.sample_encodings(docs, with_ids=False).select(exact)
+    other = sentence_pieces.sample_encodings(docs.repartition(7), with_ids=False).select(exact)
+    assert one.exceptAll(other).count() == 0
+
+
+def test_round_trip(spark, sf_dir, odd_documents):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(-1, "  two  spaces \n\t"), (-2, "漢字😀\x00é"), (-3, "a\r\nb")], docs.schema)
+    docs = docs.unionByName(more)
+    back = sentence_pieces.decode(sentence_pieces.encode(docs), "ids", "again")
+    assert back.filter("again <> text").count() == 0
+    sampled = sentence_pieces.sample_encodings(docs, k=2)
+    again = sentence_pieces.decode(sampled, "ids", "again").join(docs, "doc_id")
+    assert again.filter("again <> text or not round_trip").count() == 0
+    assert sampled.groupBy("doc_id").count().filter("count <> 3").count() <= 1
+
+
+def test_odd_rows_are_encoded(spark, odd_documents, no_documents):
+    rows = sentence_pieces.sample_encodings(odd_documents, k=2).collect()
+    assert all(r["round_trip"] for r in rows)
+    empty = [r for r in rows if r["doc_id"] in (3, 4)]
+    assert Counter(r["sample"] for r in empty) == {0: 2, 1: 2}
+    assert all(r["ids"] == [] and r["inclusion"] in (None, 1.0) for r in empty)
+    assert sentence_pieces.sample_encodings(no_documents).count() == 0
+    encoded = sentence_pieces.encode(odd_documents, out="score")
+    assert encoded.count() == 12 and encoded.columns[-1] == "score"
+    ids = spark.createDataFrame([(None,), ([],), ([1, 99_999_999, -5],)], "ids array<int>")
+    assert [r["text"] for r in sentence_pieces.decode(ids).collect()] == [None, "", ""]
+
+
+def article_text(source):
+    inner = re.sub(r"<br>", " ", source.split("<article>")[1].split("</article>")[0])
+    parts = re.split(r"</?(?:p|h1)>", re.sub(r"</?b>", "", inner))
+    lines = [" ".join(html.unescape(x).split()) for x in parts]
+    return "\n".join(x for x in lines if x)
+
+
+def test_given_pages_give_their_articles(spark, sf_dir):
+    got = {r["page_id"]: r for r in queries.op9_html_extract(spark, sf_dir).collect()}
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        row = got[page["page_id"]]
+        assert row["text"] == article_text(page["html"])
+        assert row["n_chars"] == len(row["text"])
+
+
+def test_held_out_layouts():
+    model = html_extract.train()
+    right = total = 0
+    for source in html_extract.sample_pages(60, seed=77):
+        page, label = html_extract._marked(source)
+        p = 1 / (1 + np.exp(-model.margin(html_extract.node_features(page))))
+        keep = html_extract.decode(page, p)
+        nodes = sorted({node for node, text in page.texts if text.strip() and label[node] >= 0})
+        right += sum(keep[i] == (label[i] == 1) for i in nodes)
+        total += len(nodes)
+    assert right / total > 0.96
+
+
+def test_decoding_has_no_main_text_below_other_matter():
+    page = read("<div><p>a</p><p>b</p><p>c</p></div><nav><a>d</a></nav>")
+    p = np.full(len(page.tag), 0.1)
+    p[page.tag.index("p")] = 0.55  # alone against its parent and siblings
+    keep = html_extract.decode(page, p)
+    assert not keep[page.tag.index("a")]
+    for i in range(1, len(page.tag)):
+        if keep[i] and page.tag[page.parent[i]] == "a":
+            raise AssertionError
+
+
+def test_reader_takes_broken_markup():
+    page = read("<p>one <b>two<p>three &amp four<br>five<script>x < y </p></script><li>six<li>seven<div")
+    assert html_extract.blocks(page, np.ones(len(page.tag), bool)) == "one two\nthree & four five\nsix\nseven"
+    assert html_extract.blocks(read("a < b &lt; c <!-- no --> d"), np.ones(9, bool)) == "a < b < c d"
+
+
+def test_odd_pages(spark):
+    rows = [(1, None, None), (2, "u", ""), (3, "u", "plain text only"), (4, "u", "<p>" * 3000 + "deep"), (4, "u", "<!-- cut")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = html_extract.extract(pages).collect()
+    assert len(out) == 5 and all(r["text"] is not None for r in out)
+    assert out[0]["text"] == "" and out[1]["text"] == ""
+    assert html_extract.extract(pages.limit(0)).count() == 0

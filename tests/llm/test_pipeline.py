@@ -1,0 +1,34 @@
+import corpus_pipeline
+from stratum.llm import exact_dedup, near_dedup
+
+
+def test_stages_take_effect(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, kept = kept, stage(spark, kept, sf_dir)
+        kept = spark.createDataFrame(kept.collect(), docs.schema)
+        assert kept.columns == docs.columns, name
+        assert kept.exceptAll(before).count() == 0, name
+        if name == "exact dedup":
+            assert exact_dedup.exact_duplicates(kept).filter("not kept").count() == 0
+        if name == "near dedup":
+            assert near_dedup.near_duplicates(kept).filter("not kept").count() == 0
+        if name == "mixing":
+            assert kept.count() == before.count()
+    encoded = corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir)
+    assert encoded.filter("not round_trip").count() == 0
+    assert encoded.select("doc_id").distinct().count() == kept.count()
+
+
+def test_run_equals_its_stages(spark, sf_dir):
+    rows = corpus_pipeline.run(spark, sf_dir)
+    ids = {r["doc_id"] for r in rows.select("doc_id").collect()}
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic = 1")
+    caught = toxic.count() - toxic.filter(toxic["doc_id"].isin(list(ids))).count()
+    assert caught >= 0.5 * toxic.count()
+
+
+def test_operators_do_not_swallow_missing_parts():
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert [name for name, _ in corpus_pipeline.STAGES][:3] == ["toxicity", "exact dedup", "near dedup"]
