@@ -1,6 +1,6 @@
 """Words and word hashes of whole Arrow text columns, with numpy over the UTF-8 bytes.
 
-A column is taken in slices of whole documents of about a megabyte, so memory is bounded by the
+A column is taken in slices of whole documents of about half a megabyte, so memory is bounded by the
 longest document and not by the batch. No Python object is made per word.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
