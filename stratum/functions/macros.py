@@ -23,7 +23,8 @@ def surrogate_key(*parts: Column | str) -> Column:
 
 
 def cents_to_dollars(amount: Column, precision: int = 2) -> Column:
-    return F.round(amount.try_cast("decimal(18,3)") / F.lit(100), precision)
+    """Amounts beyond 10^25 stop the job, as no cast here turns a number into null."""
+    return F.round(amount.cast("decimal(28,3)") / F.lit(100), precision)
 
 
 def _column(part: Column | str) -> Column:

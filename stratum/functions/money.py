@@ -10,12 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents(amount: Column) -> Column:
+def cents(amount: Column, strict: bool = False) -> Column:
     """Whole cents of an amount already rounded to two places.
 
-    Null for null, NaN, infinity and anything beyond a bigint.
+    Null for null, NaN, infinity and anything beyond a bigint; with ``strict``, for decimals, what is
+    beyond a bigint stops the job instead.
     """
-    return F.round(amount * 100).try_cast("bigint")
+    whole = F.round(amount * 100)
+    return whole.cast("bigint") if strict else whole.try_cast("bigint")
 
 
 def sum_cents(amount_cents: Column) -> Column:

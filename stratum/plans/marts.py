@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.dates import active_span_days
@@ -20,10 +20,16 @@ from stratum.functions.tiers import engagement_status, value_tier
 from stratum.operators.enrich import attribute_sets, left_lookup
 
 REPORTING_START = "2023-01-01"
-MONEY = "decimal(12,2)"
+MONEY = "decimal(28,2)"
 CUSTOMER_ATTRIBUTES = ("customer_segment", "region", "signup_date", "crm_lifetime_value")
 
 
+def _money(amount: Column) -> Column:
+    """Every finite amount, to the cent; one too wide stops the job. NaN and infinity are null."""
+    finite = ~F.isnan(amount) & (F.abs(amount) < float("inf"))
+    return F.when(finite, amount.cast(MONEY))
+
+
 def stg_transactions(fct_transactions: DataFrame, reporting_start: date | str = REPORTING_START) -> DataFrame:
     """Typed projection from the reporting start on; the date literal prunes partitions."""
     return fct_transactions.filter(
@@ -31,7 +37,7 @@ def stg_transactions(fct_transactions: DataFrame, reporting_start: date | str =
     ).select(
         "transaction_id",
         "customer_id",
-        F.col("amount_usd").try_cast(MONEY).alias("transaction_amount"),
+        _money(F.col("amount_usd")).alias("transaction_amount"),
         F.col("transaction_ts").alias("transaction_at"),
         "transaction_date",
         "transaction_hour",
@@ -45,7 +51,7 @@ def stg_customers(dim_customer: DataFrame) -> DataFrame:
         F.col("segment").alias("customer_segment"),
         "region",
         "signup_date",
-        F.col("lifetime_value").try_cast(MONEY).alias("crm_lifetime_value"),
+        _money(F.col("lifetime_value")).alias("crm_lifetime_value"),
         "effective_from",
         "effective_to",
         "is_current",
@@ -71,7 +77,7 @@ def daily_revenue(
 ) -> DataFrame:
     """Revenue mart per day, segment and region."""
     keys = ["transaction_date", "customer_segment", "region"]
-    amount = cents(F.col("transaction_amount"))
+    amount = cents(F.col("transaction_amount"), strict=True)
     if unique_transactions:
         per_customer_day = transactions.groupBy("transaction_date", "customer_id").agg(
             F.count("transaction_id").alias("_n_ids"),
@@ -127,7 +133,7 @@ def customer_360(
     behaviour = transactions.groupBy("customer_id").agg(
         count_ids("transaction_id").alias("_n_ids"),
         F.count("transaction_amount").alias("_n_amounts"),
-        sum_cents(cents(F.col("transaction_amount"))).alias("_cents"),
+        sum_cents(cents(F.col("transaction_amount"), strict=True)).alias("_cents"),
         F.min("transaction_date").alias("first_purchase_date"),
         F.max("transaction_date").alias("last_purchase_date"),
     )

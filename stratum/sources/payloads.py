@@ -12,11 +12,15 @@ from pyspark.sql import types as T
 def unwrap_payloads(payloads: DataFrame, column: str, schema: str | None = None) -> DataFrame:
     """One row per record of the JSON payloads in ``column``, as the fields of ``schema``.
 
-    A list holds records, an object holds them under ``results``, and an object without ``results``
-    is one record. Without a schema one distributed pass infers it. Malformed JSON stops the job.
+    A list holds records, an object holds them under ``results`` (a list, or one record as an
+    object), and an object without ``results`` is one record. Without a schema one distributed pass infers it. Malformed JSON stops the job.
     """
     body = F.col("_payload")
-    results = F.variant_get(body, "$.results", "array<variant>")
+    inner = F.try_variant_get(body, "$.results", "variant")
+    is_one = F.schema_of_variant(inner).startswith("OBJECT")
+    results = F.when(is_one, F.array(inner)).otherwise(
+        F.variant_get(body, "$.results", "array<variant>")
+    )
     records = payloads.select(
         F.parse_json(F.col(column)).alias("_payload"),
         F.col(column).rlike(r"^\s*\[").alias("_is_list"),
@@ -61,5 +65,23 @@ def _inferred_schema(records: DataFrame, column: str) -> str:
     merged = records.agg(F.schema_of_variant_agg(F.col(column))).first()[0]
     if not merged.startswith("OBJECT<"):
         raise ValueError(f"payload records are not JSON objects: {merged}")
-    ddl = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", merged)
-    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", ddl).replace("OBJECT<", "STRUCT<")
+    return _spark_type(merged)
+
+
+_NAME_OR_TYPE = re.compile(r"`(?:[^`]|``)*`|[^,:<>\s]+(?=\s*:)|[A-Z_]+(?:\(\d+,\s*\d+\))?")
+
+
+def _spark_type(merged: str) -> str:
+    """The merged variant type with Spark's type names; field names, quoted or not, stay."""
+
+    def mapped(match: re.Match) -> str:
+        word = match[0]
+        if word.startswith("`"):
+            return word
+        if re.match(r"\s*:", merged[match.end() :]):
+            return f"`{word}`"
+        if word.startswith("DECIMAL("):
+            return "DOUBLE"
+        return {"VOID": "STRING", "VARIANT": "STRING", "OBJECT": "STRUCT"}.get(word, word)
+
+    return _NAME_OR_TYPE.sub(mapped, merged)

@@ -6,7 +6,7 @@ import json
 import os
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field, fields, replace
 
 FLAT_FILE_FORMATS = ("csv", "json")
 DEFAULT_RETENTION_DAYS = 90
@@ -30,6 +30,7 @@ class SourceSpec:
     description: str = ""
     sla_hours: float | None = None
     owner: str = ""
+    extra: Mapping[str, object] = field(default_factory=dict)  # keys of the entry not known here
 
 
 @dataclass(frozen=True)
@@ -45,16 +46,22 @@ def load_sources(config: str | Mapping) -> SourceConfig:
         with open(config, encoding="utf-8") as handle:
             config = json.load(handle)
     return SourceConfig(
-        sources=tuple(SourceSpec(**entry) for entry in config["sources"]),
+        sources=tuple(_spec(entry) for entry in config["sources"]),
         bronze_retention_days=config.get("bronze_retention_days", DEFAULT_RETENTION_DAYS),
         partition_column=config.get("default_partition_column", DEFAULT_PARTITION_COLUMN),
     )
 
 
+def _spec(entry: Mapping) -> SourceSpec:
+    known = {f.name for f in fields(SourceSpec)} - {"extra"}
+    extra = {key: value for key, value in entry.items() if key not in known}
+    return SourceSpec(**{key: value for key, value in entry.items() if key in known}, extra=extra)
+
+
 def expand_environment(spec: SourceSpec) -> SourceSpec:
     """Replace ``${NAME}`` in path, url and connection string; an unset name is an error."""
-    fields = ("path", "url", "connection_string")
-    return replace(spec, **{name: _expand(getattr(spec, name)) for name in fields})
+    texts = ("path", "url", "connection_string")
+    return replace(spec, **{name: _expand(getattr(spec, name)) for name in texts})
 
 
 def _expand(text: str | None) -> str | None:

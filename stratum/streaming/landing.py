@@ -14,6 +14,7 @@ from stratum.sources.registry import (
     SourceSpec,
     expand_environment,
 )
+from stratum.sources.tables import table_exists
 
 
 def land_new_files(
@@ -43,12 +44,38 @@ def land_new_files(
     stamped = stamp(arriving, spec.name, None).withColumn(
         partition_column, F.to_date("_ingested_at")
     )
+    target = f"{bronze_root.rstrip('/')}/{spec.name}"
+    before = _last_landing(spark, target, partition_column)
     query = (
         stamped.writeStream.format("parquet")
         .partitionBy(partition_column)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(f"{bronze_root.rstrip('/')}/{spec.name}")
+        .start(target)
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    return _landed_since(spark, target, partition_column, before)
+
+
+def _last_landing(spark: SparkSession, path: str, partition_column: str):
+    """The newest landing day and time, from the newest partition; None before the first landing."""
+    if not table_exists(spark, path):
+        return None
+    landed = spark.read.parquet(path)
+    day = landed.agg(F.max(partition_column)).first()[0]
+    if day is None:
+        return None
+    last = landed.filter(F.col(partition_column) == F.lit(day)).agg(F.max("_ingested_at")).first()[0]
+    return day, last
+
+
+def _landed_since(spark: SparkSession, path: str, partition_column: str, before) -> int:
+    """Rows landed after ``before``. Batches have later times one after the other, so these are the
+    rows of all batches of the run, however many there were; only its days are read."""
+    if not table_exists(spark, path):
+        return 0
+    landed = spark.read.parquet(path)
+    if before is not None:
+        day, last = before
+        landed = landed.filter((F.col(partition_column) >= F.lit(day)) & (F.col("_ingested_at") > F.lit(last)))
+    return landed.count()

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Fixed values shared with the SQL twins.
 AS_OF = "2001-08-01"
 REPORTING_START = "1996-01-01"
-LTV_START = "1999-01-01"
 SNAPSHOT_DAYS = {1: "1998-01-01", 2: "2000-01-01"}
 
 
@@ -96,6 +95,11 @@ def _customer_columns(version: Column) -> list[Column]:
     ]
 
 
+def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer, with the columns of the first snapshot."""
+    return _customer_master(spark, sf_dir).select(*_customer_columns(F.lit(1)))
+
+
 def customer_snapshot(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     """Customer master as of the first or second snapshot day."""
     number = F.lit(version)

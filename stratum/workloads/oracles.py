@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stratum.workloads.fixtures import AS_OF, LTV_START, REPORTING_START, SNAPSHOT_DAYS
+from stratum.workloads.fixtures import AS_OF, REPORTING_START, SNAPSHOT_DAYS
 
 BRONZE_TRANSACTIONS = """
 bronze_transactions AS (
@@ -100,12 +100,12 @@ history AS (
 def _staging(fct: str = "fct", start: str = REPORTING_START) -> str:
     return f"""
 stg_t AS (
-  SELECT transaction_id, customer_id, CAST(amount_usd AS DECIMAL(12,2)) AS transaction_amount,
+  SELECT transaction_id, customer_id, CAST(amount_usd AS DECIMAL(28,2)) AS transaction_amount,
          transaction_ts AS transaction_at, transaction_date, transaction_hour
   FROM {fct} WHERE transaction_date >= DATE '{start}'),
 stg_c AS (
   SELECT customer_id, segment AS customer_segment, region, signup_date,
-         CAST(lifetime_value AS DECIMAL(12,2)) AS crm_lifetime_value,
+         CAST(lifetime_value AS DECIMAL(28,2)) AS crm_lifetime_value,
          effective_from, effective_to, is_current
   FROM dim WHERE is_current),
 enriched AS (
@@ -295,9 +295,10 @@ FROM events""",
 SELECT transaction_id, customer_id, amount, CAST(transaction_ts AS VARCHAR) AS transaction_ts,
        amount_usd, transaction_date, transaction_hour FROM fct""",
         "silver_customer": f"WITH {SNAPSHOTS} SELECT {frame_columns} FROM dim",
-        "scd2_frame": f"""WITH {SNAPSHOTS}
+        "scd2_frame": f"""WITH {SNAPSHOTS},
+whole AS (SELECT customer_id, c_mktsegment AS segment, region, signup_date, lifetime_value FROM master)
 SELECT {customer_columns}, DATE '{AS_OF}' AS effective_from, DATE '9999-12-31' AS effective_to,
-       true AS is_current FROM v1""",
+       true AS is_current FROM whole""",
         "scd2_merge": f"WITH {_history(True)} SELECT {frame_columns} FROM history",
         "scd2_merge_incremental": f"WITH {_history(False)} SELECT {frame_columns} FROM history",
         "point_in_time_join": f"""WITH {_history(True)}
@@ -339,7 +340,7 @@ summary AS (
          {_money(ltv_total)} AS lifetime_spend,
          min(transaction_date) AS first_transaction_date,
          max(transaction_date) AS last_transaction_date
-  FROM fct WHERE transaction_date >= DATE '{LTV_START}' GROUP BY customer_id)
+  FROM fct GROUP BY customer_id)
 SELECT d.customer_id, segment, region, signup_date, lifetime_value, lifetime_transactions,
        lifetime_spend, first_transaction_date, last_transaction_date,
        date_diff('day', signup_date, DATE '{AS_OF}') AS tenure_days,
@@ -441,8 +442,9 @@ WHERE transaction_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
         "test_not_null": f"""WITH {BRONZE_TRANSACTIONS}
 SELECT transaction_id, customer_id, tie_break FROM bronze_transactions WHERE customer_id IS NULL""",
         "test_accepted_values": f"""WITH {_c360_ctes(SILVER, 'fct')},
-partly AS (SELECT customer_id, CASE WHEN region <> 'ASIA' THEN value_tier END AS value_tier FROM c360)
-SELECT customer_id, value_tier FROM partly WHERE value_tier NOT IN ('platinum', 'gold')""",
+partly AS (SELECT customer_id, CASE WHEN region = 'ASIA' THEN 'diamond' WHEN region <> 'AFRICA' THEN value_tier
+           END AS value_tier FROM c360)
+SELECT customer_id, value_tier FROM partly WHERE value_tier NOT IN ('platinum', 'gold', 'silver', 'bronze')""",
         "test_accepted_range": f"""WITH {SILVER}
 SELECT transaction_id, amount, tie_break FROM typed WHERE NOT (amount >= 0)""",
         "freshness": f"""SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS max_loaded_at,

@@ -173,7 +173,7 @@ def test_ltv_keeps_idle_customers(facts, customers):
 def test_staging(facts, customers):
     transactions, current = staged(facts, customers, "2020-02-01")
     assert {r.transaction_id for r in transactions.collect()} == {"t3", "t8"}
-    assert dict(transactions.dtypes)["transaction_amount"] == "decimal(12,2)"
+    assert dict(transactions.dtypes)["transaction_amount"] == "decimal(28,2)"
     assert current.filter("not is_current").count() == 0
     assert "customer_segment" in current.columns and "segment" not in current.columns
 
