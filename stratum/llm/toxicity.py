@@ -77,6 +77,14 @@ class ToxicityModel:
         return self.bias + np.bincount(key >> BITS, self.weights[key & (2**BITS - 1)], n)
 
 
+def _holders(rows: list[np.ndarray]) -> np.ndarray:
+    """How many documents hold each feature; no copy of all features is made."""
+    count = np.zeros(2**BITS, np.int64)
+    for r in rows:
+        count[r] += 1  # distinct within a document
+    return count
+
+
 def fit_nnpu(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
@@ -92,8 +100,7 @@ def fit_nnpu(
     prior = float(np.clip(prior, 1e-3, 0.999))
     if not positive or not unlabelled:
         return ToxicityModel(float(np.log(prior / (1 - prior))), weights)
-    count_p = np.bincount(np.concatenate(positive), minlength=size)
-    count_u = np.bincount(np.concatenate(unlabelled), minlength=size)
+    count_p, count_u = _holders(positive), _holders(unlabelled)
     in_p = (count_p + 0.5) / (len(positive) + 1)
     # How often negatives hold it: unlabelled less the positives among them.
     in_n = np.maximum(count_u / len(unlabelled) - prior * count_p / len(positive), 0) / (1 - prior)
@@ -106,9 +113,9 @@ def fit_nnpu(
     place[chosen] = np.arange(len(chosen))
 
     def matrix(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        column = place[np.concatenate(rows)]
-        return doc[column >= 0], column[column >= 0]
+        columns = [place[r] for r in rows]
+        columns = [c[c >= 0] for c in columns]
+        return np.repeat(np.arange(len(rows)), [len(c) for c in columns]), np.concatenate(columns)
 
     (dp, cp), (du, cu) = matrix(positive), matrix(unlabelled)
     k = len(chosen)
@@ -173,7 +180,7 @@ def train_toxicity(
     label = rows.column("label").to_numpy()
     lists = rows.column("features").combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    sets = [flat[at[i] : at[i + 1]].astype(np.int64) for i in range(len(label))]
+    sets = [flat[at[i] : at[i + 1]] for i in range(len(label))]
     return fit_nnpu(
         [s for s, y in zip(sets, label, strict=True) if y == 1], [s for s, y in zip(sets, label, strict=True) if y == 0], prior
     )
