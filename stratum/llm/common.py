@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -61,7 +63,22 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
         )
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        try:
+            yield from function(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks and would hold on to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
 
 
 def text_of(column: str) -> Column:
