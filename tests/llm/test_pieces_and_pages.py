@@ -76,6 +76,23 @@ def test_round_trip(spark, sf_dir, odd_documents):
     assert sampled.groupBy("doc_id").count().filter("count <> 3").count() <= 1
 
 
+@pytest.mark.parametrize("with_mark", [False, True])
+def test_ids_by_unit_are_those_of_whole_texts(spark, sf_dir, model_file, with_mark):
+    own = spark.read.parquet(f"{sf_dir}/documents.parquet").toPandas()["text"].dropna().tolist()
+    own += ["", " ", "  ", "a ", " a", "a  b   c", "\n \n", "The the THE", "\u00a0\u3000x", "\ufb01 e\u0301", "word " * 3000]
+    if with_mark:
+        own += ["a \u2581 b", "\u2581\u2581 x", " \u2581"]
+    whole = sentence_pieces._processor(model_file).encode(own)
+    assert sentence_pieces._by_unit(model_file)
+    row = 0
+    for part in pieces.text_slices(pa.array(own)):
+        ids, at = sentence_pieces._encode_slice(part, pieces.units_of(part), model_file)
+        for a, b in zip(at, at[1:]):
+            assert ids[a:b].tolist() == whole[row]
+            row += 1
+    assert row == len(own)
+
+
 def test_odd_rows_are_encoded(spark, odd_documents, no_documents):
     rows = sentence_pieces.sample_encodings(odd_documents, k=2).collect()
     assert all(r["round_trip"] for r in rows)
