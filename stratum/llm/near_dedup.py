@@ -9,15 +9,16 @@ into a class first, so copies cost nothing below. Then, in several independent t
 * In a large node every member is compared with a few random leaders, others in every tree, and
   with the member that is nearest to these leaders together: the middle of the node, such as the
   text that all others are edits of. Members well within the threshold of one of them leave,
-  linked to it. The rest branch by further selected tokens, until no large node is left. So a node
-  of any size costs a few comparisons per member, and no bucket is cut off.
+  linked to it. Of the rest all pairs are compared if they are few or so alike that branching would
+  not part them; else each goes on to two children, by two further selected tokens.
 
 Pairs whose sketches allow the wanted similarity are confirmed on the full sets. Links of classes
 form components, and the smallest doc_id of each component stays.
 
-A pair at the threshold meets in a small node of a root with probability 0.75 per tree, so ten
-trees miss it with probability 0.25^10; if all its nodes are large and it has to survive two
-further branches, 0.75^3 per tree still finds 99.5 %.
+A pair at the threshold shares a root with probability 0.75 per tree, so ten trees miss it with
+probability 0.25^10 if it need not branch. Two children a level keep 1.53 shared nodes on average
+at the threshold (0.766 each, chance agreement of four bits included), so a pair that has to branch
+survives any number of levels with probability 0.9, and ten trees miss it with 0.32^10.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ class Settings:
     close: int = 10  # near enough to a leader to leave its node
     sure: int = 6  # near enough to the middle to need no other leader
     leaders: int = 4
+    compare: int = 512  # rows of a large node that are compared with all others without branching
+    alike: float = 0.5  # share of equal tokens from which two children a level cost more than all pairs
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -173,20 +176,70 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _next_token(node: Column) -> Column:
-    """The sketch token that this node selects to branch by."""
-    which = F.pmod(F.xxhash64(node, F.lit("branch")), F.lit(COORDINATES)).cast("int")
-    word = F.element_at(F.array(*SKETCH), (which / 16).cast("int") + 1)
-    return F.call_function("shiftrightunsigned", word, (which % 16) * 4).bitwiseAND(F.lit(15))
+def _next_tokens(node: Column) -> Column:
+    """The two children of a row: sketch tokens at two places that this node selects."""
+    first = F.pmod(F.xxhash64(node, F.lit("branch")), F.lit(COORDINATES))
+    second = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit("second")), F.lit(COORDINATES - 1)), F.lit(COORDINATES))
 
+    def child(which: Column) -> Column:
+        word = F.element_at(F.array(*SKETCH), F.floor(which / 16).cast("int") + 1)
+        token = F.call_function("shiftrightunsigned", word, (which % 16).cast("int") * 4).bitwiseAND(F.lit(15))
+        return F.xxhash64(node, which, token)
 
-def candidates(classes: DataFrame, settings: Settings, max_levels: int = 200) -> DataFrame:
+    return F.array(child(first), child(second))
+
+
+BLOCK = 512
+
+
+def _cross_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Candidates among all pairs of a node's rows that are in different groups.
+
+    ``rows`` has (node, id, group, sketch, crowd, crowd_n, rest_n): the node's largest group, its
+    size and the number of rows outside. Crowd and rest are dealt to blocks, and every two blocks
+    meet under a key of their own, so no task holds a node; the crowd is not compared with itself.
+    """
+    crowd_blocks = F.ceil(F.col("crowd_n") / BLOCK)
+    rest_blocks = F.ceil(F.col("rest_n") / BLOCK)
+    in_crowd = F.col("group") == F.col("crowd")
+    own = F.pmod(F.xxhash64("id", F.lit("block")), F.when(in_crowd, crowd_blocks).otherwise(rest_blocks))
+
+    def meet(kind: int, i: Column, j: Column, side: int) -> Column:
+        same = (i == j) if kind else F.lit(False)
+        return F.struct(F.xxhash64("node", F.lit(kind), i, j).alias("key"), F.lit(side).alias("side"), same.alias("same"))
+
+    def each(n: Column, body) -> Column:
+        return F.transform(F.sequence(F.lit(0).cast("long"), n - 1), body)
+
+    keys = F.when(in_crowd, each(rest_blocks, lambda j: meet(0, own, j, 0))).otherwise(
+        F.concat(
+            each(crowd_blocks, lambda i: meet(0, i, own, 1)),
+            # Blocks of the rest: the lower one left, the higher one right, and each with itself.
+            F.transform(F.sequence(own, rest_blocks - 1), lambda j: meet(1, own, j, 0)),
+            F.transform(F.sequence(F.lit(0).cast("long"), own), lambda i: meet(1, i, own, 1)),
+        )
+    )
+    dealt = settle(rows.select("id", "group", *SKETCH, F.inline(keys)), "blocks")
+    left = dealt.filter("side = 0").drop("side")
+    right = dealt.filter("side = 1").drop("side", "same")
+    right = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
+    met = left.hint("merge").join(
+        right,
+        (F.col("key") == F.col("o_key"))
+        & (F.col("group") != F.col("o_group"))
+        & (~F.col("same") | (F.col("id") < F.col("o_id"))),
+    )
+    apart = _differing([F.col(c) for c in SKETCH], [F.col(f"o_{c}") for c in SKETCH])
+    return met.filter(apart <= settings.may_differ).select(*_pair(F.col("id"), F.col("o_id"))).distinct()
+
+
+def candidates(classes: DataFrame, settings: Settings, max_levels: int = 6) -> DataFrame:
     """Distinct pairs (a, b), a < b, of classes whose sketches allow the wanted similarity."""
     rows = classes.select(
         "id", *SKETCH, F.posexplode("tokens").alias("tree", "token")
     ).select(F.xxhash64("tree", "token").alias("node"), "id", *SKETCH)
     found = []
-    for _ in range(max_levels):
+    for level in range(max_levels + 1):
         leads = [
             F.min(F.struct(F.xxhash64("node", "id", F.lit(i)).alias("o"), "id", *SKETCH)).alias(f"lead{i}")
             for i in range(settings.leaders)
@@ -239,6 +292,7 @@ def candidates(classes: DataFrame, settings: Settings, max_levels: int = 200) ->
                 F.col("middle.id").alias("middle"),
                 to_middle.alias("to_middle"),
                 nearest.alias("nearest"),
+                (1 - sum(apart, F.lit(0)) / (COORDINATES * settings.leaders)).alias("agree"),
             ),
             "large",
         )
@@ -256,11 +310,30 @@ def candidates(classes: DataFrame, settings: Settings, max_levels: int = 200) ->
             .select(*_pair(F.col("id"), F.col("nearest.id")))
             .distinct()
         )
-        rows = led.filter(F.least("to_middle", "nearest.d") > settings.close).select(
-            F.xxhash64("node", _next_token(F.col("node"))).alias("node"), "id", *SKETCH
+        grouped = led.filter(F.least("to_middle", "nearest.d") > settings.close).withColumn("group", F.col("id"))
+        sizes = grouped.groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("agree").alias("agree"))
+        crowds = sizes.groupBy("node").agg(
+            F.max(F.struct("n", "group", "agree")).alias("c"), F.sum("n").alias("n"), F.sum("agree").alias("agree")
         )
-    else:
-        raise RuntimeError(f"large nodes are left after {max_levels} levels")
+        crowds = crowds.filter("n > c.n").select(
+            F.col("node").alias("at"),
+            F.col("c.group").alias("crowd"),
+            F.col("c.n").alias("crowd_n"),
+            (F.col("n") - F.col("c.n")).alias("rest_n"),
+            ((F.col("agree") - F.col("c.agree")) / (F.col("n") - F.col("c.n"))).alias("rest_agree"),
+        )
+        whole = (F.col("rest_n") <= settings.compare) | (F.col("rest_agree") >= settings.alike)
+        if level == max_levels:  # what the levels did not part
+            whole = F.lit(True)
+        judged = grouped.join(crowds, F.col("node") == F.col("at")).select(
+            "node", "id", "group", *SKETCH, "crowd", "crowd_n", "rest_n", whole.alias("whole")
+        )
+        judged = settle(judged, "judged")
+        found.append(settle(_cross_pairs(judged.filter("whole").drop("whole"), settings), "cross"))
+        onward = judged.filter("not whole")
+        if onward.isEmpty():
+            break
+        rows = onward.select(F.explode(_next_tokens(F.col("node"))).alias("node"), "id", *SKETCH)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)

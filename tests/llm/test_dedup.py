@@ -122,6 +122,32 @@ def test_near_duplicates_against_brute_force(spark):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def template_rows(n, shared, own, planted):
+    """Texts of one template, linked to nothing but a planted twin each: (rows, similarities of twins)."""
+    rng = random.Random(n)
+    template = [f"t{i}" for i in range(shared)]
+    rows = [(i, template + [f"w{rng.randrange(10**9)}" for _ in range(own)]) for i in range(n)]
+    for i in range(planted):
+        tail = round((shared + own - 4) * (0.105 + 0.0065 * (i % 8)))
+        rows[n - 1 - i] = (n - 1 - i, rows[i][1][:-tail] + rows[n - 1 - i][1][-tail:])
+    rows = [(i, " ".join(words)) for i, words in rows]
+    sets = [shingles(t) for _, t in rows]
+    twins = [len(sets[i] & sets[n - 1 - i]) / len(sets[i] | sets[n - 1 - i]) for i in range(planted)]
+    return rows, twins
+
+
+@pytest.mark.parametrize("shared, own, compare", [(104, 25, 512), (34, 80, 64)])
+def test_near_duplicates_among_large_groups_of_one_template(spark, shared, own, compare):
+    rows, twins = template_rows(1200, shared, own, 60)
+    assert 0.7 < min(twins) and max(twins) < 0.9
+    expected, _ = brute_components(rows)
+    assert len(set(expected.values())) == 1200 - sum(x >= 0.75 for x in twins)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    settings = near_dedup.Settings(compare=compare)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, settings=settings).collect()}
+    assert found == expected
+
+
 def test_near_duplicates_of_odd_rows(odd_documents, no_documents):
     rows = near_dedup.near_duplicates(odd_documents).collect()
     assert len(rows) == 12
