@@ -8,9 +8,11 @@ into a class first, so copies cost nothing below. Then, in several independent t
 * In a small node all pairs are compared, by sketches of 64 minwise tokens of four bits.
 * In a large node every member is compared with a few random leaders, others in every tree, and
   with the member that is nearest to these leaders together: the middle of the node, such as the
-  text that all others are edits of. Members well within the threshold of one of them leave,
-  linked to it. Of the rest all pairs are compared if they are few or so alike that branching would
-  not part them; else each goes on to two children, by two further selected tokens.
+  text that all others are edits of. These links are confirmed at once, and what they connect is a
+  group whose members need no comparison with each other. All members stay to be met by the other
+  groups: all pairs across groups are compared if the members outside the largest group are few
+  or so alike that branching would not part them; else each member goes on to two children, by two
+  further selected tokens.
 
 Pairs whose sketches allow the wanted similarity are confirmed on the full sets. Links of classes
 form components, and the smallest doc_id of each component stays.
@@ -23,7 +25,7 @@ survives any number of levels with probability 0.9, and ten trees miss it with 0
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,7 +53,6 @@ class Settings:
     small: int = 64  # nodes up to this size are compared exhaustively
     # Of 64 sketch tokens 15 differ on average at similarity 0.75, with a deviation of 3.4.
     may_differ: int = 28  # candidates
-    close: int = 10  # near enough to a leader to leave its node
     sure: int = 6  # near enough to the middle to need no other leader
     leaders: int = 4
     compare: int = 512  # rows of a large node that are compared with all others without branching
@@ -233,12 +234,15 @@ def _cross_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
     return met.filter(apart <= settings.may_differ).select(*_pair(F.col("id"), F.col("o_id"))).distinct()
 
 
-def candidates(classes: DataFrame, settings: Settings, max_levels: int = 6) -> DataFrame:
-    """Distinct pairs (a, b), a < b, of classes whose sketches allow the wanted similarity."""
+def candidates(
+    classes: DataFrame, settings: Settings, confirm: Callable[[DataFrame], DataFrame], max_levels: int = 6
+) -> tuple[DataFrame, DataFrame | None]:
+    """Distinct pairs (a, b), a < b, of classes whose sketches allow the wanted similarity, and the
+    links among the members of large nodes and their leaders that ``confirm`` has found."""
     rows = classes.select(
         "id", *SKETCH, F.posexplode("tokens").alias("tree", "token")
     ).select(F.xxhash64("tree", "token").alias("node"), "id", *SKETCH)
-    found = []
+    found, links = [], None
     for level in range(max_levels + 1):
         leads = [
             F.min(F.struct(F.xxhash64("node", "id", F.lit(i)).alias("o"), "id", *SKETCH)).alias(f"lead{i}")
@@ -298,19 +302,19 @@ def candidates(classes: DataFrame, settings: Settings, max_levels: int = 6) -> D
         )
         if led.isEmpty():
             break
-        found.append(
-            led.filter(F.col("to_middle") <= settings.may_differ)
-            .select(*_pair(F.col("id"), F.col("middle")))
-            .distinct()
+        near_middle = led.filter(F.col("to_middle") <= settings.may_differ).select(
+            *_pair(F.col("id"), F.col("middle"))
         )
-        found.append(
-            led.filter(
-                (F.col("to_middle") > settings.sure) & (F.col("nearest.d") <= settings.may_differ)
-            )
-            .select(*_pair(F.col("id"), F.col("nearest.id")))
-            .distinct()
+        near_leader = led.filter(
+            (F.col("to_middle") > settings.sure) & (F.col("nearest.d") <= settings.may_differ)
+        ).select(*_pair(F.col("id"), F.col("nearest.id")))
+        star = settle(near_middle.unionByName(near_leader).distinct(), "star")
+        new = settle(confirm(star), "star-links")
+        links = new if links is None else links.unionByName(new)
+        group = components(links).select(F.col("id").alias("member"), F.col("component").alias("group"))
+        grouped = led.join(group, F.col("id") == F.col("member"), "left").withColumn(
+            "group", F.coalesce("group", "id")
         )
-        grouped = led.filter(F.least("to_middle", "nearest.d") > settings.close).withColumn("group", F.col("id"))
         sizes = grouped.groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("agree").alias("agree"))
         crowds = sizes.groupBy("node").agg(
             F.max(F.struct("n", "group", "agree")).alias("c"), F.sum("n").alias("n"), F.sum("agree").alias("agree")
@@ -337,7 +341,7 @@ def candidates(classes: DataFrame, settings: Settings, max_levels: int = 6) -> D
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
-    return pairs.distinct()
+    return pairs.distinct(), links
 
 
 def _confirm(percent: int):
@@ -463,8 +467,14 @@ def near_duplicates(
         classes.select(*digest, F.col("first.doc_id").alias("id"), "first.tokens", *[f"first.{c}" for c in SKETCH]),
         "classes",
     )
-    pairs = settle(candidates(classes, settings), "candidates")
-    links = settle(confirmed(docs, id_col, text_col, pairs, settings), "links")
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        return confirmed(docs, id_col, text_col, pairs, settings)
+
+    pairs, near_leaders = candidates(classes, settings, confirm)
+    links = settle(confirm(settle(pairs, "candidates")), "links")
+    if near_leaders is not None:
+        links = links.unionByName(near_leaders)
     # Rows that repeat an id tie the classes of their texts together.
     repeated = (
         full.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")

@@ -148,6 +148,31 @@ def test_near_duplicates_among_large_groups_of_one_template(spark, shared, own,
     assert found == expected
 
 
+def test_near_duplicates_at_the_fringe_of_a_large_group(spark):
+    """Texts whose only link is to one of many edits, which are all close to the first text."""
+    rng = random.Random(3)
+    base = [f"b{i}" for i in range(204)]
+    rows = [(0, base)]
+    for i in range(1, 700):  # about 0.9 like the first text
+        at = rng.randrange(190)
+        rows.append((i, base[:at] + [f"e{i}x{k}" for k in range(10)] + base[at + 10 :]))
+    for i in range(700, 760):
+        words = list(rows[i - 600][1])
+        cut = 26  # new words at the end
+        rows.append((i, words[:-cut] + [f"f{i}x{k}" for k in range(cut)]))
+    rows = [(i, " ".join(words)) for i, words in rows]
+    expected, sets = brute_components(rows)
+    only = [
+        i
+        for i in range(700, 760)
+        if [j for j in range(700) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])] == [i - 600]
+    ]
+    assert len(only) >= 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert found == expected
+
+
 def test_near_duplicates_of_odd_rows(odd_documents, no_documents):
     rows = near_dedup.near_duplicates(odd_documents).collect()
     assert len(rows) == 12
