@@ -189,19 +189,38 @@ def _block_starts(placed: DataFrame) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
-    """All rows of ``docs`` with all their columns, sorted by their position in the mix.
+def with_positions(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    slot: str = "slot",
+    position: str = "position",
+    **options,
+) -> DataFrame:
+    """All rows of ``docs`` with all their columns, their slot and their position in the mix.
 
-    Rows that share id and source take one place and stay together.
+    Rows that share id and source take one place.
     """
     units = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source")).distinct()
     placed = mix(units, "id", "source", **options).select(
-        F.struct("id", "source").alias("unit"), "position"
+        F.struct("id", "source").alias("unit"), "slot", "position"
     )
-    unit, position = "unit_of_row", "position_in_mix"
+    unit = "unit_of_row"
     keyed = docs.withColumn(
         unit, F.struct(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"))
     )
-    placed = placed.select(F.col("unit").alias(f"{unit}_r"), F.col("position").alias(position))
+    placed = placed.select(
+        F.col("unit").alias(f"{unit}_r"), F.col("slot").alias(slot), F.col("position").alias(position)
+    )
     joined = keyed.join(placed, F.col(unit).eqNullSafe(F.col(f"{unit}_r")))
-    return joined.orderBy(position).drop(unit, f"{unit}_r", position)
+    return joined.drop(unit, f"{unit}_r")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """All rows of ``docs`` with all their columns, sorted by their position in the mix.
+
+    Rows that share id and source take one place and stay together.
+    """
+    slot, position = "slot_in_mix", "position_in_mix"
+    placed = with_positions(docs, id_col, source_col, slot, position, **options)
+    return placed.orderBy(position).drop(slot, position)

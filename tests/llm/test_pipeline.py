@@ -1,5 +1,5 @@
 import corpus_pipeline
-from stratum.llm import exact_dedup, near_dedup
+from stratum.llm import exact_dedup, mixing, near_dedup
 
 
 def test_stages_take_effect(spark, sf_dir):
@@ -32,3 +32,31 @@ def test_run_equals_its_stages(spark, sf_dir):
 def test_operators_do_not_swallow_missing_parts():
     assert corpus_pipeline.ORACLE_SQL is None
     assert [name for name, _ in corpus_pipeline.STAGES][:3] == ["toxicity", "exact dedup", "near dedup"]
+
+
+def test_rows_have_their_place_in_the_mix(spark):
+    rows = [(i, f"text number {i} of some words", "big" if i % 3 else None) for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    stored = corpus_pipeline.settle(corpus_pipeline.mixed(spark, docs, ""), "mixed")
+    found = corpus_pipeline.encoded(spark, stored.repartition(5), "").filter("sample = 0").collect()
+    # Brute force: each slot goes to the released block with the earliest deadline.
+    counts = {"big": 466, None: 234}
+    names = ["big", None]
+    shares = mixing.whole_shares([float(counts[s]) ** 0.5 for s in names], 4096)
+    left, done, owner = {s: -(-n // 64) for s, n in counts.items()}, dict.fromkeys(names, 0), {}
+    for slot in range(4096):
+        ready = [(-(-(done[s] + 1) * 4096 // w), i) for i, (s, w) in enumerate(zip(names, shares)) if done[s] * 4096 // w <= slot]
+        s = names[min(ready)[1]]
+        done[s] += 1
+        if done[s] <= left[s]:
+            owner[slot] = s
+    expected = []
+    used = dict.fromkeys(names, 0)
+    for slot, s in sorted(owner.items()):
+        n = min(64, counts[s] - used[s])
+        used[s] += n
+        expected += [(slot, s)] * n
+    source = {i: s for i, _, s in rows}
+    found = sorted(found, key=lambda r: r["position"])
+    assert [r["position"] for r in found] == list(range(700))
+    assert [(r["slot"], source[r["doc_id"]]) for r in found] == expected
