@@ -19,12 +19,36 @@ from pyspark.sql import functions as F
 from stratum.llm.common import let, text_of
 
 LOCAL = "A-Za-z0-9._%+-"
+#: Characters of a bank account number by country.
+IBAN_LENGTHS = (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 "
+    "EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 "
+    "JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 "
+    "NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 "
+    "TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30 "
+)
+
+
+def _iban_pattern() -> str:
+    """Numbers of the length of their country, whatever follows after a space; else as many groups
+    as there are, up to the next such number."""
+    countries: dict[int, list[str]] = {}
+    for entry in IBAN_LENGTHS.split():
+        countries.setdefault(int(entry[2:]), []).append(entry[:2])
+    known = "|".join(
+        rf"(?:{'|'.join(names)})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}+" for n, names in sorted(countries.items())
+    )
+    known = rf"(?:{known})(?![A-Za-z0-9])"
+    other = rf"[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!{known}))?[A-Z0-9]){{11,30}}+(?![A-Za-z0-9])"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{other})"
+
+
 PATTERNS = {
     "email": rf"(?:\G|(?<![{LOCAL}]))[{LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": _iban_pattern(),
     "national_id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
 }
 #: The kinds whose spans are kept whatever their score, in the order of the listing.

@@ -65,6 +65,22 @@ def test_checksums_and_context_decide_added_kinds(spark):
     assert kinds == [["iban"], [], ["national_id"], []]
 
 
+def test_account_numbers_before_capitals_and_digits(spark):
+    spaced, compact, british = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29NWBK60161331926819"
+    texts = {
+        f"IBAN {spaced} Thanks": [spaced],
+        f"{compact} Amount": [compact],
+        f"{compact} BIC COBADEFF": [compact],
+        f"{spaced} A fee": [spaced],
+        f"{spaced} 12 EUR": [spaced],
+        f"{compact} {british} {spaced}": [compact, british, spaced],
+        f"REF1234 NR12 {compact} x": [compact],
+        f"{compact}0 Amount": [],
+    }
+    for spans, expected in zip(found(spark, list(texts)), texts.values()):
+        assert [s["value"] for s in spans if s["kind"] == "iban"] == expected
+
+
 def test_context_moves_scores_but_base_spans_stay(spark):
     with_word, without, against = found(spark, ["call +1 279 555 0216", "xyz +1 279 555 0216", "version +1 279 555 0216"])
     assert with_word[0]["score"] > without[0]["score"] > against[0]["score"]
