@@ -8,7 +8,8 @@ unlabelled negative is corrected by the positives hidden in it:
 
 and where the second part turns negative, which is overfitting, a step goes the other way.
 
-The features are words and their beginnings, hashed; those that positives hold more often than
+The features are words and their beginnings, hashed. Runs of letters beyond 32 bytes, as in scripts
+without spaces, count by the beginnings at each of their characters too, so all of a run is read. Those that positives hold more often than
 documents at large are kept. A document's score is a logistic function of the weights of the
 features it holds anywhere in its whole text.
 """
@@ -30,7 +31,8 @@ from stratum.llm.textbytes import IS_LETTER, Hashes, Slice, slices, words
 
 BITS = 18
 BEGINNINGS = (4, 5, 6)  # bytes
-LONGEST_WORD = 32  # bytes; longer ones count by their beginnings
+LONGEST_WORD = 32  # bytes; longer ones count by what begins at each of their characters, too
+PLACES = 1 << 19  # bytes of long words looked at together
 
 
 def _features(part: Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -40,11 +42,26 @@ def _features(part: Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     doc = np.repeat(np.arange(len(part.offsets) - 1), np.diff(runs.per_doc))
     length = runs.ends - runs.starts
     for kind, size in enumerate((0, *BEGINNINGS)):
-        use = length <= LONGEST_WORD if size == 0 else length > size
+        use = length > size
         starts = runs.starts[use]
         ends = runs.ends[use] if size == 0 else starts + size
-        h = hashes.of(starts, ends)
-        yield doc[use], ((h >> np.uint64(20 + kind)) & np.uint64(2**BITS - 1)).astype(np.int64)
+        yield doc[use], _feature(hashes.of(starts, ends), kind)
+    long = length > LONGEST_WORD
+    first, last, doc = runs.starts[long], runs.ends[long], doc[long]
+    until = np.cumsum(last - first)
+    for lo in range(0, int(until[-1]) if len(until) else 0, PLACES):
+        place = np.arange(lo, min(lo + PLACES, until[-1]))
+        run = np.searchsorted(until, place, "right")
+        at = last[run] - (until[run] - place)
+        inner = (at > first[run]) & (part.data[at] & 0xC0 != 0x80)  # UTF-8 characters begin here
+        run, at = run[inner], at[inner]
+        for kind, size in enumerate(BEGINNINGS, 1):
+            use = last[run] - at >= size
+            yield doc[run[use]], _feature(hashes.of(at[use], at[use] + size), kind)
+
+
+def _feature(h: np.ndarray, kind: int) -> np.ndarray:
+    return ((h >> np.uint64(20 + kind)) & np.uint64(2**BITS - 1)).astype(np.int64)
 
 
 def _distinct_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -92,3 +93,20 @@ def test_odd_rows_and_empty_training(spark, odd_documents, no_documents):
     assert toxicity.score_toxicity(no_documents, toxic).count() == 0
     assert rule_ensemble.score_quality(no_documents, quality).count() == 0
     assert odd_documents.filter(held_out("doc_id")).filter("doc_id is null").count() == 0
+
+
+def test_toxic_terms_late_in_a_run_without_spaces_count(spark):
+    rng = random.Random(8)
+    script = [chr(0x4E00 + i) for i in range(900)]
+    term = chr(0x6E00) + chr(0x6E01) + chr(0x6E02)
+
+    def text(toxic):
+        run = "".join(rng.choices(script, k=60))
+        return run[:40] + term + run[40:] if toxic else run
+
+    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train_toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scored = toxicity.score_toxicity(table, model).filter(held_out("doc_id")).collect()
+    assert len(scored) > 150
+    assert sum((r["score"] >= 0.5) != bool(r["toxic"]) for r in scored) <= 0.02 * len(scored)
