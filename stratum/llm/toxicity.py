@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stratum.llm.common import map_arrow
+from stratum.llm.common import map_arrow, settle
 from stratum.llm.labelled import sampled_ids
 from stratum.llm.textbytes import IS_LETTER, Hashes, Slice, slices, words
 
 BITS = 18
 BEGINNINGS = (4, 5, 6)  # bytes
 LONGEST_WORD = 32  # bytes; longer ones count by what begins at each of their characters, too
+KEEP = 8192  # features of a model
 PLACES = 1 << 19  # bytes of long words looked at together
 
 
@@ -102,11 +103,29 @@ def _holders(rows: list[np.ndarray]) -> np.ndarray:
     return count
 
 
+def _bounded(prior: float) -> float:
+    return float(np.clip(prior, 1e-3, 0.999))
+
+
+def _worthwhile(
+    count_p: np.ndarray, n_p: int, count_u: np.ndarray, n_u: int, prior: float, keep: int
+) -> np.ndarray:
+    """The features that positives hold more often than documents at large, at most ``keep``."""
+    in_p = (count_p + 0.5) / (n_p + 1)
+    # How often negatives hold it: unlabelled less the positives among them.
+    in_n = np.maximum(count_u / n_u - prior * count_p / n_p, 0) / (1 - prior)
+    lift = np.log(in_p / (in_n + 1 / n_u))
+    least = max(4, n_p // 100)
+    worth = np.where((count_p >= least) & (lift > np.log(2)), in_p * lift, 0)
+    chosen = np.argsort(-worth, kind="stable")[:keep]
+    return chosen[worth[chosen] > 0]
+
+
 def fit_nnpu(
     positive: list[np.ndarray],
     unlabelled: list[np.ndarray],
     prior: float,
-    keep: int = 8192,
+    keep: int = KEEP,
     steps: int = 1200,
     rate: float = 0.05,
     ridge: float = 1e-4,
@@ -114,18 +133,10 @@ def fit_nnpu(
     """From the distinct hashed features of each document. Without positives the score is low."""
     size = 2**BITS
     weights = np.zeros(size, np.float32)
-    prior = float(np.clip(prior, 1e-3, 0.999))
+    prior = _bounded(prior)
     if not positive or not unlabelled:
         return ToxicityModel(float(np.log(prior / (1 - prior))), weights)
-    count_p, count_u = _holders(positive), _holders(unlabelled)
-    in_p = (count_p + 0.5) / (len(positive) + 1)
-    # How often negatives hold it: unlabelled less the positives among them.
-    in_n = np.maximum(count_u / len(unlabelled) - prior * count_p / len(positive), 0) / (1 - prior)
-    lift = np.log(in_p / (in_n + 1 / len(unlabelled)))
-    least = max(4, len(positive) // 100)
-    worth = np.where((count_p >= least) & (lift > np.log(2)), in_p * lift, 0)
-    chosen = np.argsort(-worth, kind="stable")[:keep]
-    chosen = chosen[worth[chosen] > 0]
+    chosen = _worthwhile(_holders(positive), len(positive), _holders(unlabelled), len(unlabelled), prior, keep)
     place = np.full(size, -1)
     place[chosen] = np.arange(len(chosen))
 
@@ -177,8 +188,9 @@ def train_toxicity(
     """Fit on at most ``positives`` toxic and ``unlabelled`` other texts outside the held-out fold.
 
     The class prior is the share of toxic ones among at most ``prior_sample`` labelled rows. The
-    ids of the samples are bounded and broadcast to pick the texts in one pass; distinct hashed
-    features reach the driver, a few kilobytes a document.
+    ids of the samples are bounded and broadcast to pick the texts in one pass. An id repeated in
+    ``docs`` gives one text, the smallest. How many documents hold each feature is counted before
+    anything reaches the driver, and then only the features the fit keeps do.
     """
     sampled = sampled_ids(labels, id_col, label_col, prior_sample)
     prior = sampled.agg(F.avg(F.col("label").cast("double"))).first()[0] or 0.0
@@ -191,9 +203,34 @@ def train_toxicity(
     texts = docs.select(
         F.col(f"`{id_col}`").alias("own_id"), F.col(f"`{text_col}`").cast("string").alias("text")
     ).join(F.broadcast(chosen), F.col("own_id") == F.col("sample_id"))
-    rows = map_arrow(
-        texts.select("label", "text"), _distinct_features, "label int, features array<int>"
-    ).toArrow()
+    texts = texts.groupBy("sample_id", "label").agg(F.min("text").alias("text"))
+    held = settle(
+        map_arrow(texts.select("label", "text"), _distinct_features, "label int, features array<int>"), "features"
+    )
+    size = {r["label"]: r["n"] for r in held.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    holders = (
+        held.select("label", F.explode("features").alias("feature"))
+        .groupBy("label", "feature")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .toArrow()
+    )
+    count = np.zeros((2, 2**BITS), np.int64)
+    count[holders.column("label").to_numpy(), holders.column("feature").to_numpy()] = holders.column("n").to_numpy()
+    used = np.zeros(2**BITS, bool)
+    if size.get(1) and size.get(0):
+        used[_worthwhile(count[1], size[1], count[0], size[0], _bounded(prior), KEEP)] = True
+
+    def keep_used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            at = np.concatenate([[0], np.cumsum(used[flat])])[at].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(flat[used[flat]]))],
+                names=["label", "features"],
+            )
+
+    rows = map_arrow(held, keep_used, "label int, features array<int>").toArrow()
     label = rows.column("label").to_numpy()
     lists = rows.column("features").combine_chunks()
     at, flat = lists.offsets.to_numpy(), lists.values.to_numpy()

@@ -110,3 +110,18 @@ def test_toxic_terms_late_in_a_run_without_spaces_count(spark):
     scored = toxicity.score_toxicity(table, model).filter(held_out("doc_id")).collect()
     assert len(scored) > 150
     assert sum((r["score"] >= 0.5) != bool(r["toxic"]) for r in scored) <= 0.02 * len(scored)
+
+
+def test_training_takes_one_text_of_a_repeated_id(spark, monkeypatch):
+    rows = [(i, f"{'nasty' if i % 4 == 0 else 'kind'} words {i}", int(i % 4 == 0)) for i in range(400)]
+    repeated = next(i for i in range(0, 400, 4) if zlib.crc32(str(i).encode()) % 5)
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    copies = spark.createDataFrame([(repeated, f"zz{i} other") for i in range(2000)], "doc_id long, text string")
+    taken = []
+    fit = toxicity.fit_nnpu
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda p, u, prior: taken.append((p, u)) or fit(p, u, prior))
+    model = toxicity.train_toxicity(table.select("doc_id", "text").union(copies), table.select("doc_id", "toxic"))
+    (positive, unlabelled), = taken
+    trained = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(400))
+    assert len(unlabelled) == trained and len(positive) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(0, 400, 4))
+    assert set(np.concatenate(unlabelled)) <= set(np.flatnonzero(model.weights))
