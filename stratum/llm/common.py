@@ -45,12 +45,12 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package sent along, so workers find it wherever they start.
+def ship_package(spark: SparkSession) -> None:
+    """Send this package along, so workers find it wherever they start.
 
     The archive is made on the driver and handed out by Spark, once per application.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         folder = tempfile.mkdtemp(prefix="package-")
@@ -64,6 +64,11 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
         context.addPyFile(archive)
         _shipped.add(context.applicationId)
 
+
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package sent along."""
+    ship_package(df.sparkSession)
+
     def run(batches):
         try:
             yield from function(batches)

@@ -164,5 +164,84 @@ from docs d left join joined j on d.doc_id = j.doc_id
 """
 
 
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+OP11 = rf"""
+with split as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents
+), lines as (
+    select doc_id, unnest(x) as line, unnest(range(1, len(x) + 1)) as no from split
+), keyed as (
+    select *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from lines
+), repeated as (
+    select key, max(doc_id) as last from keyed where length(key) >= 20
+    group by key having count(distinct doc_id) >= 3
+), marked as (
+    select k.*, r.key is not null and k.doc_id <> r.last as dropped
+    from keyed k left join repeated r on k.key = r.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by no) filter (not dropped), '')) as kept_sha256
+from marked group by doc_id
+"""
+
+OP12 = r"""
+with drawn as (
+    select doc_id, coalesce(text, '') as text,
+           regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+           sha256('1:' || cast(doc_id as varchar)) as digest
+    from documents
+), numbers as (
+    select *, len(u) as n, cast('0x' || digest[1:8] as bigint) as h1, cast('0x' || digest[9:16] as bigint) as h2,
+           cast('0x' || digest[17:24] as bigint) as h3, cast('0x' || digest[25:32] as bigint) as h4
+    from drawn
+), cuts as (
+    select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+           case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                     or h3 % 100 >= 90 then 'plain'
+                when h4 % 100 < 20 then 'spm' else 'psm' end as form
+    from numbers
+), parts as (
+    select *, array_to_string(u[1:a], '') as p, array_to_string(u[a + 1:b], '') as m,
+           array_to_string(u[b + 1:], '') as s
+    from cuts
+)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then length(p) end as prefix_chars,
+       case when form <> 'plain' then length(m) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+              else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+       sha256(text) as restored_sha256
+from parts
+"""
+
+OP13 = r"""
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where label is not null and embedding is not null
+      and coalesce(list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))), true)
+), scored as (
+    select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+           cast(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) as bigint) as score
+    from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+    select anchor_id, id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, id) <= 5
+)
+select p.anchor_id, positive_id,
+       cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, id) as int) as rank,
+       id as negative_id, positive_score, score as negative_score
+from positives p join scored s
+  on p.anchor_id = s.anchor_id and not same
+ and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify row_number() over (partition by p.anchor_id, positive_id order by score desc, id) <= 10
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op4_pii": OP4, "op5_exact_dedup": OP5, "op6_host_rules": OP6, "op7_near_dedup": OP7}
+    return {"op4_pii": OP4, "op5_exact_dedup": OP5, "op6_host_rules": OP6, "op7_near_dedup": OP7} | {
+        "op11_line_dedup": OP11, "op12_fill_in_middle": OP12, "op13_hard_negatives": OP13,
+    }

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from stratum.llm import (
     exact_dedup,
+    fill_in_middle,
+    hard_negatives,
     host_rules,
     html_extract,
+    line_index,
     mixing,
     near_dedup,
     pii,
@@ -105,6 +108,32 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_index.drop_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_in_middle.restore(fill_in_middle.fill_in_middle(docs)).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, anchors=F.col("id") % 100 == 0)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -119,5 +148,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_sentencepiece,
             op9_html_extract,
             op10_toxicity,
+            op11_line_dedup,
+            op12_fill_in_middle,
+            op13_hard_negatives,
         )
     }
