@@ -23,8 +23,12 @@ def surrogate_key(*parts: Column | str) -> Column:
 
 
 def cents_to_dollars(amount: Column, precision: int = 2) -> Column:
-    """Amounts beyond 10^25 stop the job, as no cast here turns a number into null."""
-    return F.round(amount.cast("decimal(28,3)") / F.lit(100), precision)
+    """Null for what is no number; a number beyond 10^25 stops the job, as none is turned into null."""
+    exact = amount.try_cast("decimal(28,3)")
+    number = amount.try_cast("double")
+    too_wide = exact.isNull() & (F.abs(number) < float("inf"))
+    refused = F.raise_error(F.concat(F.lit("cents beyond 10^25: "), amount.cast("string")))
+    return F.round(F.when(too_wide, refused.cast("decimal(28,3)")).otherwise(exact) / F.lit(100), precision)
 
 
 def _column(part: Column | str) -> Column:

@@ -49,6 +49,16 @@ def test_cents_to_dollars(spark):
     assert one(df.limit(1), cents_to_dollars(F.col("c"), 1)) == [Decimal("123.5")]
 
 
+def test_cents_to_dollars_of_odd_amounts(spark):
+    df = spark.createDataFrame([("NaN",), ("Infinity",), ("",), ("100000000000000000",)], "c string")
+    assert one(df, cents_to_dollars(F.col("c"))) == [None, None, None, Decimal("1000000000000000.00")]
+    for wide in ("1e30", "-99999999999999999999999999999"):
+        with pytest.raises(Exception, match="cents beyond"):
+            one(spark.createDataFrame([(wide,)], "c string"), cents_to_dollars(F.col("c")))
+    doubles = spark.createDataFrame([(float("nan"),), (1e17,)], "c double")
+    assert one(doubles, cents_to_dollars(F.col("c"))) == [None, Decimal("1000000000000000.00")]
+
+
 def test_value_tier_thresholds_are_inclusive(spark):
     spends = [10000.0, 9999.99, 5000.0, 4999.99, 1000.0, 999.99, 0.0, None]
     df = spark.createDataFrame([(s,) for s in spends], "s double")
