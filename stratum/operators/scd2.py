@@ -76,6 +76,29 @@ def scd2_merge(
     return closed.unionByName(live)
 
 
+def scd2_change(
+    history: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    tracked: Sequence[str],
+    as_of: date | str,
+    full_snapshot: bool = False,
+) -> tuple[DataFrame, list[date]]:
+    """``scd2_merge`` for a history stored by ``effective_to``: new content of the partitions it touches,
+    and these: the open one and the one of the closing day.
+
+    Versions closed on other days are neither read nor written. Applied again after a job that was lost
+    between the two partitions, it gives what that job would have left.
+    """
+    day = date.fromisoformat(str(as_of))
+    parts = [OPEN_END, day]
+    live = history.filter(F.col("effective_to").isin(*parts))
+    merged = scd2_merge(live, snapshot, keys, tracked, as_of, full_snapshot)
+    # A version that was closed before the open partition could be written is closed a second time.
+    closed = merged.filter(F.col("effective_to") == F.lit(day)).distinct()
+    return merged.filter(F.col("effective_to") != F.lit(day)).unionByName(closed), parts
+
+
 def _with_new_columns(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
     known = set(dim.columns)
     return dim.withColumns(

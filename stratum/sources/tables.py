@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,7 @@ def overwrite_table(
     """
     spark = df.sparkSession
     counted = Observation()
-    rows = _written_rows(df, counted, partition_col)
+    rows = written_rows(df, counted, partition_col)
     writer = rows.write.format(fmt).mode("overwrite")
     if partition_col:
         writer = writer.partitionBy(partition_col)
@@ -81,12 +82,94 @@ def overwrite_table(
     return counted.get["rows"]
 
 
-def _written_rows(df: DataFrame, counted: Observation, partition_col: str | None) -> DataFrame:
+def written_rows(df: DataFrame, counted: Observation, partition_col: str | None = None) -> DataFrame:
+    """``df`` as it is written: rebalanced by its partition column, its rows counted behind that."""
     if partition_col:
         df = df.hint("rebalance", F.col(partition_col))
     return df.observe(counted, F.count(F.lit(1)).alias("rows"))
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_col: str, values: Iterable[object], fmt: str = DEFAULT_FORMAT
+) -> int:
+    """Make ``df`` the content of the partitions with these ``values``; the others are not touched.
+
+    ``df`` holds no other values and may read the table itself: Spark stages new files and replaces
+    the partitions they are for when the job is done. A partition ``df`` has no rows for is deleted.
+    Returns the number of rows written.
+    """
+    spark = df.sparkSession
+    folders = [f"{path.rstrip('/')}/{partition_folder(partition_col, value)}" for value in values]
+    before = {folder: _data_files(spark, folder) for folder in folders}
+    counted = Observation()
+    writer = written_rows(df, counted, partition_col).write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).save(path)
+    for folder, files in before.items():
+        if files and _data_files(spark, folder) == files:  # nothing came in their place
+            fs, target = _file_system(spark, folder)
+            fs.delete(target, True)
+    return counted.get["rows"]
+
+
+def partition_folder(partition_col: str, value: object) -> str:
+    """Name of the folder of a date, number or null."""
+    return f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def folder_values(spark: SparkSession, path: str, partition_col: str) -> dict[str, int]:
+    """Values of a partition column with the modification times of their folders; reads no file."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return {}
+    prefix = f"{partition_col}="
+    return {
+        unquote(status.getPath().getName().removeprefix(prefix)): status.getModificationTime()
+        for status in fs.listStatus(target)
+        if status.isDirectory() and status.getPath().getName().startswith(prefix)
+    }
+
+
+def newest_folder(spark: SparkSession, path: str, partition_col: str) -> DataFrame:
+    """The rows of the newest partition by value; only its folder is listed and read."""
+    values = [v for v in folder_values(spark, path, partition_col) if not v.startswith("__")]
+    while values:
+        folder = f"{path.rstrip('/')}/{partition_col}={max(values)}"
+        if _data_files(spark, folder):
+            return spark.read.option("basePath", path).parquet(folder)
+        values.remove(max(values))
+    return read_table(spark, path)
+
+
+def last_written_folder(spark: SparkSession, path: str, partition_col: str) -> DataFrame:
+    """The rows of the partition written last, by the times of the folders.
+
+    All rows where the store keeps no times of folders. A job that writes several partitions may
+    leave any of them as the last.
+    """
+    times = folder_values(spark, path, partition_col)
+    if not times or not max(times.values()):
+        return read_table(spark, path)
+    last = max(times, key=times.get)
+    return spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{partition_col}={last}")
+
+
+def expire_folders(spark: SparkSession, path: str, partition_col: str, before: str) -> list[str]:
+    """Delete the partition folders with values before ``before``; gives the values, reads no row."""
+    expired = sorted(v for v in folder_values(spark, path, partition_col) if not v.startswith("__") and v < before)
+    for value in expired:
+        fs, folder = _file_system(spark, f"{path.rstrip('/')}/{partition_col}={value}")
+        fs.delete(folder, True)
+    return expired
+
+
+def _data_files(spark: SparkSession, folder: str) -> set[str]:
+    fs, target = _file_system(spark, folder)
+    if not fs.exists(target):
+        return set()
+    names = {status.getPath().getName() for status in fs.listStatus(target)}
+    return {name for name in names if not name.startswith(("_", "."))}
+
+
 def materialize(
     df: DataFrame, name: str, how: str, path: str | None = None, fmt: str = DEFAULT_FORMAT
 ) -> DataFrame:

@@ -78,7 +78,7 @@ def test_empty_overwrite(spark, tmp_path):
 
 
 def test_rows_are_counted_behind_the_rebalancing_shuffle(spark):
-    written = tables._written_rows(spark.range(10).withColumn("p", F.lit(1)), Observation(), "p")
+    written = tables.written_rows(spark.range(10).withColumn("p", F.lit(1)), Observation(), "p")
     plan = plan_of(written)
     assert 0 < plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
 
