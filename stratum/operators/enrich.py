@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,3 +89,46 @@ def point_in_time_join(
     )
     helpers = ("_key", "_from", "_to", _SALT, "_version_salt")
     return salted.join(versions, holds, "left").drop(*helpers)
+
+
+def as_of_join(
+    facts: DataFrame,
+    history: DataFrame,
+    key: str,
+    at: str,
+    attributes: Sequence[str],
+    valid_from: str = "effective_from",
+    valid_to: str = "effective_to",
+    salts: int = 1,
+) -> DataFrame:
+    """``point_in_time_join`` by one sort instead of a join: for keys with many versions.
+
+    Facts and versions are united, sorted by key and day, and the last version is carried forward to
+    the facts behind it. Each row passes the shuffle once, where a join on the key meets every fact of
+    a key with all its versions. ``salts`` spreads the facts of each key over so many sorts, each with
+    a copy of the versions. Facts without a key have nothing to wait for and are spread by themselves.
+    """
+    day = F.to_date(F.col(at))
+    salted = _salted_facts(facts, key, salts)
+    alone = F.xxhash64(*[f"`{f.name}`" for f in facts.schema if not isinstance(f.dataType, _UNHASHABLE)])
+    version = F.struct(F.col(valid_to).alias("_to"), *[F.col(f"`{a}`") for a in attributes])
+    versions = history.filter((F.col(valid_from) < F.col(valid_to)) & F.col(key).isNotNull())
+    versions = _copies(versions, salts).select(
+        F.col(key).alias("_key"), _SALT, F.to_date(F.col(valid_from)).alias("_day"), F.lit(0).alias("_kind"), version.alias("_version")
+    )
+    asking = salted.select(
+        F.col(key).alias("_key"),
+        F.when(F.col(key).isNull(), alone).otherwise(F.col(_SALT)).alias(_SALT),
+        day.alias("_day"),
+        F.lit(1).alias("_kind"),
+        F.struct(*[F.col(f"`{c}`") for c in facts.columns]).alias("_fact"),
+    )
+    # On one day the version comes first: it holds from that day on.
+    so_far = Window.partitionBy("_key", _SALT).orderBy("_day", "_kind")
+    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = versions.unionByName(asking, allowMissingColumns=True).withColumn(
+        "_held", F.last("_version", ignorenulls=True).over(so_far)
+    )
+    holds = F.col("_day") < F.col("_held._to")
+    found = [F.when(holds, F.col("_held").getField(a)).alias(a) for a in attributes]
+    return held.filter("_kind = 1").select("_fact.*", *found)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +30,13 @@ class UnknownSourceType(ValueError):
     """No reader is registered for the type of a source."""
 
 
+MALFORMED = "_malformed_line"
+_CORRUPT = "_corrupt_line"
+
+
 def csv_options(spec: SourceSpec) -> dict:
-    return {"header": True, "mode": "FAILFAST", "escape": '"', "enforceSchema": False, **spec.options}
+    options = {"header": True, "mode": "FAILFAST", "escape": '"', "enforceSchema": False, **spec.options}
+    return {key: value for key, value in options.items() if key != "quarantine"}
 
 
 def json_options(spec: SourceSpec) -> dict:
@@ -44,31 +50,60 @@ def text_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
+def typed_columns(names: Sequence[str], schema: str | None) -> list[Column]:
+    """Text fields with missing-value tokens as null, declared columns converted by name.
+
+    Columns that are not declared stay as text, behind the declared ones; a declared column the data
+    lacks is an error.
+    """
+    declared = T.StructType.fromDDL(schema).fields if schema else []
+    absent = [field.name for field in declared if field.name not in names]
+    if absent:
+        raise ValueError(f"the header lacks the declared columns {', '.join(absent)}")
+    known = {field.name for field in declared}
+    return [
+        *[_cleaned(field.name).try_cast(field.dataType).alias(field.name) for field in declared],
+        *[_cleaned(name).alias(name) for name in names if name not in known],
+    ]
+
+
 def typed_fields(raw: DataFrame, schema: str | None) -> DataFrame:
-    """Text fields with missing-value tokens as null, converted to the declared columns by name."""
-    cleaned = {name: _without_null_tokens(F.col(f"`{name}`")) for name in raw.columns}
-    if schema is None:
-        return raw.select(*[value.alias(name) for name, value in cleaned.items()])
-    return raw.select(
-        *[
-            cleaned.get(field.name, F.lit(None)).try_cast(field.dataType).alias(field.name)
-            for field in T.StructType.fromDDL(schema)
-        ]
-    )
+    return raw.select(*typed_columns(raw.columns, schema))
 
 
 def read_csv(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """CSV with a header, columns matched by name.
+    """CSV with a header, columns matched by name, none left out.
 
     Fields are read as text, missing-value tokens become null, and declared columns are converted
-    with ``try_cast``, so that ids keep leading zeros and one bad number does not lose its row. A
-    line with the wrong number of fields stops the read. Files stay splittable; set the option
-    ``multiLine`` for fields that contain line breaks.
+    with ``try_cast``, so that ids keep leading zeros and one bad number does not lose its row. A line
+    with too few fields is filled up with nulls. One with too many stops the read; with the option
+    ``quarantine`` its surplus is cut off and a column ``_malformed_line`` keeps the line. Files stay
+    splittable; set the option ``multiLine`` for fields that contain line breaks.
     """
-    options = csv_options(spec)
-    header = spark.read.options(**{**options, "mode": "PERMISSIVE"}).csv(spec.path)
-    raw = spark.read.options(**options).schema(text_schema(header.columns)).csv(spec.path)
-    return typed_fields(raw, spec.schema)
+    options = {**csv_options(spec), "mode": "PERMISSIVE"}
+    names = spark.read.options(**options).csv(spec.path).columns
+    schema = T.StructType([*text_schema(names).fields, T.StructField(_CORRUPT, T.StringType())])
+    # A parser that skips columns does not see how many fields a line has.
+    whole = {**options, "columnNameOfCorruptRecord": _CORRUPT, "columnPruning": "false"}
+    lines = spark.read.options(**whole).schema(schema).csv(spec.path)
+    line = F.coalesce(F.col(_CORRUPT), _text(names[0]))  # Spark refuses to read the raw line alone
+    surplus = F.when(_fields_in(F.col(_CORRUPT), options) > len(names), line)
+    typed = typed_columns(names, spec.schema)
+    if str(spec.options.get("quarantine", "false")).lower() == "true":
+        return lines.select(*typed, surplus.alias(MALFORMED))
+    refused = F.raise_error(F.concat(F.lit("a line has too many fields: "), surplus))
+    return lines.filter(F.when(surplus.isNotNull(), refused.cast("boolean")).otherwise(True)).select(*typed)
+
+
+def _fields_in(line: Column, options: dict) -> Column:
+    """Number of fields of a line; separators between quotes are part of a field."""
+    quote, separator = options.get("quote", '"'), options.get("sep", options.get("delimiter", ","))
+    bare = line
+    if quote:
+        q = re.escape(quote)
+        bare = F.regexp_replace(line, f"(?s){q}(?:[^{q}]|{q}{q})*+{q}", "")
+    without = F.replace(bare, F.lit(separator), F.lit(""))
+    return (F.length(bare) - F.length(without)) / len(separator) + 1
 
 
 def read_json(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -144,5 +179,9 @@ def incremental_extract(
     return df.filter(F.col(updated_at) >= days_before(as_of, days)).select(*columns)
 
 
-def _without_null_tokens(text):
-    return F.when(~text.isin(*NULL_TOKENS), text)
+def _text(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def _cleaned(name: str) -> Column:
+    return F.when(~_text(name).isin(*NULL_TOKENS), _text(name))

@@ -25,19 +25,41 @@ def test_csv_keeps_ids_as_text_and_normalises_missing_values(spark, tmp_path):
     assert rows(read_source(spark, csv_source(path))) == [
         ("007", "1.5", 'x, "y"'), ("008", None, None), ("009", "abc", None),
     ]
-    typed = read_source(spark, csv_source(path, "note string, id string, amount double, extra date"))
-    assert typed.dtypes == [
-        ("note", "string"), ("id", "string"), ("amount", "double"), ("extra", "date"),
-    ]
-    assert rows(typed) == [
-        ('x, "y"', "007", 1.5, None), (None, "008", None, None), (None, "009", None, None),
-    ]
+    typed = read_source(spark, csv_source(path, "note string, id string, amount double"))
+    assert typed.dtypes == [("note", "string"), ("id", "string"), ("amount", "double")]
+    assert rows(typed) == [('x, "y"', "007", 1.5), (None, "008", None), (None, "009", None)]
 
 
-def test_csv_line_with_wrong_number_of_fields_stops_the_read(spark, tmp_path):
+def test_csv_line_with_too_many_fields_stops_the_read(spark, tmp_path):
     path = write(tmp_path / "a.csv", "a,b\n1,2\n3,4,5\n")
-    with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        read_source(spark, csv_source(path)).collect()
+    found = read_source(spark, csv_source(path))
+    for run in (found.collect, found.select("b").collect, found.count):
+        with pytest.raises(Exception, match="too many fields"):
+            run()
+    aside = read_source(spark, csv_source(path, quarantine="true"))
+    assert (aside.count(), aside.filter("_malformed_line is not null").count()) == (2, 1)
+
+
+def test_csv_short_lines_are_filled_and_long_ones_kept_aside(spark, tmp_path):
+    text = 'id,n,note\n1\n2,5\n3,x,y,z\n4,7,"a, ""b"", c"\n"5,6",8,"x,y",9\n6,,\n\n7,"1"\n'
+    path = write(tmp_path / "a.csv", text)
+    got = read_source(spark, csv_source(path, "n bigint", quarantine="true"))
+    assert got.columns == ["n", "id", "note", "_malformed_line"]
+    assert rows(got.select("id", "n", "note", "_malformed_line")) == [
+        ("1", None, None, None), ("2", 5, None, None), ("3", None, "y", "3,x,y,z"),
+        ("4", 7, 'a, "b", c', None), ("5,6", 8, "x,y", '"5,6",8,"x,y",9'), ("6", None, None, None),
+        ("7", 1, None, None),
+    ]
+    short = write(tmp_path / "b.csv", "a;b\n1\n2;x,y\n")
+    assert rows(read_source(spark, csv_source(short, sep=";"))) == [("1", None), ("2", "x,y")]
+
+
+def test_csv_keeps_undeclared_columns_and_misses_declared_ones(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a,b\n1,NA\n2,x\n")
+    assert read_source(spark, csv_source(path, "b string")).columns == ["b", "a"]
+    assert rows(read_source(spark, csv_source(path, "a bigint"))) == [(1, None), (2, "x")]
+    with pytest.raises(ValueError, match="lacks the declared columns c"):
+        read_source(spark, csv_source(path, "a bigint, c date"))
 
 
 def test_csv_line_breaks_in_fields(spark, tmp_path):
@@ -186,4 +208,4 @@ def test_registry_defaults():
 
 def test_null_tokens_do_not_touch_other_text(spark):
     df = spark.createDataFrame([("NAN",), ("none",), ("0",)], "t string")
-    assert rows(df.select(readers._without_null_tokens(F.col("t")))) == [("0",), ("NAN",), ("none",)]
+    assert rows(df.select(readers._cleaned("t"))) == [("0",), ("NAN",), ("none",)]
