@@ -70,6 +70,7 @@ def changed_facts(
     processed_at: datetime | str | None = None,
     tie_breakers: Sequence[str] | None = None,
     partition_column: str = DEFAULT_PARTITION_COLUMN,
+    stored_by: Column | None = None,
 ) -> FactChange:
     """What ``silver_transactions`` over all of ``bronze`` would change in ``facts``, the table it made
     before the rows of these landing ``days`` were new or replaced.
@@ -79,6 +80,9 @@ def changed_facts(
     row of its transaction is found in the other days. Only the partitions that hold an old or a new
     row of a touched transaction are read whole, and only they need to be written. Their dates come to
     the driver, one each. ``_processed_at`` of untouched rows stays.
+
+    ``stored_by`` is what the table is partitioned by, if not ``transaction_date`` itself: an expression
+    over it.
     """
     key = "transaction_id"
     day_of = F.col(f"`{partition_column}`")
@@ -87,17 +91,20 @@ def changed_facts(
     candidates = keep_valid_transactions(cast_transactions(landed))
     # Winners of a changed day; a day landed for the first time has none.
     unsure = facts.filter(day_of.isin(*days)).select(F.col(key).alias("_id"))
-    if not unsure.isEmpty():
+    landed_before = not unsure.isEmpty()
+    if landed_before:
         rest = cast_transactions(bronze.filter(~F.coalesce(day_of.isin(*days), F.lit(False))))
         rest = keep_valid_transactions(rest)
         candidates = candidates.unionByName(_of_ids(rest, key, unsure.distinct(), "left_semi"))
-    touched = candidates.select(F.col(key).alias("_id")).union(unsure).distinct()
+    touched = candidates.select(F.col(key).alias("_id"))
+    touched = (touched.union(unsure) if landed_before else touched).distinct()
 
     at = "transaction_date"
+    stored_by = F.col(at) if stored_by is None else stored_by
     old_dates = _of_ids(facts.select(key, at), key, touched, "left_semi").select(at)
     new_dates = candidates.select(F.to_date("transaction_ts").alias(at))
-    dates = [row[0] for row in old_dates.union(new_dates).distinct().collect()]
-    held = facts.filter(_among(F.col(at), dates))
+    dates = [row[0] for row in old_dates.union(new_dates).select(stored_by).distinct().collect()]
+    held = facts.filter(_among(stored_by, dates))
     names = bronze.columns
     old = _of_ids(held, key, touched, "left_semi").filter(~F.coalesce(day_of.isin(*days), F.lit(False)))
     old = old.select(*[f"`{name}`" for name in names if name in set(facts.columns)])

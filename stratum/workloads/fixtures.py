@@ -120,7 +120,7 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as API payloads: lists, objects with results, single objects, empty results."""
+    """Parts as API payloads: lists, objects with results, single objects; and pages without results."""
     kind = F.col("p_partkey") % 4
     spec = F.struct("p_brand", "p_type").alias("spec")
     single = F.struct("p_partkey", spec, F.lit(None).cast("int").alias("p_size"), "p_retailprice")
@@ -128,10 +128,12 @@ def product_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     sibling = F.struct(
         "p_partkey", spec, (F.col("p_size") + 100).alias("p_size"), "p_retailprice"
     )
-    return table(spark, sf_dir, "part").select(
-        F.when(kind == 0, F.to_json(F.array(record, sibling)))
-        .when(kind == 1, F.concat(F.lit('{"count":1,"results":'), F.to_json(F.array(record)), F.lit("}")))
-        .when(kind == 2, F.to_json(single))
-        .otherwise(F.lit('{"count":0,"results":[]}'))
-        .alias("payload")
+    page = F.concat(F.lit('{"count":1,"results":'), F.to_json(F.array(record)), F.lit("}"))
+    empty = F.lit('{"count":0,"results":[]}')
+    payloads = (
+        F.when(kind == 0, F.array(F.to_json(F.array(record, sibling))))
+        .when(kind == 1, F.array(page))
+        .when(kind == 2, F.array(F.to_json(single)))
+        .otherwise(F.array(page, empty))
     )
+    return table(spark, sf_dir, "part").select(F.explode(payloads).alias("payload"))

@@ -384,14 +384,56 @@ FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '{AS_OF}' - INTERVAL 30 DAY"
         "bronze_stamp": f"""SELECT p_partkey, '{AS_OF} 06:00:00' AS _ingested_at,
        'product_catalog' AS _source_system FROM part""",
         "bronze_land_roundtrip": """
-SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, 'product_catalog' AS _source_system,
-       DATE '2001-08-01' AS ingest_date FROM part WHERE p_size > 25
+SELECT p_partkey, CAST(p_size AS BIGINT) + 100 AS p_size, 'product_catalog' AS _source_system,
+       DATE '2001-08-01' AS ingest_date FROM part
 UNION ALL
 SELECT p_partkey, CAST(p_size AS BIGINT), 'product_catalog', DATE '2001-08-02' FROM part""",
         "silver_roundtrip": f"""WITH {SILVER}
-SELECT transaction_id, amount_usd, transaction_date,
+SELECT transaction_id, amount_usd + 1 AS amount_usd, transaction_date,
        CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month
-FROM fct WHERE amount_usd >= 80""",
+FROM fct""",
+        "source_reference": f"""WITH {CLEAN_SILVER}
+SELECT transaction_id, -amount_usd AS amount_usd, transaction_date,
+       CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month, 'again' AS note
+FROM fct""",
+        "bronze_catalog_days": """
+SELECT p_partkey, CAST(p_size AS BIGINT) + 100 AS p_size, NULL::VARCHAR AS p_brand,
+       DATE '2001-08-01' AS ingest_date FROM part
+UNION ALL SELECT p_partkey, NULL, p_brand, DATE '2001-08-02' FROM part""",
+        "silver_audit": """SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id,
+       '2001-08-01 06:00:00' AS _processed_at
+FROM orders WHERE o_totalprice > 0 AND o_custkey IS NOT NULL""",
+        "silver_incremental": f"""WITH {SILVER}
+SELECT transaction_id, customer_id, amount, CAST(transaction_ts AS VARCHAR) AS transaction_ts,
+       transaction_date FROM fct""",
+        "scan_csv_as_found": """
+WITH lines AS (
+  SELECT *, concat(o_orderkey, ',"', o_orderpriority, ', ""x""', '",', o_orderstatus) AS line FROM orders)
+SELECT o_orderkey AS order_no, CASE WHEN o_orderkey % 5 <> 1 THEN o_orderpriority || ', "x"' END AS priority,
+       CASE WHEN o_orderkey % 5 = 2 THEN line END AS _malformed_line FROM lines""",
+        "scan_json_array": "SELECT event_id, event_type, props FROM events",
+        "format_guard": """
+SELECT 'as_lines' AS source_name, (SELECT count(*) FROM events) AS row_count, 'success' AS status
+UNION ALL SELECT 'as_csv', (SELECT count(*) FROM events), 'success'
+UNION ALL SELECT 'as_xml', 0, 'failed'""",
+        "registry_sources": """
+SELECT 'product_catalog' AS source_name, 24.0::DOUBLE AS sla_hours, 'catalog-team' AS owner, 'one' AS tier,
+       30::BIGINT AS retention_days, count(*) AS landed FROM part
+UNION ALL SELECT 'web_events', NULL, 'analytics-team', NULL, 30, count(*) FROM events""",
+        "retention_expire": """
+SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS ingest_date FROM orders
+WHERE o_orderdate >= DATE '1998-02-01'""",
+        "scd2_stored_merge": f"WITH {_history(True)} SELECT {frame_columns} FROM history",
+        "as_of_join": f"""WITH {_history(True)}
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id,
+       CAST(o_orderdate AS DATE) AS o_orderdate, h.segment, h.region
+FROM orders LEFT JOIN history h
+  ON CAST(o_custkey AS VARCHAR) = h.customer_id
+ AND CAST(o_orderdate AS DATE) >= h.effective_from AND CAST(o_orderdate AS DATE) < h.effective_to""",
+        "freshness_landed": f"""
+WITH newest AS (SELECT 'web_events' AS source_name, 3.0::DOUBLE AS sla_hours,
+                       {_age('2024-01-31 02:00:00', 'max(ts)')} AS age_seconds FROM events)
+SELECT *, {_status('age_seconds', 'NULL', 'sla_hours')} AS status FROM newest""",
         "ingest_summary": """
 SELECT 'product_catalog' AS source_name, (SELECT count(*) FROM part) AS row_count, 'success' AS status
 UNION ALL SELECT 'web_events', (SELECT count(*) FROM events), 'success'
@@ -399,7 +441,7 @@ UNION ALL SELECT 'customer_master', 0, 'failed'""",
         "table_files_union": """
 SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, NULL::VARCHAR AS p_brand, 1::BIGINT AS batch FROM part
 UNION ALL SELECT p_partkey, NULL, p_brand, 2 FROM part""",
-        "export_roundtrip": "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0",
+        "export_roundtrip": "SELECT c_custkey, c_name, -c_acctbal AS c_acctbal FROM customer",
         "mart_materialization": f"""WITH {CLEAN_SILVER},{SNAPSHOTS},{_staging()}
 SELECT region, count(transaction_id) AS transactions,
        {_money(_total('transaction_amount'))} AS revenue
@@ -463,7 +505,7 @@ def _payload_records() -> str:
     return """
 SELECT p_partkey, p_brand AS spec_p_brand, p_type AS spec_p_type,
        CASE WHEN p_partkey % 4 <> 2 THEN CAST(p_size AS BIGINT) END AS p_size, p_retailprice
-FROM part WHERE p_partkey % 4 <> 3
+FROM part
 UNION ALL
 SELECT p_partkey, p_brand, p_type, CAST(p_size AS BIGINT) + 100, p_retailprice
 FROM part WHERE p_partkey % 4 = 0"""

@@ -6,7 +6,7 @@ Output columns are string, bigint, double, date or boolean and never hold a wall
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,21 +25,26 @@ from stratum.functions import (
 from stratum.operators import quality as dq
 from stratum.operators import schema_tests as st
 from stratum.operators.dedupe import latest_per_key
-from stratum.operators.enrich import point_in_time_join
-from stratum.operators.scd2 import scd2_frame, scd2_merge
+from stratum.operators.enrich import as_of_join, point_in_time_join
+from stratum.operators.scd2 import scd2_change, scd2_frame, scd2_merge
 from stratum.operators.unions import union_by_name
 from stratum.plans import gold, marts, silver
 from stratum.session import scratch_path
 from stratum.sources.bronze import expired_partitions, ingest, land, results_frame, stamp
+from stratum.sources.catalog import land_partition, publish_table
 from stratum.sources.payloads import flatten, parse_and_flatten, unwrap_payloads
 from stratum.sources.readers import incremental_extract, read_source
-from stratum.sources.registry import SourceSpec
+from stratum.sources.registry import SourceSpec, load_sources
 from stratum.sources.tables import (
+    expire_folders,
     export_table,
     load_table_files,
     materialize,
+    newest_folder,
     overwrite_table,
     read_table,
+    replace_partitions,
+    source_table,
 )
 from stratum.workloads.fixtures import (
     AS_OF,
@@ -180,6 +185,39 @@ def silver_transactions(spark, sf_dir):
     )
 
 
+@query("silver_audit")
+def silver_audit(spark, sf_dir):
+    """The audit time is the clock of the run, one for all rows."""
+    stamped = silver.silver_transactions(clean_transactions(spark, sf_dir), DAY_1, ["amount"])
+    return stamped.select("transaction_id", *_as("string", "_processed_at"))
+
+
+@query("silver_incremental")
+def silver_incremental(spark, sf_dir):
+    """Facts of the rows landed until 1996, brought up to date with the years landed after, of which
+    1996 is landed again."""
+    bronze = bronze_transactions(spark, sf_dir).withColumn("ingest_date", F.trunc("_ingested_at", "year"))
+    path = f"{scratch_path(spark, 'facts')}/fct_transactions"
+    again = date(1996, 1, 1)
+    before = bronze.filter(F.col("ingest_date") <= F.lit(again)).withColumn(
+        "amount", F.when(F.col("ingest_date") == F.lit(again), F.lit("1")).otherwise(F.col("amount"))
+    )
+    month = F.trunc("transaction_date", "month")
+    first = silver.silver_transactions(before, DAY_1, ["tie_break"])
+    overwrite_table(first.withColumn("transaction_month", month), path, "transaction_month")
+    days = [date(year, 1, 1) for year in range(1996, 2002)]
+    facts = read_table(spark, path)
+    change = silver.changed_facts(
+        bronze, facts.drop("transaction_month"), days, DAY_2, ["tie_break"], partition_column="ingest_date",
+        stored_by=month,
+    )
+    rows = change.rows.withColumn("transaction_month", month)
+    replace_partitions(rows, path, "transaction_month", change.dates)
+    return read_table(spark, path).select(
+        "transaction_id", "customer_id", "amount", *_as("string", "transaction_ts"), "transaction_date"
+    )
+
+
 @query("silver_customer")
 def silver_customer(spark, sf_dir):
     return _customers(spark, sf_dir).select(
@@ -205,6 +243,35 @@ def scd2_merge_incremental(spark, sf_dir):
     return _history(spark, sf_dir, full_snapshot=False)
 
 
+@query("scd2_stored_merge")
+def scd2_stored_merge(spark, sf_dir):
+    """History stored by closing day: the second snapshot rewrites open versions and adds closed ones,
+    and does so twice without effect."""
+    path = f"{scratch_path(spark, 'history')}/dim_customer"
+    overwrite_table(scd2_frame(customer_snapshot(spark, sf_dir, 1), SNAPSHOT_DAYS[1]), path, "effective_to")
+    for _ in range(2):
+        merged, days = scd2_change(
+            read_table(spark, path), customer_snapshot(spark, sf_dir, 2), ["customer_id"],
+            CUSTOMER_COLUMNS, SNAPSHOT_DAYS[2], full_snapshot=True,
+        )
+        replace_partitions(merged, path, "effective_to", days)
+    return read_table(spark, path).select(
+        "customer_id", *CUSTOMER_COLUMNS, "effective_from", "effective_to", "is_current"
+    )
+
+
+@query("as_of_join")
+def as_of_lookup(spark, sf_dir):
+    """The point-in-time lookup by one sort, each customer spread over three."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("customer_id"), "o_orderdate"
+    )
+    held = as_of_join(
+        orders, _history(spark, sf_dir), "customer_id", "o_orderdate", ["segment", "region"], salts=3
+    )
+    return held.select("o_orderkey", "customer_id", *_as("date", "o_orderdate"), "segment", "region")
+
+
 @query("point_in_time_join")
 def point_in_time_lookup(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
@@ -474,6 +541,88 @@ def scan_json(spark, sf_dir):
     return read_source(spark, spec)
 
 
+@query("scan_csv_as_found")
+def scan_csv_as_found(spark, sf_dir):
+    """Text lines of one to three fields for a header of two; nothing is declared but the number."""
+    path = scratch_path(spark, "lines_csv")
+    kind = F.col("o_orderkey") % 5
+    line = F.concat(
+        F.col("o_orderkey").cast("string"),
+        F.when(kind == 1, F.lit("")).otherwise(F.concat(F.lit(',"'), "o_orderpriority", F.lit(', ""x"""'))),
+        F.when(kind == 2, F.concat(F.lit(","), "o_orderstatus")).otherwise(F.lit("")),
+    )
+    # A file begins with its header.
+    orders = table(spark, sf_dir, "orders").select(line.alias("value"), F.spark_partition_id().alias("file"))
+    files = orders.select("file").distinct().select(F.lit("order_no,priority").alias("value"), "file")
+    both = files.withColumn("no", F.lit(0)).unionByName(orders.withColumn("no", F.lit(1)))
+    both = both.repartition("file").sortWithinPartitions("file", "no").select("value", "file")
+    both.write.partitionBy("file").text(path)
+    spec = SourceSpec(
+        "orders", "flat_file", f"{path}/*", schema="order_no bigint", options={"quarantine": "true"}
+    )
+    return read_source(spark, spec)
+
+
+@query("scan_json_array")
+def scan_json_array(spark, sf_dir):
+    """JSON documents that hold an array of up to a thousand records each."""
+    path = scratch_path(spark, "events_array")
+    events = table(spark, sf_dir, "events").select(
+        F.floor(F.col("event_id") / 1000).alias("document"), F.struct("event_id", "event_type", "props").alias("record")
+    )
+    documents = events.groupBy("document").agg(F.to_json(F.collect_list("record")).alias("value"))
+    documents.repartition("document").write.partitionBy("document").text(path)
+    spec = SourceSpec(
+        "web_events", "flat_file", f"{path}/*", "json", "event_id bigint, event_type string, props string"
+    )
+    return read_source(spark, spec)
+
+
+@query("format_guard")
+def format_guard(spark, sf_dir):
+    """One landing folder under three formats: two are read, the third is refused."""
+    path = scratch_path(spark, "events_lines")
+    _write_event_json(spark, sf_dir, path)
+    specs = [
+        SourceSpec("as_lines", "flat_file", path, "json", EVENT_COLUMNS, options={"lines": "true"}),
+        SourceSpec("as_csv", "flat_file", path, "csv", options={"header": "false", "sep": "\u0001"}),
+        SourceSpec("as_xml", "flat_file", path, "xml"),
+    ]
+    results = ingest(spark, specs, scratch_path(spark, "guarded"), DAY_1)
+    return results_frame(spark, results).select("source_name", "row_count", "status")
+
+
+@query("registry_sources")
+def registry_sources(spark, sf_dir):
+    """Sources as a registry declares them, with the rows each lands."""
+    root = scratch_path(spark, "registry")
+    _write_part_csv(spark, sf_dir, f"{root}/part")
+    _write_event_json(spark, sf_dir, f"{root}/events")
+    config = load_sources(
+        {
+            "sources": [
+                {"name": "product_catalog", "type": "flat_file", "path": f"{root}/part", "sla_hours": 24,
+                 "owner": "catalog-team", "tier": "one"},
+                {"name": "web_events", "type": "flat_file", "path": f"{root}/events", "format": "json",
+                 "schema": EVENT_COLUMNS, "options": {"lines": "true"}, "owner": "analytics-team"},
+            ],
+            "bronze_retention_days": 30,
+        }
+    )
+    counted = [
+        read_source(spark, spec).agg(F.count(F.lit(1)).alias("landed")).select(
+            F.lit(spec.name).alias("source_name"),
+            F.lit(spec.sla_hours).cast("double").alias("sla_hours"),
+            F.lit(spec.owner).alias("owner"),
+            F.lit(spec.extra.get("tier")).cast("string").alias("tier"),
+            F.lit(config.bronze_retention_days).cast("bigint").alias("retention_days"),
+            "landed",
+        )
+        for spec in config.sources
+    ]
+    return union_by_name(*counted)
+
+
 @query("incremental_extract")
 def incremental_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn("updated_at", F.to_date("o_orderdate"))
@@ -490,25 +639,59 @@ def bronze_stamp(spark, sf_dir):
 
 @query("bronze_land_roundtrip")
 def bronze_land_roundtrip(spark, sf_dir):
-    """The first day is landed twice, the second day once."""
+    """The first day is landed twice, the second time with other sizes, the second day once."""
     root = scratch_path(spark, "bronze")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
     land(part, root, "product_catalog", DAY_1)
-    land(part.filter("p_size > 25"), root, "product_catalog", DAY_1)
+    land(part.withColumn("p_size", F.col("p_size") + 100), root, "product_catalog", DAY_1)
     land(part, root, "product_catalog", DAY_2)
     landed = read_table(spark, f"{root}/product_catalog")
     return landed.select("p_partkey", *_as("bigint", "p_size"), "_source_system", "ingest_date")
 
 
+def _fresh_name(spark, name):
+    """A catalog name no other call uses, and its folder."""
+    root = scratch_path(spark, name)
+    return f"stratum_scratch.{root.rpartition('/')[2].replace('-', '_')}", root
+
+
+@query("bronze_catalog_days")
+def bronze_catalog_days(spark, sf_dir):
+    """Days with different columns land in a catalog table, the first one twice."""
+    name, root = _fresh_name(spark, "part_days")
+    part = table(spark, sf_dir, "part")
+    land_partition(part.select("p_partkey", "p_size"), name, root, "ingest_date", "2001-08-01")
+    land_partition(part.select("p_brand", "p_partkey"), name, root, "ingest_date", "2001-08-02")
+    sizes = part.select("p_partkey", (F.col("p_size") + 100).alias("p_size"))
+    land_partition(sizes, name, root, "ingest_date", "2001-08-01")
+    return spark.table(name).select("p_partkey", *_as("bigint", "p_size"), "p_brand", "ingest_date")
+
+
+@query("source_reference")
+def source_reference(spark, sf_dir):
+    """A catalog table published by month, then again from itself with other amounts and a new column."""
+    name, root = _fresh_name(spark, "fct")
+    facts = _clean_silver(spark, sf_dir).withColumn(
+        "transaction_month", F.trunc("transaction_date", "month")
+    )
+    publish_table(facts, name, root, "transaction_month")
+    again = spark.table(name).withColumns({"amount_usd": -F.col("amount_usd"), "note": F.lit("again")})
+    publish_table(again, name, root, "transaction_month")
+    return source_table(spark, *name.split(".")).select(
+        "transaction_id", "amount_usd", "transaction_date", "transaction_month", "note"
+    )
+
+
 @query("silver_roundtrip")
 def silver_roundtrip(spark, sf_dir):
-    """Written by month, then overwritten by a filter of itself."""
+    """Written by month, then overwritten by itself with other amounts."""
     path = f"{scratch_path(spark, 'silver')}/fct_transactions"
     facts = _silver(spark, sf_dir).withColumn(
         "transaction_month", F.trunc("transaction_date", "month")
     )
     overwrite_table(facts, path, "transaction_month")
-    overwrite_table(read_table(spark, path).filter("amount_usd >= 80"), path, "transaction_month")
+    changed = read_table(spark, path).withColumn("amount_usd", F.col("amount_usd") + 1)
+    overwrite_table(changed, path, "transaction_month")
     return read_table(spark, path).select(
         "transaction_id", "amount_usd", "transaction_date", "transaction_month"
     )
@@ -550,7 +733,8 @@ def export_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "export")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
     export_table(customers, "parquet", {"path": path}, "customers")
-    export_table(customers.filter("c_acctbal > 0"), "parquet", {"path": path}, "customers")
+    customers = customers.withColumn("c_acctbal", -F.col("c_acctbal"))
+    export_table(customers, "parquet", {"path": path}, "customers")
     return read_table(spark, path)
 
 
@@ -576,6 +760,18 @@ def retention_filter(spark, sf_dir):
     return expired_partitions(bronze, AS_OF, 90).select("o_orderkey", "ingest_date")
 
 
+@query("retention_expire")
+def retention_expire(spark, sf_dir):
+    """Orders landed by month; the folders past retention go, unread."""
+    path = f"{scratch_path(spark, 'landed')}/orders"
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.trunc("o_orderdate", "month").alias("ingest_date")
+    )
+    overwrite_table(orders, path, "ingest_date")
+    expire_folders(spark, path, "ingest_date", "1998-02-01")
+    return read_table(spark, path)
+
+
 @query("union_by_name")
 def union_of_parts(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
@@ -701,6 +897,20 @@ def freshness(spark, sf_dir):
     )
 
 
+@query("freshness_landed")
+def freshness_landed(spark, sf_dir):
+    """Freshness of events landed by day, from the newest day alone."""
+    path = f"{scratch_path(spark, 'landed')}/web_events"
+    overwrite_table(
+        table(spark, sf_dir, "events").select("event_id", "ts", F.to_date("ts").alias("ingest_date")),
+        path,
+        "ingest_date",
+    )
+    newest = newest_folder(spark, path, "ingest_date")
+    sla = st.sla_report({"web_events": newest}, {"web_events": 3}, SLA_CHECKED_AT, "ts")
+    return sla.select("source_name", "sla_hours", "age_seconds", "status")
+
+
 @query("freshness_sla")
 def freshness_sla(spark, sf_dir):
     bronze = {
