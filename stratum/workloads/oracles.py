@@ -196,22 +196,22 @@ def _no_repeats(column: str) -> str:
 
 TRANSACTION_RULES = [
     ("transaction_id is unique", "error", _no_repeats("transaction_id")),
-    ("transaction_id has no nulls", "error", "count(*) = count(transaction_id)"),
-    ("amount_usd is always positive", "error",
+    ("every row has a transaction_id", "error", "count(*) = count(transaction_id)"),
+    ("amount_usd above zero in every row", "error",
      "count(*) FILTER (NOT coalesce(amount_usd > 0, false)) = 0"),
-    ("amount_usd within reasonable range", "warn",
+    ("amount_usd below 1e+06 in at least 99.9% of rows", "warn",
      "coalesce(avg(CAST(coalesce(amount_usd < 1000000, false) AS INTEGER)) >= 0.999, false)"),
-    ("customer_id has no nulls", "error", "count(*) = count(customer_id)"),
-    ("row count above minimum threshold", "error", "count(*) >= 1"),
+    ("every row has a customer_id", "error", "count(*) = count(customer_id)"),
+    ("at least 1 rows", "error", "count(*) >= 1"),
 ]
 
 CUSTOMER_360_RULES = [
     ("customer_id is unique", "error", _no_repeats("customer_id")),
-    ("value_tier in allowed set", "error",
+    ("only listed values in value_tier", "error",
      "count(*) FILTER (NOT coalesce(value_tier IN ('platinum','gold','silver','bronze'), false)) = 0"),
-    ("engagement_status in allowed set", "error",
+    ("only listed values in engagement_status", "error",
      "count(*) FILTER (NOT coalesce(engagement_status IN ('active','at_risk','churned'), false)) = 0"),
-    ("actual_lifetime_spend is non-negative", "error",
+    ("no actual_lifetime_spend below zero", "error",
      "count(*) FILTER (coalesce(actual_lifetime_spend, 0) < 0) = 0"),
 ]
 
