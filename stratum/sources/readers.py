@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import logging
 import re
 from collections.abc import Callable, Sequence
 from datetime import date
@@ -14,6 +16,8 @@ from stratum.functions.dates import days_before
 from stratum.sources.payloads import flatten, unwrap_payloads
 from stratum.sources.registry import FLAT_FILE_FORMATS, SourceSpec, expand_environment
 
+logger = logging.getLogger("stratum.readers")
+
 Reader = Callable[[SparkSession, SourceSpec], DataFrame]
 
 # The texts a CSV field may hold for "missing".
@@ -127,7 +131,31 @@ def read_api_payloads(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 
 def read_database(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(spec)).load()
+    """The result of a query, by one task per part.
+
+    ``partitionColumn`` with bounds splits a number, date or timestamp evenly. ``splitColumn`` with
+    ``splitAt``, a JSON list of values in order, splits any column at these values, for keys that are
+    not even or not numbers. Without either one task reads everything, which is logged.
+    """
+    options = jdbc_options(spec)
+    if "splitColumn" in options:
+        column, values = options.pop("splitColumn"), json.loads(options.pop("splitAt"))
+        url, table = options.pop("url"), options.pop("dbtable")
+        return spark.read.jdbc(url, table, predicates=split_predicates(column, values), properties=options)
+    if "partitionColumn" not in options:
+        logger.warning("%s: no partitionColumn and no splitColumn, one task reads the whole query", spec.name)
+    return spark.read.format("jdbc").options(**options).load()
+
+
+def split_predicates(column: str, values: Sequence[str | int | float]) -> list[str]:
+    """Conditions that part the rows at the ascending values: each row, null included, meets one."""
+    if not values:
+        return ["1 = 1"]
+    cuts = [f"'{v.replace(chr(39), chr(39) * 2)}'" if isinstance(v, str) else str(v) for v in values]
+    if len(set(cuts)) < len(cuts) or list(values) != sorted(values):
+        raise ValueError(f"the values to split {column} at must ascend")
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *between, f"{column} >= {cuts[-1]}"]
 
 
 def jdbc_options(spec: SourceSpec) -> dict[str, str]:
@@ -145,6 +173,10 @@ def jdbc_options(spec: SourceSpec) -> dict[str, str]:
         if needed:
             raise ValueError(f"source {spec.name} lacks {', '.join(sorted(needed))}")
         options["dbtable"] = f"({spec.query}) source_query"
+    elif "splitColumn" in options:
+        if "splitAt" not in options:
+            raise ValueError(f"source {spec.name} lacks splitAt")
+        options["dbtable"] = f"({spec.query}) source_query"
     else:
         options["query"] = spec.query
     return options

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+import json
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from stratum.sources.bronze import stamp
@@ -14,7 +16,11 @@ from stratum.sources.registry import (
     SourceSpec,
     expand_environment,
 )
-from stratum.sources.tables import table_exists
+from stratum.sources.tables import _file_system, written_rows
+
+#: Hidden from readers of the table.
+LEDGER = "_batches"
+LEDGER_SCHEMA = "stream string, batch bigint, loaded_at timestamp, rows bigint"
 
 
 def land_new_files(
@@ -24,10 +30,10 @@ def land_new_files(
     checkpoint: str,
     partition_column: str = DEFAULT_PARTITION_COLUMN,
 ) -> int:
-    """Append new files of a flat-file source to bronze and return; gives the rows read.
+    """Append new files of a flat-file source to bronze and return; gives the rows of its batches.
 
-    The checkpoint remembers which files are done, so a re-run after a lost job neither repeats nor
-    skips one. Files are parsed as in a batch read; the declared schema must name all CSV columns in
+    The checkpoint remembers which files are done, and a ledger beside the data which batch went where,
+    so a re-run after a lost job neither repeats, doubles nor skips one. Files are parsed as in a batch read; the declared schema must name all CSV columns in
     file order. A source is landed either this way or by ``land``, not both into one folder.
     """
     spec = expand_environment(spec)
@@ -41,41 +47,77 @@ def land_new_files(
         arriving = typed_fields(reader.csv(spec.path), spec.schema)
     else:
         arriving = spark.readStream.options(**json_options(spec)).schema(spec.schema).json(spec.path)
-    stamped = stamp(arriving, spec.name, None).withColumn(
-        partition_column, F.to_date("_ingested_at")
-    )
     target = f"{bronze_root.rstrip('/')}/{spec.name}"
-    before = _last_landing(spark, target, partition_column)
+    if _exists(spark, f"{target}/_spark_metadata"):
+        raise ValueError(f"{target} was landed by a file sink, whose log would hide what lands now")
+    counted: dict[int, int] = {}
+
+    def write(batch: DataFrame, number: int) -> None:
+        counted[number] = _land_batch(batch, number, spec.name, target, checkpoint, partition_column)
+
     query = (
-        stamped.writeStream.format("parquet")
-        .partitionBy(partition_column)
+        arriving.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(target)
+        .start()
     )
     query.awaitTermination()
-    return _landed_since(spark, target, partition_column, before)
+    return sum(counted.values())
 
 
-def _last_landing(spark: SparkSession, path: str, partition_column: str):
-    """The newest landing day and time, from the newest partition; None before the first landing."""
-    if not table_exists(spark, path):
-        return None
-    landed = spark.read.parquet(path)
-    day = landed.agg(F.max(partition_column)).first()[0]
-    if day is None:
+def batch_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch landed at ``path``: its stream, number, load time and rows."""
+    if not _exists(spark, f"{path}/{LEDGER}"):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True).json(f"{path}/{LEDGER}")
+
+
+def _land_batch(
+    batch: DataFrame, number: int, source: str, target: str, checkpoint: str, partition_column: str
+) -> int:
+    """Write one batch to a folder of its own.
+
+    The ledger gets the time of a batch before its rows are written, and a batch that is repeated after
+    a lost job finds it there: so it has the same folder, replaces what the first try left, and keeps
+    its stamp. The row count is added when the rows are there.
+    """
+    spark = batch.sparkSession
+    entry = f"{target}/{LEDGER}/{_stream_id(spark, checkpoint)}/{number:09d}.json"
+    record = _load(spark, entry) or {
+        "stream": _stream_id(spark, checkpoint),
+        "batch": number,
+        "loaded_at": datetime.now(timezone.utc).replace(tzinfo=None).isoformat(sep=" "),
+    }
+    _store(spark, entry, record)
+    day = record["loaded_at"][:10]
+    folder = f"{target}/{partition_column}={day}/{record['stream']}-{number:09d}"
+    rows = Observation()
+    stamped = written_rows(stamp(batch, source, record["loaded_at"]), rows)
+    stamped.write.mode("overwrite").parquet(folder)
+    _store(spark, entry, {**record, "rows": rows.get["rows"]})
+    return rows.get["rows"]
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity Spark gives a stream with its checkpoint; it outlives restarts."""
+    return _load(spark, f"{checkpoint.rstrip('/')}/metadata")["id"]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def _load(spark: SparkSession, path: str) -> dict | None:
+    if not _exists(spark, path):
         return None
-    last = landed.filter(F.col(partition_column) == F.lit(day)).agg(F.max("_ingested_at")).first()[0]
-    return day, last
-
-
-def _landed_since(spark: SparkSession, path: str, partition_column: str, before) -> int:
-    """Rows landed after ``before``. Batches have later times one after the other, so these are the
-    rows of all batches of the run, however many there were; only its days are read."""
-    if not table_exists(spark, path):
-        return 0
-    landed = spark.read.parquet(path)
-    if before is not None:
-        day, last = before
-        landed = landed.filter((F.col(partition_column) >= F.lit(day)) & (F.col("_ingested_at") > F.lit(last)))
-    return landed.count()
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def _store(spark: SparkSession, path: str, record: dict) -> None:
+    fs, target = _file_system(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(json.dumps(record), "utf-8"))
+    finally:
+        out.close()

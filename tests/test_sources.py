@@ -170,6 +170,24 @@ def test_jdbc_options():
         jdbc_options(SourceSpec("db", "database"))
 
 
+def test_split_predicates_part_all_rows(spark):
+    keys = [None, "", "a", "it's", "k", "z", "zz"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for cuts in ([], ["k"], ["a", "it's", "z"]):
+        parts = [rows(df.filter(p)) for p in readers.split_predicates("k", cuts)]
+        assert len(parts) == len(cuts) + 1
+        assert sorted(sum(parts, []), key=repr) == rows(df)
+    numbers = spark.range(10)
+    assert [numbers.filter(p).count() for p in readers.split_predicates("id", [2, 3, 8])] == [2, 1, 5, 2]
+    for wrong in (["b", "a"], [1, 1]):
+        with pytest.raises(ValueError, match="must ascend"):
+            readers.split_predicates("k", wrong)
+    spec = SourceSpec("db", "database", connection_string="u", query="q", options={"splitColumn": "k", "splitAt": "[1]"})
+    assert jdbc_options(spec)["dbtable"] == "(q) source_query"
+    with pytest.raises(ValueError, match="lacks splitAt"):
+        jdbc_options(SourceSpec("db", "database", connection_string="u", query="q", options={"splitColumn": "k"}))
+
+
 def test_incremental_extract(spark):
     df = spark.createDataFrame(
         [(1, date(2020, 1, 1)), (2, date(2020, 1, 2)), (3, date(2020, 1, 3)), (4, None)],

@@ -18,6 +18,7 @@ from stratum.sources.bronze import (
 )
 from stratum.sources.registry import SourceSpec
 from stratum.streaming import land_new_files
+from stratum.streaming import landing as landing_module
 from tests.conftest import plan_of, rows
 
 DAY_1, DAY_2 = datetime(2020, 1, 1, 6), datetime(2020, 1, 2, 6)
@@ -241,3 +242,35 @@ def test_stream_of_json(spark, tmp_path, lines):
     land_new_files(spark, spec, str(tmp_path / "bronze"), str(tmp_path / "state"))
     landed = tables.read_table(spark, f"{tmp_path}/bronze/s")
     assert rows(landed.select("a")) == [(1,), (2,)]
+
+
+def test_repeated_batch_is_neither_doubled_nor_counted_twice(spark, tmp_path, monkeypatch):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    spec = SourceSpec("s", "flat_file", str(landing), schema="a string")
+    root, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "state")
+    (landing / "1.csv").write_text("a\n1\n2\n", encoding="utf-8")
+    store, calls = landing_module._store, []
+
+    def lost_before_the_count(spark, path, record):
+        calls.append(record)
+        if "rows" in record and len(calls) == 2:
+            raise OSError("the driver is gone")
+        store(spark, path, record)
+
+    monkeypatch.setattr(landing_module, "_store", lost_before_the_count)
+    with pytest.raises(Exception, match="the driver is gone"):
+        land_new_files(spark, spec, root, checkpoint)
+    assert tables.read_table(spark, f"{root}/s").count() == 2  # written, not yet recorded
+    (landing / "2.csv").write_text("a\n3\n", encoding="utf-8")
+    assert land_new_files(spark, spec, root, checkpoint) == 3
+    landed = tables.read_table(spark, f"{root}/s")
+    assert rows(landed.select("a")) == [("1",), ("2",), ("3",)]
+    ledger = landing_module.batch_ledger(spark, f"{root}/s")
+    assert rows(ledger.select("batch", "rows")) == [(0, 2), (1, 1)]
+    first = landed.filter("a < 3").select("_ingested_at").distinct().collect()
+    assert [r[0] for r in first] == [r["loaded_at"] for r in ledger.filter("batch = 0").collect()]
+    os.makedirs(f"{root}/old/_spark_metadata")
+    with pytest.raises(ValueError, match="file sink"):
+        land_new_files(spark, SourceSpec("old", "flat_file", str(landing), schema="a string"), root, checkpoint)
+    assert landing_module.batch_ledger(spark, f"{root}/old").count() == 0
