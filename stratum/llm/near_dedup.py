@@ -6,21 +6,25 @@ into a class first, so copies cost nothing below. Then, in several independent t
 * A tree's root deals the classes to nodes by one selected minwise token (a minwise value of the
   set under one hash function). Two sets of similarity J share a node with probability J.
 * In a small node all pairs are compared, by sketches of 64 minwise tokens of four bits.
-* In a large node every member is compared with a few random leaders, others in every tree, and
-  with the member that is nearest to these leaders together: the middle of the node, such as the
-  text that all others are edits of. These links are confirmed at once, and what they connect is a
-  group whose members need no comparison with each other. All members stay to be met by the other
-  groups: all pairs across groups are compared if the members outside the largest group are few
-  or so alike that branching would not part them; else each member goes on to two children, by two
-  further selected tokens.
-
-Pairs whose sketches allow the wanted similarity are confirmed on the full sets. Links of classes
-form components, and the smallest doc_id of each component stays.
+* In a large node the members share something: the text they are edits of, a template, a passage.
+  Its core, the shingles that more than half of some random members hold, is taken out, and each
+  member goes on with its remainder, the symmetric difference D of its set and the core. As A and B
+  differ where their remainders differ, they are linked exactly if
+  (100 + p) |D(A) ^ D(B)| <= (100 - p) (|A| + |B|). So members near enough to the core are linked with
+  the nearest of all for certain, by the sizes of their remainders alone, and all others must share
+  some of their remainder with whatever they are linked to: they go on to children, by selected
+  minwise tokens of the remainder, and meet the members near the core there as well. Texts that are
+  alike by the core only have remainders with little in common, and their nodes fall apart.
+
+Pairs whose sketches allow the wanted similarity, for the sizes of their remainders, are confirmed on
+the full sets. Links of classes form components, and the smallest doc_id of each component stays.
 
 A pair at the threshold shares a root with probability 0.75 per tree, so ten trees miss it with
-probability 0.25^10 if it need not branch. Two children a level keep 1.53 shared nodes on average
-at the threshold (0.766 each, chance agreement of four bits included), so a pair that has to branch
-survives any number of levels with probability 0.9, and ten trees miss it with 0.32^10.
+probability 0.25^10 if it need not branch. In a large node two members far from the core share at
+least a quarter to a third of their remainders, and one of four children keeps them together with
+probability 0.7 to 0.8 a level: ten trees miss such a pair with 0.45^10 after one level and 0.6^10 after
+two. A link between a member just beyond reach of the core and one very near to it can rest on a few
+shingles of the remainder and is found less often.
 """
 
 from __future__ import annotations
@@ -30,12 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import MAX_BROADCAST_IDS, by_ids, map_arrow, settle
 from stratum.llm.components import components
-from stratum.llm.textbytes import IS_SPACE, Hashes, mix, slices, words
+from stratum.llm.textbytes import IS_SPACE, SLICE_BYTES, Hashes, mix, slices, words
 
 COORDINATES = 64
 _RANDOM = np.random.Generator(np.random.PCG64(75))
@@ -51,12 +55,10 @@ class Settings:
     percent: int = 75  # linked if 100 * intersection >= percent * union
     trees: int = 10
     small: int = 64  # nodes up to this size are compared exhaustively
-    # Of 64 sketch tokens 15 differ on average at similarity 0.75, with a deviation of 3.4.
-    may_differ: int = 28  # candidates
-    sure: int = 6  # near enough to the middle to need no other leader
-    leaders: int = 4
-    compare: int = 512  # rows of a large node that are compared with all others without branching
-    alike: float = 0.5  # share of equal tokens from which two children a level cost more than all pairs
+    deviations: float = 4.0  # by which the sketches of a linked pair may agree less than expected
+    heads: int = 24  # members that make a core, on average
+    children: int = 4  # of a member of a large node
+    max_levels: int = 8  # beyond these all pairs are compared, in blocks
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -177,167 +179,222 @@ def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _next_tokens(node: Column) -> Column:
-    """The two children of a row: sketch tokens at two places that this node selects."""
-    first = F.pmod(F.xxhash64(node, F.lit("branch")), F.lit(COORDINATES))
-    second = F.pmod(first + 1 + F.pmod(F.xxhash64(node, F.lit("second")), F.lit(COORDINATES - 1)), F.lit(COORDINATES))
+ROW = ["id", "size", "rest", *SKETCH, "star"]
+
+
+def _slack(percent: int, prefix: str = "") -> Column:
+    """Not negative: the member is near enough to the core to be linked with all others that are."""
+    return (100 - percent) * F.col(f"{prefix}size") - (100 + percent) * F.col(f"{prefix}rest")
+
+
+def _may_link(settings: Settings) -> Column:
+    """Whether the sketches of two remainders allow the link that the sizes ask for.
+
+    ``rest`` is the size of the remainder; with no core taken out it is the whole set. Members with
+    a star are linked through it already.
+    """
+    a, b = F.col("rest"), F.col("o_rest")
+    need = -(_slack(settings.percent) + _slack(settings.percent, "o_")) / (2 * (100 + settings.percent))
+    shared = F.greatest(need, F.lit(0.0))  # as much of the remainders must be common
+    similar = shared / F.greatest(a + b - shared, F.lit(1.0))
+    chance = similar + (1 - similar) / 16
+    expected = COORDINATES * chance
+    least = expected - settings.deviations * F.sqrt(COORDINATES * chance * (1 - chance))
+    equal = COORDINATES - _differing([F.col(c) for c in SKETCH], [F.col(f"o_{c}") for c in SKETCH])
+    unknown = F.col("star").isNull() | F.col("o_star").isNull()
+    return unknown & ((need <= 0) | ((shared <= F.least(a, b)) & (equal >= least)))
+
+
+def _other(rows: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"o_{c}") for c in rows.columns])
 
-    def child(which: Column) -> Column:
-        word = F.element_at(F.array(*SKETCH), F.floor(which / 16).cast("int") + 1)
-        token = F.call_function("shiftrightunsigned", word, (which % 16).cast("int") * 4).bitwiseAND(F.lit(15))
-        return F.xxhash64(node, which, token)
 
-    return F.array(child(first), child(second))
+def _with(rows: DataFrame, few: DataFrame, how: str = "inner") -> DataFrame:
+    """Join by node to a stored table of nodes; broadcast if small, so that rows of a large node stay
+    where they are."""
+    few = few.select(F.col("node").alias("at"), *[c for c in few.columns if c != "node"])
+    few = F.broadcast(few) if few.count() <= MAX_BROADCAST_IDS // 2 else few.hint("merge")
+    joined = rows.join(few, F.col("node") == F.col("at"), how)
+    return joined if how == "left_anti" else joined.drop("at")
+
+
+def _small_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Candidates in nodes of few members: all pairs of a node."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("node"))
+    rows = rows.withColumn("n", n).filter("n > 1").drop("n")
+    met = rows.hint("merge").join(_other(rows), (F.col("node") == F.col("o_node")) & (F.col("id") < F.col("o_id")))
+    return met.filter(_may_link(settings)).select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct()
 
 
 BLOCK = 512
 
 
-def _cross_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Candidates among all pairs of a node's rows that are in different groups.
+def _block_pairs(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Candidates among all pairs of the nodes that no level has parted; ``n`` is the node's size.
 
-    ``rows`` has (node, id, group, sketch, crowd, crowd_n, rest_n): the node's largest group, its
-    size and the number of rows outside. Crowd and rest are dealt to blocks, and every two blocks
-    meet under a key of their own, so no task holds a node; the crowd is not compared with itself.
+    The exact way for what is left. Members are dealt to blocks, and every two blocks meet under a key
+    of their own, so no task holds a node.
     """
-    crowd_blocks = F.ceil(F.col("crowd_n") / BLOCK)
-    rest_blocks = F.ceil(F.col("rest_n") / BLOCK)
-    in_crowd = F.col("group") == F.col("crowd")
-    own = F.pmod(F.xxhash64("id", F.lit("block")), F.when(in_crowd, crowd_blocks).otherwise(rest_blocks))
-
-    def meet(kind: int, i: Column, j: Column, side: int) -> Column:
-        same = (i == j) if kind else F.lit(False)
-        return F.struct(F.xxhash64("node", F.lit(kind), i, j).alias("key"), F.lit(side).alias("side"), same.alias("same"))
-
-    def each(n: Column, body) -> Column:
-        return F.transform(F.sequence(F.lit(0).cast("long"), n - 1), body)
-
-    keys = F.when(in_crowd, each(rest_blocks, lambda j: meet(0, own, j, 0))).otherwise(
-        F.concat(
-            each(crowd_blocks, lambda i: meet(0, i, own, 1)),
-            # Blocks of the rest: the lower one left, the higher one right, and each with itself.
-            F.transform(F.sequence(own, rest_blocks - 1), lambda j: meet(1, own, j, 0)),
-            F.transform(F.sequence(F.lit(0).cast("long"), own), lambda i: meet(1, i, own, 1)),
-        )
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("id", F.lit("block")), blocks)
+
+    def meet(i: Column, j: Column, side: int) -> Column:
+        return F.struct(F.xxhash64("node", i, j).alias("key"), F.lit(side).alias("side"), (i == j).alias("same"))
+
+    keys = F.concat(
+        F.transform(F.sequence(own, blocks - 1), lambda j: meet(own, j, 0)),
+        F.transform(F.sequence(F.lit(0).cast("long"), own), lambda i: meet(i, own, 1)),
     )
-    dealt = settle(rows.select("id", "group", *SKETCH, F.inline(keys)), "blocks")
+    dealt = settle(rows.select(*ROW, F.inline(keys)), "blocks")
     left = dealt.filter("side = 0").drop("side")
-    right = dealt.filter("side = 1").drop("side", "same")
-    right = right.select(*[F.col(c).alias(f"o_{c}") for c in right.columns])
+    right = _other(dealt.filter("side = 1").drop("side", "same"))
     met = left.hint("merge").join(
-        right,
-        (F.col("key") == F.col("o_key"))
-        & (F.col("group") != F.col("o_group"))
-        & (~F.col("same") | (F.col("id") < F.col("o_id"))),
+        right, (F.col("key") == F.col("o_key")) & (F.col("id") != F.col("o_id")) & (~F.col("same") | (F.col("id") < F.col("o_id")))
     )
-    apart = _differing([F.col(c) for c in SKETCH], [F.col(f"o_{c}") for c in SKETCH])
-    return met.filter(apart <= settings.may_differ).select(*_pair(F.col("id"), F.col("o_id"))).distinct()
+    return met.filter(_may_link(settings)).select(*_pair(F.col("id"), F.col("o_id"))).distinct()
+
+
+_REMAINDER = "node long, id long, size long, rest long, s0 long, s1 long, s2 long, s3 long, branch array<int>, blob binary"
+
+
+def _remainders(level: int, children: int):
+    """Of rows sorted by key, heads first: the remainder of each member beside the core of the heads.
+
+    In memory are the heads' sets of one key, one batch of members and the remainders of some.
+    """
+
+    def chosen(node: np.ndarray) -> np.ndarray:
+        """Coordinates that select the children of each node, others in each tree."""
+        drawn = mix(node.view(np.uint64) + np.uint64(level + 1))
+        step = (drawn >> np.uint64(32)) | np.uint64(1)
+        at = drawn[:, None] + step[:, None] * np.arange(children, dtype=np.uint64)
+        return (at % np.uint64(COORDINATES)).astype(np.int64)
+
+    def described(batch: pa.RecordBatch, kept: list[int], rests: list[np.ndarray]) -> pa.RecordBatch:
+        rows = batch.take(pa.array(kept))
+        size = np.array([len(r) for r in rests])
+        sketch = np.zeros((len(kept), 4), np.int64)
+        branch = np.zeros((len(kept), children), np.int32)
+        full = np.flatnonzero(size)
+        if len(full):
+            at = np.concatenate([[0], np.cumsum(size[full])])
+            _, _, tokens, found = _signatures(np.concatenate([rests[i] for i in full]), at, COORDINATES)
+            at = chosen(rows.column("node").to_numpy()[full])
+            sketch[full], branch[full] = found, np.take_along_axis(tokens, at, axis=1)
+        ends = np.arange(0, children * len(kept) + 1, children, dtype=np.int32)
+        return pa.RecordBatch.from_arrays(
+            [
+                rows.column("node"),
+                rows.column("id"),
+                rows.column("size"),
+                pa.array(size.astype(np.int64)),
+                *[pa.array(sketch[:, c].copy()) for c in range(4)],
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(branch.reshape(-1))),
+                pa.array([r.tobytes() for r in rests], pa.binary()),
+            ],
+            names=["node", "id", "size", "rest", *SKETCH, "branch", "blob"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, heads, core = None, [], None
+        for batch in batches:
+            keys, is_head = batch.column("key").to_pylist(), batch.column("is_head").to_pylist()
+            blobs = batch.column("blob")
+            kept, rests, tokens = [], [], 0
+            for i, k in enumerate(keys):
+                held = np.frombuffer(blobs[i].as_buffer(), np.uint64)
+                if k != key:
+                    key, heads, core = k, [], None
+                if is_head[i]:
+                    heads.append(held.copy())
+                    continue
+                if core is None:
+                    shingles, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *heads]), return_counts=True)
+                    core = shingles[2 * n > len(heads)]
+                kept.append(i)
+                rests.append(np.setxor1d(held, core, assume_unique=True))
+                tokens += len(rests[-1])
+                if tokens > SLICE_BYTES:
+                    yield described(batch, kept, rests)
+                    kept, rests, tokens = [], [], 0
+            if kept:
+                yield described(batch, kept, rests)
+
+    return run
+
+
+def _take_out_cores(members: DataFrame, level: int, settings: Settings, per_key: int = 256) -> DataFrame:
+    """(node, id, size, rest, sketch, branch, blob) of the members (node, id, n, size, blob) of large nodes,
+    their remainders in place of their sets.
+
+    A node's members are dealt to keys of about ``per_key``, and its heads, drawn by hash, go to each.
+    """
+    keys = F.ceil(F.col("n") / per_key)
+    is_head = F.pmod(F.xxhash64("node", "id", F.lit("head")), F.col("n")) < settings.heads
+    salt = F.pmod(F.xxhash64("id", F.lit("salt")), keys)
+    rows = members.select("node", "id", "size", "blob", F.xxhash64("node", salt).alias("key"), F.lit(False).alias("is_head"))
+    heads = members.filter(is_head).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), keys - 1)))
+    heads = heads.select("node", "id", "size", "blob", F.xxhash64("node", "salt").alias("key"), F.lit(True).alias("is_head"))
+    met = rows.unionByName(heads).repartition("key").sortWithinPartitions("key", F.desc("is_head"))
+    return map_arrow(met, _remainders(level, settings.children), _REMAINDER)
 
 
 def candidates(
-    classes: DataFrame, settings: Settings, confirm: Callable[[DataFrame], DataFrame], max_levels: int = 6
+    classes: DataFrame, settings: Settings, sets_of: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, DataFrame | None]:
     """Distinct pairs (a, b), a < b, of classes whose sketches allow the wanted similarity, and the
-    links among the members of large nodes and their leaders that ``confirm`` has found."""
-    rows = classes.select(
-        "id", *SKETCH, F.posexplode("tokens").alias("tree", "token")
-    ).select(F.xxhash64("tree", "token").alias("node"), "id", *SKETCH)
-    found, links = [], None
-    for level in range(max_levels + 1):
-        leads = [
-            F.min(F.struct(F.xxhash64("node", "id", F.lit(i)).alias("o"), "id", *SKETCH)).alias(f"lead{i}")
-            for i in range(settings.leaders)
-        ]
-        nodes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), *leads).filter("n > 1")
-        nodes = nodes.select(
-            F.col("node").alias("at"),
-            "n",
-            # Small nodes need no leaders.
-            *[F.when(F.col("n") > settings.small, F.col(f"lead{i}")).alias(f"lead{i}") for i in range(settings.leaders)],
-        )
-        live = settle(rows.join(nodes, F.col("node") == F.col("at")).drop("at"), "nodes")
-        small = live.filter(F.col("n") <= settings.small).select("node", "id", *SKETCH)
-        other = small.select(*[F.col(c).alias(f"o_{c}") for c in small.columns])
-        close = small.hint("merge").join(
-            other, (F.col("node") == F.col("o_node")) & (F.col("id") < F.col("o_id"))
-        ).filter(
-            _differing([F.col(c) for c in SKETCH], [F.col(f"o_{c}") for c in SKETCH])
-            <= settings.may_differ
-        )
-        found.append(settle(close.select(F.col("id").alias("a"), F.col("o_id").alias("b")).distinct(), "pairs"))
+    links of members near the core of a large node, which are certain.
 
-        large = live.filter(F.col("n") > settings.small)
-        own = [F.col(c) for c in SKETCH]
-        apart = [_differing(own, [F.col(f"lead{i}.{c}") for c in SKETCH]) for i in range(settings.leaders)]
-        middle = large.groupBy("node").agg(
-            F.min(F.struct(sum(apart, F.lit(0)).alias("d"), "id", *SKETCH)).alias("middle")
-        )
-        led = large.join(middle.withColumnRenamed("node", "at"), F.col("node") == F.col("at"))
-        far = COORDINATES + 1  # from itself: nothing learnt
-        nearest = F.array_min(
-            F.array(
-                *[
-                    F.struct(
-                        F.when(F.col(f"lead{i}.id") == F.col("id"), far).otherwise(d).alias("d"),
-                        F.col(f"lead{i}.id").alias("id"),
-                    )
-                    for i, d in enumerate(apart)
-                ]
-            )
-        )
-        to_middle = F.when(F.col("middle.id") == F.col("id"), far).otherwise(
-            _differing(own, [F.col(f"middle.{c}") for c in SKETCH])
-        )
-        led = settle(
-            led.select(
-                "node",
-                "id",
-                *SKETCH,
-                F.col("middle.id").alias("middle"),
-                to_middle.alias("to_middle"),
-                nearest.alias("nearest"),
-                (1 - sum(apart, F.lit(0)) / (COORDINATES * settings.leaders)).alias("agree"),
-            ),
-            "large",
-        )
-        if led.isEmpty():
+    ``sets_of`` gives the sets (id, blob) for a stored table of ids.
+    """
+    size = F.col("n_shingles").alias("size")
+    rows = classes.select(
+        "id", size, F.col("n_shingles").alias("rest"), *SKETCH, F.lit(None).cast("long").alias("star"),
+        F.posexplode("tokens").alias("tree", "token"),
+    )
+    rows = rows.select(F.xxhash64("tree", "token").alias("node"), *ROW)
+    found, links, stored = [], None, None
+    for level in range(settings.max_levels + 1):
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("star").isNull()).alias("free"))
+        # Nodes of members that are linked already have nothing to find.
+        large = settle(sizes.filter((F.col("n") > settings.small) & (F.col("free") > 0)).select("node", "n"), "large")
+        small = rows
+        if level:
+            done = settle(sizes.filter((F.col("n") > settings.small) & (F.col("free") == 0)).select("node"), "done")
+            small = _with(small, done, "left_anti")
+        found.append(settle(_small_pairs(_with(small, large, "left_anti").select("node", *ROW), settings), "pairs"))
+        if large.isEmpty():
             break
-        near_middle = led.filter(F.col("to_middle") <= settings.may_differ).select(
-            *_pair(F.col("id"), F.col("middle"))
+        if level == settings.max_levels:
+            found.append(settle(_block_pairs(_with(rows.select("node", *ROW), large), settings), "pairs"))
+            break
+        if stored is None:
+            inside = settle(_with(rows.select("node", "id"), large), "inside")
+            sets = sets_of(settle(inside.select("id").distinct(), "inside-ids"))
+            members = inside.join(sets, "id").withColumn("size", (F.octet_length("blob") / 8).cast("long"))
+        else:
+            inside = _with(rows.select("node", "id", "size", "parent"), large)
+            sets = stored.select(F.col("node").alias("parent"), "id", "size", "blob").hint("merge")
+            members = inside.join(sets, ["parent", "id", "size"])
+        members = settle(members.select("node", "id", "n", "size", "blob"), "members")
+        stored = settle(_take_out_cores(members, level, settings), "remainders")
+
+        slack = _slack(settings.percent)
+        nearest = stored.groupBy("node").agg(F.max(F.struct(slack.alias("slack"), F.col("id").alias("id"))).alias("near"))
+        nearest = settle(nearest.select("node", F.col("near.id").alias("near"), F.col("near.slack").alias("near_slack")), "nearest")
+        starred = _with(stored.drop("blob"), nearest).withColumn(
+            "star", F.when((F.col("id") == F.col("near")) | (slack + F.col("near_slack") >= 0), F.col("near"))
         )
-        near_leader = led.filter(
-            (F.col("to_middle") > settings.sure) & (F.col("nearest.d") <= settings.may_differ)
-        ).select(*_pair(F.col("id"), F.col("nearest.id")))
-        star = settle(near_middle.unionByName(near_leader).distinct(), "star")
-        new = settle(confirm(star), "star-links")
+        new = starred.filter("star <> id").select(*_pair(F.col("id"), F.col("star"))).distinct()
+        new = settle(new, "star-links")
         links = new if links is None else links.unionByName(new)
-        group = components(links).select(F.col("id").alias("member"), F.col("component").alias("group"))
-        grouped = led.join(group, F.col("id") == F.col("member"), "left").withColumn(
-            "group", F.coalesce("group", "id")
-        )
-        sizes = grouped.groupBy("node", "group").agg(F.count(F.lit(1)).alias("n"), F.sum("agree").alias("agree"))
-        crowds = sizes.groupBy("node").agg(
-            F.max(F.struct("n", "group", "agree")).alias("c"), F.sum("n").alias("n"), F.sum("agree").alias("agree")
+        # What is equal to the core shares no remainder with anybody.
+        children = starred.filter("rest > 0").select(
+            F.col("node").alias("parent"), *ROW, F.posexplode("branch").alias("which", "token")
         )
-        crowds = crowds.filter("n > c.n").select(
-            F.col("node").alias("at"),
-            F.col("c.group").alias("crowd"),
-            F.col("c.n").alias("crowd_n"),
-            (F.col("n") - F.col("c.n")).alias("rest_n"),
-            ((F.col("agree") - F.col("c.agree")) / (F.col("n") - F.col("c.n"))).alias("rest_agree"),
+        rows = settle(
+            children.select(F.xxhash64("parent", "which", "token").alias("node"), "parent", *ROW), "children"
         )
-        whole = (F.col("rest_n") <= settings.compare) | (F.col("rest_agree") >= settings.alike)
-        if level == max_levels:  # what the levels did not part
-            whole = F.lit(True)
-        judged = grouped.join(crowds, F.col("node") == F.col("at")).select(
-            "node", "id", "group", *SKETCH, "crowd", "crowd_n", "rest_n", whole.alias("whole")
-        )
-        judged = settle(judged, "judged")
-        found.append(settle(_cross_pairs(judged.filter("whole").drop("whole"), settings), "cross"))
-        onward = judged.filter("not whole")
-        if onward.isEmpty():
-            break
-        rows = onward.select(F.explode(_next_tokens(F.col("node"))).alias("node"), "id", *SKETCH)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
@@ -399,6 +456,32 @@ def _sets(shingle: int):
     return run
 
 
+def _plain_sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, hashes, at in shingle_sets(batch.column(1), shingle):
+                n = len(at) - 1
+                blobs = [hashes[at[i] : at[i + 1]].tobytes() for i in range(n)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, n), pa.array(blobs, pa.binary())], names=["id", "blob"]
+                )
+
+    return run
+
+
+def sets_by_id(docs: DataFrame, id_col: str, text_col: str, ids: DataFrame, settings: Settings) -> DataFrame:
+    """(id, blob) of the documents whose id is in the stored table; the hashes ascend in each blob."""
+    texts = docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")
+    )
+    sets = map_arrow(by_ids(texts, ids, "id", "left_semi"), _plain_sets(settings.shingle), "id long, blob binary")
+    return sets.filter(F.octet_length("blob") > 0)
+
+
+#: Roles (16 bytes each) that may be sent to every executor.
+MAX_BROADCAST_ROLES = 500_000
+
+
 def confirmed(
     docs: DataFrame, id_col: str, text_col: str, pairs: DataFrame, settings: Settings, per_key: int = 256
 ) -> DataFrame:
@@ -430,8 +513,8 @@ def confirmed(
     texts = docs.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")
     )
-    count = roles.count()
-    if count <= MAX_BROADCAST_IDS // 4:
+    # A pair makes two roles at most.
+    if 2 * dealt.count() <= MAX_BROADCAST_ROLES:
         chosen = texts.join(F.broadcast(roles), "id")
     else:
         chosen = texts.join(roles.hint("merge"), "id")
@@ -471,10 +554,12 @@ def near_duplicates(
     def confirm(pairs: DataFrame) -> DataFrame:
         return confirmed(docs, id_col, text_col, pairs, settings)
 
-    pairs, near_leaders = candidates(classes, settings, confirm)
+    pairs, stars = candidates(
+        classes, settings, lambda ids: sets_by_id(docs, id_col, text_col, ids, settings)
+    )
     links = settle(confirm(settle(pairs, "candidates")), "links")
-    if near_leaders is not None:
-        links = links.unionByName(near_leaders)
+    if stars is not None:
+        links = links.unionByName(stars)
     # Rows that repeat an id tie the classes of their texts together.
     repeated = (
         full.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")

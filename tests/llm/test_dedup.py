@@ -136,14 +136,14 @@ def template_rows(n, shared, own, planted):
     return rows, twins
 
 
-@pytest.mark.parametrize("shared, own, compare", [(104, 25, 512), (34, 80, 64)])
-def test_near_duplicates_among_large_groups_of_one_template(spark, shared, own, compare):
+@pytest.mark.parametrize("shared, own, levels", [(104, 25, 8), (104, 25, 0), (34, 80, 8)])
+def test_near_duplicates_among_large_groups_of_one_template(spark, shared, own, levels):
     rows, twins = template_rows(1200, shared, own, 60)
     assert 0.7 < min(twins) and max(twins) < 0.9
     expected, _ = brute_components(rows)
     assert len(set(expected.values())) == 1200 - sum(x >= 0.75 for x in twins)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    settings = near_dedup.Settings(compare=compare)
+    settings = near_dedup.Settings(max_levels=levels)  # 0: all pairs in blocks
     found = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(docs, settings=settings).collect()}
     assert found == expected
 
