@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.common import SPACE, by_ids, settle, text_of
+from stratum.llm.common import SPACE, by_ids, fresh, settle, text_of
 
 KEY = ["sha", "size", "second"]
 
@@ -98,12 +98,12 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     again = docs.filter(F.col(f"`{id_col}`").isNull()).unionByName(
         by_ids(docs, mixed.filter("id is not null"), id_col, "left_semi")
     )
+    picked, wanted = fresh(docs, "picked_of_row", "picked")
     chosen = (
         marked.filter("kept")
         .join(mixed.withColumnRenamed("id", "mixed_id"), F.col("id").eqNullSafe(F.col("mixed_id")))
-        .select(F.struct(F.col("id"), F.col("text_sha256")).alias("picked"))
+        .select(F.struct(F.col("id"), F.col("text_sha256")).alias(wanted))
     )
-    picked, wanted = "picked_of_row", "picked"
     again = again.withColumn(
         picked, F.struct(F.col(f"`{id_col}`").alias("id"), F.sha2(normalised(text_of(text_col)), 256).alias("text_sha256"))
     )

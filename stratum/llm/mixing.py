@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from stratum.llm.common import number_rows, settle
+from stratum.llm.common import fresh, number_rows, settle
 
 MAX_SOURCES = 1_000_000
 MAX_BROADCAST_ROWS = 100_000
@@ -199,21 +199,24 @@ def with_positions(
 ) -> DataFrame:
     """All rows of ``docs`` with all their columns, their slot and their position in the mix.
 
-    Rows that share id and source take one place.
+    Rows that share id and source take one place; null ids and sources are values like others. Texts
+    are not read. An empty table gives an empty one. Columns named as the new ones (in any letter case)
+    are replaced.
     """
+    taken = {slot.lower(), position.lower()}
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
     units = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source")).distinct()
     placed = mix(units, "id", "source", **options).select(
         F.struct("id", "source").alias("unit"), "slot", "position"
     )
-    unit = "unit_of_row"
+    unit, other = fresh(docs, "unit_of_row", "unit_in_mix")
     keyed = docs.withColumn(
         unit, F.struct(F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").cast("string").alias("source"))
     )
     placed = placed.select(
-        F.col("unit").alias(f"{unit}_r"), F.col("slot").alias(slot), F.col("position").alias(position)
+        F.col("unit").alias(other), F.col("slot").alias(slot), F.col("position").alias(position)
     )
-    joined = keyed.join(placed, F.col(unit).eqNullSafe(F.col(f"{unit}_r")))
-    return joined.drop(unit, f"{unit}_r")
+    return keyed.join(placed, F.col(unit).eqNullSafe(F.col(other))).drop(unit, other)
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
@@ -221,6 +224,6 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
 
     Rows that share id and source take one place and stay together.
     """
-    slot, position = "slot_in_mix", "position_in_mix"
+    slot, position = fresh(docs, "slot_in_mix", "position_in_mix")
     placed = with_positions(docs, id_col, source_col, slot, position, **options)
     return placed.orderBy(position).drop(slot, position)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -17,6 +19,7 @@ from stratum.llm.common import map_arrow
 from stratum.llm.textbytes import Slice
 
 FLATTEN = 1.0
+DECODED_ROWS = 256  # lists of ids spelled at a time
 
 
 def default_model() -> str:
@@ -26,6 +29,17 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def _ship(spark: SparkSession, model_file: str) -> str:
+    """Hand the model file to the executors, where its path need not exist; gives its name there."""
+    spark.sparkContext.addFile(model_file)
+    return os.path.basename(model_file)
+
+
+def _located(name: str) -> str:
+    """Path of a shipped file on this machine."""
+    return SparkFiles.get(name)
+
+
 def _append(docs: DataFrame, out: str, kind, batch_column) -> DataFrame:
     rest = [c for c in docs.columns if c.lower() != out.lower()]
     kept = docs.select(*[F.col(f"`{c}`") for c in rest])
@@ -98,9 +112,10 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", model_file
 
     Null and empty texts have no ids. A column named ``out`` is replaced.
     """
-    model_file = model_file or default_model()
+    model_name = _ship(docs.sparkSession, model_file or default_model())
 
     def column(batch: pa.RecordBatch, names: list[str]) -> pa.Array:
+        model_file = _located(model_name)
         found = [
             _lists(*_encode_slice(part, pieces.units_of(part), model_file))
             for part in pieces.text_slices(batch.column(names.index(text_col)))
@@ -117,18 +132,24 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model_file:
     replacement character. Null ids give null, no ids the empty text. A column named ``out`` is
     replaced.
     """
-    model_file = model_file or default_model()
+    model_name = _ship(rows.sparkSession, model_file or default_model())
 
     def column(batch: pa.RecordBatch, names: list[str]) -> pa.Array:
+        model_file = _located(model_name)
+        lists = batch.column(names.index(ids_col))
+        pieces_known = len(pieces.vocabulary(model_file, FLATTEN).spelled)
         texts = []
-        spelled = pieces.vocabulary(model_file, FLATTEN).spelled
-        for ids in batch.column(names.index(ids_col)).to_pylist():
-            if ids is None:
-                texts.append(None)
-                continue
-            raw = b"".join(spelled[i] for i in ids if i is not None and 0 <= i < len(spelled))
-            texts.append(raw.removeprefix(b" ").decode("utf-8", "replace"))
-        return pa.array(texts, pa.string())
+        for first in range(0, len(lists), DECODED_ROWS):
+            part = lists.slice(first, DECODED_ROWS)
+            ids = part.flatten().fill_null(-1).to_numpy()
+            at = np.concatenate([[0], np.cumsum(part.value_lengths().fill_null(0).to_numpy(), dtype=np.int64)])
+            known = (ids >= 0) & (ids < pieces_known)
+            at = np.concatenate([[0], np.cumsum(known, dtype=np.int64)])[at]
+            letters, ends = pieces.spell(ids[known].astype(np.int64), at, model_file, FLATTEN)
+            raw, ends = letters.tobytes(), ends.tolist()
+            spelled = [raw[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            texts.append(pa.array(spelled, pa.string(), mask=part.is_null().to_numpy(zero_copy_only=False)))
+        return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
     return _append(rows, out, StringType(), column)
 
@@ -171,9 +192,10 @@ def sample_encodings(
     """
     if k < 1:
         raise ValueError("k is at least 1")
-    model_file = model_file or default_model()
+    model_name = _ship(docs.sparkSession, model_file or default_model())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model_file = _located(model_name)
         vocab = pieces.vocabulary(model_file, flatten)
         for batch in batches:
             keys = pieces.mix(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -202,7 +224,7 @@ def sample_encodings(
             numbers(log_prob),
             numbers(perturbed),
             numbers(inclusion),
-            pa.array(_same_text(part, docs, ids, at, model_file, flatten)),
+            pa.array(_same_text(part, docs, ids, at, _located(model_name), flatten)),
             pa.array(_digest(ids, at)),
         ]
         if with_ids:

@@ -31,7 +31,11 @@ from stratum.llm.textbytes import IS_LETTER, Hashes, Slice, slices, words
 
 BITS = 18
 BEGINNINGS = (4, 5, 6)  # bytes
-LONGEST_WORD = 32  # bytes; longer ones count by what begins at each of their characters, too
+# Words longer than this many bytes, and words of scripts written without spaces, where a run of letters
+# is a clause, count by what begins at each of their characters, too. Those scripts (Chinese, Japanese,
+# Thai, Khmer and others) have letters of three bytes, those of two bytes divide words by spaces.
+LONGEST_WORD = 32
+THREE_BYTES = 0xE0
 KEEP = 8192  # features of a model
 PLACES = 1 << 19  # bytes of long words looked at together
 
@@ -47,7 +51,9 @@ def _features(part: Slice) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         starts = runs.starts[use]
         ends = runs.ends[use] if size == 0 else starts + size
         yield doc[use], _feature(hashes.of(starts, ends), kind)
-    long = length > LONGEST_WORD
+    beyond = np.zeros(len(part.data) + 1, np.int32)
+    np.cumsum(part.data >= THREE_BYTES, out=beyond[1:], dtype=np.int32)
+    long = (length > LONGEST_WORD) | (beyond[runs.ends] > beyond[runs.starts])
     first, last, doc = runs.starts[long], runs.ends[long], doc[long]
     until = np.cumsum(last - first)
     for lo in range(0, int(until[-1]) if len(until) else 0, PLACES):

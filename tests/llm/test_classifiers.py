@@ -112,6 +112,26 @@ def test_toxic_terms_late_in_a_run_without_spaces_count(spark):
     assert sum((r["score"] >= 0.5) != bool(r["toxic"]) for r in scored) <= 0.02 * len(scored)
 
 
+@pytest.mark.parametrize("length", [3, 6, 9, 10, 12, 30])
+def test_toxic_terms_in_short_runs_of_a_script_without_spaces_count(spark, length):
+    rng = random.Random(length)
+    script = [chr(0x4E00 + i) for i in range(900)]
+    term = chr(0x6E00) + chr(0x6E01) + chr(0x6E02)
+
+    def text(toxic):
+        clauses = ["".join(rng.choices(script, k=length)) for _ in range(7)]
+        if toxic:  # as late in a clause as it fits
+            at = max(0, length - 4)
+            clauses[rng.randrange(7)] = "".join(rng.choices(script, k=at)) + term + rng.choice(script)
+        return rng.choice([" ", ", "]).join(clauses)
+
+    rows = [(i, text(i % 4 == 0), int(i % 4 == 0)) for i in range(1200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train_toxicity(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    scored = toxicity.score_toxicity(table, model).filter(held_out("doc_id")).collect()
+    assert sum((r["score"] >= 0.5) != bool(r["toxic"]) for r in scored) <= 0.02 * len(scored)
+
+
 def test_training_takes_one_text_of_a_repeated_id(spark, monkeypatch):
     rows = [(i, f"{'nasty' if i % 4 == 0 else 'kind'} words {i}", int(i % 4 == 0)) for i in range(400)]
     repeated = next(i for i in range(0, 400, 4) if zlib.crc32(str(i).encode()) % 5)

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from stratum.llm import exact_dedup, mixing, near_dedup
 
@@ -34,6 +36,33 @@ def test_operators_do_not_swallow_missing_parts():
     assert [name for name, _ in corpus_pipeline.STAGES][:3] == ["toxicity", "exact dedup", "near dedup"]
 
 
+def awkward(docs):
+    """Columns named as every helper might be."""
+    names = ["slot", "Position", "unit_of_row", "unit_in_mix", "slot_in_mix", "position_in_mix", "toxicity_score",
+             "picked_of_row", "picked", "id", "n", "kept", "bucket", "row", "component_id"]
+    return docs.withColumns({name: F.lit(name) for name in names})
+
+
+def test_stages_take_odd_rows_empty_tables_and_clashing_columns(spark, sf_dir, odd_documents, no_documents):
+    docs = awkward(odd_documents)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.columns == docs.columns, name
+        docs = corpus_pipeline.settle(kept, "odd")
+        assert docs.filter("slot <> 'slot' or picked <> 'picked' or toxicity_score <> 'toxicity_score'").count() == 0
+    ids = sorted((r["doc_id"], len(r["text"] or "")) for r in docs.collect())
+    # One of the equal texts, one of the empty ones, and both texts of the repeated id.
+    assert ids == [(1, 32), (3, 0), (5, 32), (5, 150_003), (6, 1), (7, 5), (8, 100_000)]
+    encoded = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert encoded.filter("not round_trip").count() == 0
+    found = {(r["doc_id"], r["sample"]): r for r in encoded.collect()}
+    assert {number for _, number in found} == {0, 1, 2}
+    assert sorted({r["position"] for r in found.values()}) == list(range(6))
+    empty = awkward(no_documents)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).collect() == []
+
+
 def test_rows_have_their_place_in_the_mix(spark):
     rows = [(i, f"text number {i} of some words", "big" if i % 3 else None) for i in range(700)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
