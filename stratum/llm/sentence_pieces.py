@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from stratum.llm import pieces
-from stratum.llm.common import map_arrow
+from stratum.llm.common import fresh, map_arrow
 from stratum.llm.textbytes import Slice
 
 FLATTEN = 1.0
@@ -233,7 +233,8 @@ def sample_encodings(
         return pa.RecordBatch.from_arrays(columns, names=names)
 
     key = F.col(f"`{id_col}`")
-    light = docs.select(key.alias(id_col), F.xxhash64(key).alias("key"), F.col(f"`{text_col}`").cast("string").alias("text"), *[F.col(f"`{c}`") for c in carry])
+    hashed, text = fresh(docs, "key", "text_read")
+    light = docs.select(key.alias(id_col), F.xxhash64(key).alias(hashed), F.col(f"`{text_col}`").cast("string").alias(text), *[F.col(f"`{c}`") for c in carry])
     schema = StructType([light.schema[0], *StructType.fromDDL(_SAMPLES).fields])
     if with_ids:
         schema = schema.add("ids", ArrayType(IntegerType()))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratum.llm import exact_dedup, mixing, near_dedup
+from stratum.llm import exact_dedup, mixing, near_dedup, queries, sentence_pieces
 
 
 def test_stages_take_effect(spark, sf_dir):
@@ -89,3 +89,15 @@ def test_rows_have_their_place_in_the_mix(spark):
     found = sorted(found, key=lambda r: r["position"])
     assert [r["position"] for r in found] == list(range(700))
     assert [(r["slot"], source[r["doc_id"]]) for r in found] == expected
+
+
+def test_sentencepiece_query_decodes_its_ids(spark, sf_dir):
+    rows = queries.op8_sentencepiece(spark, sf_dir)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert rows.columns[-1] == "ids" and rows.filter("not round_trip or size(ids) <> n_ids").count() == 0
+    assert rows.filter("sample = 0").count() == docs.count() and rows.filter("sample = 2").count() > 0.9 * docs.count()
+
+
+def test_decoding_takes_null_and_unknown_ids(spark):
+    rows = spark.createDataFrame([(None,), ([],), ([-1, 10**6, None],)], "ids array<int>")
+    assert [r["text"] for r in sentence_pieces.decode(rows).collect()] == [None, "", ""]
