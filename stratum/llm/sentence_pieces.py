@@ -125,6 +125,17 @@ def encode(docs: DataFrame, text_col: str = "text", out: str = "ids", model_file
     return _append(docs, out, ArrayType(IntegerType()), column)
 
 
+def _spelled(ids: np.ndarray, at: np.ndarray, model_file: str, flatten: float):
+    """Bytes that sequences of ids spell, and where the text of each begins and ends: the space that
+    the tokenizer puts before a text is no part of it."""
+    letters, ends = pieces.spell(ids, at, model_file, flatten)
+    begin, end = ends[:-1], ends[1:]
+    full = np.flatnonzero(end > begin)
+    before = np.zeros(len(begin), np.int64)
+    before[full] = letters[begin[full]] == 32
+    return letters, begin + before, end
+
+
 def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model_file: str | None = None) -> DataFrame:
     """``rows`` with the text that the ids spell.
 
@@ -145,9 +156,9 @@ def decode(rows: DataFrame, ids_col: str = "ids", out: str = "text", model_file:
             at = np.concatenate([[0], np.cumsum(part.value_lengths().fill_null(0).to_numpy(), dtype=np.int64)])
             known = (ids >= 0) & (ids < pieces_known)
             at = np.concatenate([[0], np.cumsum(known, dtype=np.int64)])[at]
-            letters, ends = pieces.spell(ids[known].astype(np.int64), at, model_file, FLATTEN)
-            raw, ends = letters.tobytes(), ends.tolist()
-            spelled = [raw[a:b].removeprefix(b" ").decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+            letters, begin, end = _spelled(ids[known].astype(np.int64), at, model_file, FLATTEN)
+            raw = letters.tobytes()
+            spelled = [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist())]
             texts.append(pa.array(spelled, pa.string(), mask=part.is_null().to_numpy(zero_copy_only=False)))
         return pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
@@ -244,14 +255,11 @@ def sample_encodings(
 
 
 def _same_text(part, docs, ids, at, model_file, flatten) -> np.ndarray:
-    """Whether the ids of each text spell a space and the text (nothing for an empty one)."""
-    letters, spelled_at = pieces.spell(ids, at, model_file, flatten)
-    size = part.offsets[docs + 1] - part.offsets[docs]
-    same = np.diff(spelled_at) == size + (size > 0)
+    """Whether the ids of each text decode to it."""
+    letters, begin, end = _spelled(ids, at, model_file, flatten)
+    first = part.offsets[docs]
+    size = part.offsets[docs + 1] - first
+    same = end - begin == size
     for j in np.flatnonzero(same & (size > 0)):
-        lo = spelled_at[j]
-        begin = part.offsets[docs[j]]
-        same[j] = letters[lo] == 32 and np.array_equal(
-            letters[lo + 1 : spelled_at[j + 1]], part.data[begin : begin + size[j]]
-        )
+        same[j] = np.array_equal(letters[begin[j] : end[j]], part.data[first[j] : first[j] + size[j]])
     return same
