@@ -201,6 +201,19 @@ def _positives(k: int):
     return run
 
 
+def _once(exact: Callable, n: int) -> Callable:
+    """``exact`` with each of its ``n`` rows scored once, for searches that share an anchor."""
+    scores, known = np.zeros(n, np.int64), np.zeros(n, bool)
+
+    def of(rows: np.ndarray) -> np.ndarray:
+        new = rows[~known[rows]]
+        if len(new):
+            scores[new], known[new] = exact(new), True
+        return scores[rows]
+
+    return of
+
+
 def _negatives(k: int, low_percent: int, high_percent: int):
     def run(key: tuple, rows: pa.Table, anchors: pa.Table) -> pa.Table:
         ids, names = rows.column("id").to_numpy(), anchors.column("id").to_numpy()
@@ -209,6 +222,7 @@ def _negatives(k: int, low_percent: int, high_percent: int):
         for place, mine, same, low, high, exact in _cells(rows, anchors):
             other = np.flatnonzero(~same)
             bounds = (low[other], high[other], ids[mine[other]])
+            scored = _once(lambda r, o=other, e=exact: e(o[r]), len(other))
             known = {}  # positives of equal score share their band
             for positive in positives[place]:
                 score = positive["positive_score"]
@@ -216,7 +230,7 @@ def _negatives(k: int, low_percent: int, high_percent: int):
                     floor, ceiling = -(-low_percent * score // 100), high_percent * score // 100
                     known[score] = (np.zeros(0, np.int64),) * 2
                     if floor <= ceiling:
-                        known[score] = best_rows(*bounds, lambda r, o=other, e=exact: e(o[r]), k, floor, ceiling)
+                        known[score] = best_rows(*bounds, scored, k, floor, ceiling)
                 chosen, scores = known[score]
                 n = len(chosen)
                 found.append((
