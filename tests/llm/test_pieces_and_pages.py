@@ -1,5 +1,6 @@
 import html
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -153,6 +154,35 @@ def test_reader_takes_broken_markup():
     assert html_extract.blocks(read("a < b &lt; c <!-- no --> d"), np.ones(9, bool)) == "a < b < c d"
 
 
+def text_of_all(source):
+    page = read(source)
+    return html_extract.blocks(page, np.ones(len(page.tag), bool))
+
+
+def test_reader_takes_quotes_formulas_and_slashes():
+    assert text_of_all("<p title=it's>one</p><p title='a > b' class=\"x'y\">two</p>") == "one\ntwo"
+    assert text_of_all("<p data-a = '\"' b=>three</p><a href=/x/>four</a> <b \"q>five</b>") == "three\nfour five"
+    assert text_of_all("<p>let <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn></math> be</p>") == "let x=2 be"
+    assert text_of_all("<script src=a.js/>var a = 1;</script><p>six</p><div/>seven</div><svg/>eight") == "six\nseven\neight"
+
+
+@pytest.mark.parametrize(
+    "source",
+    ["<b>{0}</i>{0}", "<i><div><b>{0}</i>{0}", "<div>{0}<li></li>{0}", "<p><b>{0}</td>{0}<p>{0}", "<a b=c{0}", "<x y='{0}>"],
+)
+def test_reader_is_linear(source):
+    def page(n):
+        return re.sub(r"(<[^<]*>|.)\{0\}", lambda m: m[1] * n, source)
+
+    def seconds(n):
+        start = time.process_time()
+        read(page(n))
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 2.0
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "u", ""), (3, "u", "plain text only"), (4, "u", "<p>" * 3000 + "deep"), (4, "u", "<!-- cut")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
