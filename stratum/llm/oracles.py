@@ -38,23 +38,33 @@ with d as (
            len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
              - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))))
              as n_dup_lines,
+           len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) as n_lines,
            coalesce(n, 0) as n_repeat_words
     from d left join covered c on d.doc_id = c.doc_id
 ), judged as (
     select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts
-), hosts as (
-    select source, count(*) as docs, count(*) filter (base_failed) as failed from judged group by source
-), moments as (
-    select avg(failed / docs) as m, coalesce(var_samp(failed / docs), 0) as v, avg(1 / docs) as inv,
-           avg(docs) as size
-    from hosts
-), prior as (
-    select m, case when m * (1 - m) > 0 and v / (m * (1 - m)) - inv > 0
+), failures as (
+    select source, rule, count(*) as docs, count(*) filter (failed) as failed from (
+        select source, unnest(['short', 'repeated_words', 'repeated_lines', 'symbols', 'word_length']) as rule,
+               unnest([n_words < 50, 100 * n_repeat_words > 50 * n_words, 10 * n_dup_lines > 3 * n_lines,
+                       10 * n_symbols > n_words, word_chars < 3 * n_words or word_chars > 10 * n_words]) as failed
+        from judged)
+    group by source, rule
+), others as (
+    select h.source, h.rule, any_value(h.docs) as docs, any_value(h.failed) as failed,
+           avg(o.failed / o.docs) as m, coalesce(var_samp(o.failed / o.docs), 0) as v,
+           avg(1 / o.docs) as inv, avg(o.docs) as size
+    from failures h left join failures o on h.rule = o.rule and h.source is distinct from o.source
+    group by h.source, h.rule
+), priors as (
+    select *, case when m * (1 - m) > 0 and v / (m * (1 - m)) - inv > 0
                    then greatest(2, (1 - inv) / (v / (m * (1 - m)) - inv) - 1)
                    else greatest(2, size) end as s
-    from moments
+    from others
 ), verdicts as (
-    select source, (failed + m * s) / (docs + s) > 0.5 as host_rejected from hosts, prior
+    select source, coalesce(bool_or((failed + m * s) / (docs + s) - m
+                                    > 4 * greatest(sqrt(m * (1 - m) / (s + 1)), 0.05)), false) as host_rejected
+    from priors group by source
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rejected,
        not base_failed and not host_rejected as kept

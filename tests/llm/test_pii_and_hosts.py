@@ -3,9 +3,10 @@ import re
 import time
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
-from stratum.llm import host_rules, pii
+from stratum.llm import host_rules, oracles, pii, queries
 
 BASE_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -133,7 +134,70 @@ def test_small_hosts_are_shrunk_and_bad_ones_turned_down(spark):
     assert len(judged) == len(rows)
     assert all(r["kept"] for r in by_host["ok3"]) and all(r["kept"] for r in by_host[None])
     assert not any(r["kept"] for r in by_host["bad"]) and all(r["host_rejected"] for r in by_host["bad"])
-    assert by_host["tiny"][0]["host_rate"] < 0.9 and not by_host["tiny"][0]["kept"]
+    assert by_host["tiny"][0]["host_rates"]["short"] < 0.9 and not by_host["tiny"][0]["kept"]
+    assert not by_host["tiny"][0]["host_rejected"] and by_host["bad"][0]["host_failed"] == ["short"]
+
+
+def brute_rejected(rows):
+    """Hosts that are turned down, by the rules applied to the counts of each text."""
+    fails = {}
+    for host, text in rows:
+        words, chars, symbols, doubled, repeated = brute_counts(text)
+        lines = len([x for x in (text or "").split("\n") if x.strip(" \t\n\v\f\r")])
+        of_text = (words < 50, 2 * repeated > words, 10 * doubled > 3 * lines, 10 * symbols > words,
+                   not 3 * words <= chars <= 10 * words)
+        fails.setdefault(host, []).append(of_text)
+    out = set()
+    for host, own in fails.items():
+        rest = [x for other, x in fails.items() if other != host]
+        for rule in range(5):
+            rates = [sum(x[rule] for x in r) / len(r) for r in rest]
+            if not rates:
+                continue
+            m = sum(rates) / len(rates)
+            v = sum((r - m) ** 2 for r in rates) / (len(rates) - 1) if len(rates) > 1 else 0.0
+            inverse = sum(1 / len(r) for r in rest) / len(rest)
+            size = sum(map(len, rest)) / len(rest)
+            beyond = v / (m * (1 - m)) - inverse if m * (1 - m) > 0 else 0.0
+            s = max(2.0, (1 - inverse) / beyond - 1) if beyond > 0 else max(2.0, size)
+            shrunk = (sum(x[rule] for x in own) + m * s) / (len(own) + s)
+            if shrunk - m > 4 * max((m * (1 - m) / (s + 1)) ** 0.5, 0.05):
+                out.add(host)
+    return out
+
+
+def test_query_turns_hosts_down(spark, tmp_path):
+    """Hosts whose texts pass the base rules, but are full of symbols or of repeated lines."""
+    rng = random.Random(12)
+
+    def text(kind):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 8))) for _ in range(90)]
+        if kind == "symbols":
+            words = [w + "#" * rng.randint(0, 1) for w in words]
+        if kind == "lines":
+            return "\n".join([*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))] + ["the same line"] * 100)
+        return "\n".join(" ".join(words[i : i + 9]) for i in range(0, 90, 9))
+
+    rows = []
+    for h in range(15):
+        rows += [(f"host{h}", text("lines" if rng.random() < 0.1 else "plain")) for _ in range(rng.randint(5, 40))]
+    rows += [("symbols", text("symbols" if i % 10 else "plain")) for i in range(60)]
+    rows += [("lines", text("lines" if i % 4 else "plain")) for i in range(60)]
+    rows += [("small", text("symbols")), (None, text("plain")), ("empty", None)]
+    docs = [(i, text, "en", host) for i, (host, text) in enumerate(rows)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").coalesce(1).write.parquet(path)
+    found = {r["doc_id"]: r for r in queries.op6_host_rules(spark, str(tmp_path)).collect()}
+    rejected = {host for i, (host, _) in enumerate(rows) if found[i]["host_rejected"]}
+    assert rejected == brute_rejected(rows) and {"symbols", "lines"} <= rejected
+    assert not rejected & {"small", None, *(f"host{h}" for h in range(15))}
+    clean = [found[i] for i, (host, _) in enumerate(rows) if host == "symbols" and i % 10 == 0]
+    assert clean and not any(r["kept"] for r in clean)
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{path}/*.parquet'")
+    twin = {r[0]: r[-2:] for r in duck.execute(oracles.OP6).fetchall()}
+    assert twin == {i: (r["host_rejected"], r["kept"]) for i, r in found.items()}
+    assert brute_rejected([("only", text("symbols"))] * 50) == set()
 
 
 def test_odd_rows_are_judged(odd_documents, no_documents):
