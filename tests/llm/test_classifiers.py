@@ -1,10 +1,12 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 
-from stratum.llm import queries, rule_ensemble, toxicity, trees
+from stratum.llm import queries, rule_ensemble, textbytes, toxicity, trees
 from stratum.llm.labelled import held_out
 
 
@@ -132,6 +134,74 @@ def test_toxic_terms_in_short_runs_of_a_script_without_spaces_count(spark, lengt
     assert sum((r["score"] >= 0.5) != bool(r["toxic"]) for r in scored) <= 0.02 * len(scored)
 
 
+def plain_stats(text):
+    words = re.findall(r"[^ \t-\r]+", text)
+    n, chars = max(len(words), 1), max(len(text), 1)
+    share = lambda some: sum(c in some for c in text) / chars
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    return {
+        "words": len(words), "word_length": sum(map(len, words)) / n, "distinct_words": len(set(words)) / n,
+        "symbols": share("#*$%&<>"), "bars": share("|"), "marks": share("!?"), "upper": share(upper),
+        "digits": share(digits), "lines": text.count("\n") / n if words else 0.0,
+        "longest_line_words": max(len(re.findall(r"[^ \t-\r]+", x)) for x in text.split("\n")),
+    }
+
+
+def test_quality_query_equals_rules_applied_one_by_one(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    model = rule_ensemble.train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert model.rules
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    for r in queries.op3_rule_ensemble(spark, sf_dir).collect():
+        stats = plain_stats(texts[r["doc_id"]])
+        total = model.intercept
+        for rule, weight in zip(model.rules, model.weights):
+            if all((stats[rule_ensemble.STATS[f]] > cut) == above for f, above, cut in rule):
+                total += weight
+        score = 1 / (1 + math.exp(-total))
+        assert r["score"] == pytest.approx(score, abs=1e-9) and r["predicted"] == (score >= 0.3)
+
+
+def plain_feature(raw, kind):
+    """The hashed feature of some letters, in whole numbers of Python."""
+    x = sum(int(textbytes._BYTE_VALUE[textbytes.LOWER[b]]) * pow(textbytes._BASE, i, 1 << 64) for i, b in enumerate(raw))
+    x = (x + len(raw) * 0xD6E8FEB86659FD93) % (1 << 64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> shift)) * factor % (1 << 64)
+    return ((x ^ (x >> 31)) >> (20 + kind)) & (2**toxicity.BITS - 1)
+
+
+def plain_features(text):
+    found = set()
+    for run in re.findall(rb"[A-Za-z\x80-\xff]+", text.encode()):
+        found.add(plain_feature(run, 0))
+        inner = len(run) > 32 or max(run) >= 0xE0
+        starts = [i for i in range(len(run)) if i == 0 or (inner and run[i] & 0xC0 != 0x80)]
+        for kind, size in enumerate((4, 5, 6), 1):
+            for i in starts:
+                if len(run) - i > size or (i and len(run) - i == size):
+                    found.add(plain_feature(run[i : i + size], kind))
+    return found
+
+
+def test_toxicity_query_equals_weights_added_one_by_one(spark, tmp_path):
+    rng = random.Random(21)
+    words = ["kind", "gentle", "überall", "nasty", "nastiest", "漢字仮名交", "q" * 40, "été", "a", "ab-cd", "ไทยไม่มีช่องว่าง"]
+    rows = [(i, " ".join(rng.choices(words[:3] + words[5:] + (words[3:5] if i % 3 == 0 else []), k=12))) for i in range(300)]
+    rows += [(300, None), (301, ""), (302, "1 2 3")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int("nast" in (t or ""))) for i, t in rows], "doc_id long, quality int, toxic int")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    model = toxicity.train_toxicity(docs, labels)
+    assert np.count_nonzero(model.weights)
+    texts = dict(rows)
+    for r in queries.op10_toxicity(spark, str(tmp_path)).collect():
+        margin = model.bias + sum(float(model.weights[f]) for f in plain_features(texts[r["doc_id"]] or ""))
+        score = 1 / (1 + math.exp(-margin))
+        assert r["score"] == pytest.approx(score, abs=1e-5) and r["predicted"] == (r["score"] >= 0.5)
+
+
 def test_training_takes_one_text_of_a_repeated_id(spark, monkeypatch):
     rows = [(i, f"{'nasty' if i % 4 == 0 else 'kind'} words {i}", int(i % 4 == 0)) for i in range(400)]
     repeated = next(i for i in range(0, 400, 4) if zlib.crc32(str(i).encode()) % 5)
