@@ -406,8 +406,8 @@ def _state_below(lat: Lattice, edge: int) -> int:
     return int(np.searchsorted(lat.edges_from, edge, "right")) - 1
 
 
-def text_slices(column: pa.Array):
-    return slices(column, BATCH_BYTES)
+def text_slices(column: pa.Array, limit: int = BATCH_BYTES):
+    return slices(column, limit)
 
 
 @lru_cache(maxsize=4)
