@@ -111,34 +111,100 @@ def number_rows(
     number each bucket starts from, and a window numbers the rows inside it. So the numbering
     follows (bucket, order) and depends on the rows alone if ``order`` is a total order. ``rows``
     spares the counting job. Null group values are a group. Rows equal in all of ``order`` share a
-    bucket and are numbered arbitrarily among themselves.
+    bucket and are numbered arbitrarily among themselves; where they make it over four times too
+    large it is cut, see ``_number_heavy``. An empty table gives an empty one. A column named ``out``
+    is replaced.
     """
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() != out.lower()])
     if rows is None:
         rows = df.count()
     buckets = max(1, -(-rows // rows_per_bucket))
     bucket, count, start, key = fresh(df, "bucket", "bucket_rows", "bucket_start", "bucket_key")
+    key_r, bucket_r, *groups_r = fresh(df, f"{key}_r", f"{bucket}_r", *[f"{g}_r" for g in group])
     keys = [F.col(f"`{g}`") for g in group]
     dealt = df.withColumn(bucket, F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)))
     # One shuffle key for both sides, so the counted and the numbered rows meet without another.
     dealt = dealt.withColumn(key, F.xxhash64(*keys, F.col(bucket)))
-    sizes = dealt.groupBy(key, bucket, *group).agg(F.count(F.lit(1)).alias(count))
-    before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn(start, F.coalesce(F.sum(count).over(before), F.lit(0)))
-    starts = starts.select(
-        F.col(key).alias(f"{key}_r"),
-        F.col(bucket).alias(f"{bucket}_r"),
-        F.col(start),
-        *[F.col(f"`{g}`").alias(f"{g}_r") for g in group],
+    sizes = dealt.groupBy(key, bucket, *keys).agg(F.count(F.lit(1)).alias(count))
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn(start, F.coalesce(F.sum(count).over(before), F.lit(0))).select(
+        F.col(key).alias(key_r),
+        F.col(bucket).alias(bucket_r),
+        *[k.alias(g) for k, g in zip(keys, groups_r, strict=True)],
+        count,
+        start,
     )
-    inside = Window.partitionBy(key, bucket, *group).orderBy(*order)
-    numbered = dealt.withColumn(out, F.row_number().over(inside).cast("long"))
-    on = (F.col(key) == F.col(f"{key}_r")) & (F.col(bucket) == F.col(f"{bucket}_r"))
-    for g in group:
-        on = on & F.col(f"`{g}`").eqNullSafe(F.col(f"`{g}_r`"))
-    return numbered.join(starts, on).select(
+    starts = settle(starts, "bucket-starts")
+    on = (F.col(key) == F.col(key_r)) & (F.col(bucket) == F.col(bucket_r))
+    for k, g in zip(keys, groups_r, strict=True):
+        on = on & k.eqNullSafe(F.col(f"`{g}`"))
+
+    def numbered(part: DataFrame) -> DataFrame:
+        inside = Window.partitionBy(key, bucket, *keys).orderBy(*order)
+        part = part.withColumn(out, F.row_number().over(inside).cast("long"))
+        return part.join(starts, on).select(
+            *[F.col(f"`{c}`") for c in df.columns],
+            (F.col(start) + F.col(out) - 1).alias(out),
+        )
+
+    heavy = starts.filter(F.col(count) > 4 * rows_per_bucket)
+    n_heavy, rows_heavy = heavy.agg(F.count(F.lit(1)), F.sum(count)).first()
+    if not n_heavy:
+        return numbered(dealt)
+    heavy = F.broadcast(heavy) if n_heavy <= MAX_BROADCAST_IDS else heavy.hint("merge")
+    hot = dealt.join(heavy, on).select(
         *[F.col(f"`{c}`") for c in df.columns],
-        (F.col(start) + F.col(out) - 1).alias(out),
+        F.struct(*[k.alias(f"g{i}") for i, k in enumerate(keys)], F.col(bucket).alias("b")).alias(bucket),
+        F.ceil(F.col(count) / rows_per_bucket).alias(count),
+        start,
+    )
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows_heavy // 1_000_000))
+    cut = _number_heavy(hot, df.columns, bucket, count, start, order, out, rows_per_bucket, parts)
+    return numbered(dealt.join(heavy, on, "left_anti")).unionByName(cut)
+
+
+def _number_heavy(
+    hot: DataFrame,
+    columns: Sequence[str],
+    bucket: str,
+    pieces: str,
+    start: str,
+    order: Sequence[str | Column],
+    out: str,
+    chunk: int,
+    parts: int,
+) -> DataFrame:
+    """The rows of buckets that hold many rows of equal order, numbered from the start of their bucket.
+
+    The hash of the whole row deals the rows of a bucket to pieces. Rows equal in every column are
+    counted before the shuffle and take a run of numbers; it is handed out in chunks by ``parts``
+    tasks. (Columns of maps, which Spark can't group, can't be numbered here.)
+    """
+    content = [F.col(f"`{c}`") for c in columns]
+    copies, hashed, piece, first, at = fresh(hot, "copies", "row_hash", "piece", "first_number", "chunk_at")
+    bucket_p, piece_p, piece_start = fresh(hot, "bucket_of_piece", "piece_no", "piece_start")
+    rows = hot.groupBy(*content, bucket, pieces, start).agg(F.count(F.lit(1)).alias(copies))
+    rows = rows.withColumn(hashed, F.xxhash64(*content, F.lit(29)))
+    rows = settle(rows.withColumn(piece, F.pmod(F.col(hashed), F.col(pieces))), "heavy-rows")
+    before = Window.partitionBy(bucket).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(bucket, piece).agg(F.sum(copies).alias(piece_start))
+    sizes = sizes.withColumn(piece_start, F.coalesce(F.sum(piece_start).over(before), F.lit(0))).select(
+        F.col(bucket).alias(bucket_p), F.col(piece).alias(piece_p), piece_start
+    )
+    inside = Window.partitionBy(bucket, piece).orderBy(*order, hashed).rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn(first, F.coalesce(F.sum(copies).over(inside), F.lit(0))).join(
+        sizes, (F.col(bucket) == F.col(bucket_p)) & (F.col(piece) == F.col(piece_p))
+    )
+    placed = placed.select(
+        *content,
+        copies,
+        (F.col(start) + F.col(piece_start) + F.col(first)).alias(first),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col(copies) - 1, F.lit(chunk).cast("long"))).alias(at),
     )
+    last = F.least(F.col(at) + chunk, F.col(copies)) - 1
+    return placed.repartition(parts, first, at).select(
+        *content, first, F.explode(F.sequence(F.col(at), last)).alias(at)
+    ).select(*content, (F.col(first) + F.col(at)).alias(out))
 
 
 def by_ids(df: DataFrame, ids: DataFrame, column: str, how: str) -> DataFrame:

@@ -40,7 +40,8 @@ def assign_shards(
     """Add the shard of each row, without a shuffle.
 
     Rows of equal keys share a shard. Nulls in the key are values like any other, so a row without
-    a key has a shard too. A column named ``out`` is replaced.
+    a key has a shard too. Texts are not read unless they are in the key. An empty table gives an
+    empty one. A column named ``out`` is replaced.
     """
     return df.withColumn(out, rendezvous([F.col(f"`{k}`") for k in key], weights).cast("int"))
 
@@ -48,7 +49,11 @@ def assign_shards(
 def add_slots(
     df: DataFrame, shard: str, order: Sequence[str], out: str = "slot", rows: int | None = None
 ) -> DataFrame:
-    """Number the rows of each shard from 0 without gaps; see ``number_rows``."""
+    """Number the rows of each shard from 0 without gaps; see ``number_rows``.
+
+    Rows that repeat an id (or have none) get numbers of their own, however many they are. A null
+    shard is a shard. An empty table gives an empty one.
+    """
     return number_rows(df, [shard], order, out, rows)
 
 

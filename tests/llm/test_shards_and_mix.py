@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.llm import mixing, queries, sharding
+from stratum.llm.common import number_rows
 
 
 def test_rendezvous_moves_rows_only_into_the_new_shard(spark):
@@ -35,14 +36,36 @@ def test_sharding_query(spark, sf_dir):
 
 def test_slots_are_gapless_over_many_buckets(spark):
     rows = spark.range(5_000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("bucket"))
-    from stratum.llm.common import number_rows
-
     found = number_rows(rows, ["bucket"], ["k"], "n", rows_per_bucket=100).collect()
     for g in range(3):
         own = sorted(r["n"] for r in found if r["bucket"] == g)
         assert own == list(range(len(own)))
 
 
+def test_one_key_with_a_third_of_the_rows_is_cut(spark):
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") < 6_000, F.col("id")).when(F.col("id") < 7_500, 7).alias("k"),
+        F.when(F.col("id") < 8_000, F.col("id") % 50).alias("shard_r"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("shard"),
+        F.lit("old").alias("SLOT"),
+    )
+    numbered = number_rows(rows, ["shard"], ["k"], "slot", rows_per_bucket=100).collect()
+    assert sorted(numbered[0].asDict()) == ["k", "shard", "shard_r", "slot"]
+    plain = Counter((r["k"], r["shard_r"], r["shard"]) for r in rows.collect())
+    assert Counter((r["k"], r["shard_r"], r["shard"]) for r in numbered) == plain
+    assert max(plain.values()) > 300  # rows equal in every column, in a bucket for 100
+    for shard in (None, 1, 2):
+        assert sorted(r["slot"] for r in numbered if r["shard"] == shard) == list(range(3_000))
+
+
+def test_windows_hold_pieces_of_a_hot_key(spark):
+    rows = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("v"), F.lit("s").alias("shard"))
+    numbered = number_rows(rows, ["shard"], ["k"], "slot", rows_per_bucket=500)
+    per_task = [n for n in numbered.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() if n]
+    assert sum(per_task) == 20_000 and max(per_task) < 10_000
+    assert numbered.select("slot").distinct().count() == 20_000
+
+
 def test_odd_rows_are_sharded(odd_documents, no_documents):
     weights = dict.fromkeys(range(4), 1.0)
     placed = sharding.add_slots(sharding.assign_shards(odd_documents, ["doc_id"], weights), "shard", ["doc_id"])
