@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from stratum.llm.pii import IBAN_LENGTHS
+
 _SPACE = r"[\x20\x09-\x0D]+"
 
 OP5 = rf"""
@@ -127,18 +129,60 @@ _EVERY = {
     "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
     "card": r"[0-9](?:[\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+    "iban": r"[A-Z]{2}[0-9]{2}",  # where a number can begin; the rest is looked at from there
     "national_id": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 
+#: An account number of its country's length with nothing glued to it; a window of 160 characters
+#: holds the longest number and one that begins inside it.
+_KNOWN = "|".join(rf"{e[:2]}[0-9]{{2}}(?: ?[A-Z0-9]){{{int(e[2:]) - 4}}}" for e in IBAN_LENGTHS.split())
+_END = r"(?:[^A-Za-z0-9]|\z)"
+
 OP4 = rf"""
 with docs as (select doc_id, coalesce(text, '') as text from documents),
-found as ({" union all ".join(_spans(k, p) for k, p in _EVERY.items())}),
-shaped as (
+simple as ({" union all ".join(_spans(k, p) for k, p in _EVERY.items() if k not in ("iban", "national_id"))}),
+ids as (
+    select * from ({_spans("national_id", _EVERY["national_id"])})
+    where not regexp_matches(coalesce(text[start:start], ''), '[A-Za-z0-9-]')
+      and not regexp_matches(text[start + length(value) + 1:start + length(value) + 1], '[A-Za-z0-9-]')
+), begins as (
+    select doc_id, text, start, text[start + 1:start + 160] as w
+    from ({_spans("iban", _EVERY["iban"])})
+    where start = 0 or not regexp_matches(text[start:start], '[A-Za-z0-9]')
+), cut as (
+    -- a number of a country that isn't listed ends before the next one that is
+    select doc_id, text, start, regexp_extract(w, '^({_KNOWN}){_END}', 1) as known,
+           case when regexp_matches(w, ' (?:{_KNOWN}){_END}')
+                then regexp_extract(w, '(?s)^(.*?) (?:{_KNOWN}){_END}', 1) else w end as rest
+    from begins
+), proposed as (
+    select *, case when known <> '' then known else regexp_extract(rest, '^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]){{11,30}}') end as value
+    from cut
+), placed as (
+    select doc_id, any_value(text) as text, list([start, start + length(value)] order by start) as areas
+    from proposed
+    where value <> '' and (known <> '' or not regexp_matches(rest[length(value) + 1:length(value) + 1], '[A-Za-z0-9]'))
+    group by doc_id
+), taken as (
+    -- leftmost first, none inside another: the end of the last one taken, then starts and ends
+    select doc_id, text, list_reduce(list_prepend([0::bigint], areas),
+        lambda a, x: case when x[1] >= a[1] then [x[2]] || a[2:] || x else a end) as flat
+    from placed
+), numbers as (
+    select doc_id, text, flat[2 * i] as start, flat[2 * i + 1] as stop
+    from (select *, unnest(range(1, len(flat) // 2 + 1)) as i from taken)
+), found as (
+    select doc_id, kind, value, text, around, start from simple
+    union all
+    select doc_id, kind, value, text,
+           right(text[coalesce(lag(start + length(value)) over w, 0) + 1:start], 40) || ' '
+             || left(text[start + length(value) + 1:coalesce(lead(start) over w, length(text))], 40), start
+    from ids window w as (partition by doc_id order by start)
+    union all
+    select doc_id, 'iban', text[start + 1:stop], text, '', start from numbers
+), shaped as (
     select *, start + length(value) as stop, regexp_replace(value, '[^0-9]', '', 'g') as digits,
-           regexp_replace(value, ' ', '', 'g') as compact,
-           start = 0 or not regexp_matches(text[start:start], '[A-Za-z0-9]') as free_before,
-           not regexp_matches(text[start + length(value) + 1:start + length(value) + 1], '[A-Za-z0-9]') as free_after
+           regexp_replace(value, ' ', '', 'g') as compact
     from found
 ), checked as (
     select * from shaped where case kind
@@ -149,13 +193,12 @@ shaped as (
             lambda i: case when (length(digits) - i) % 2 = 0 then cast(digits[i] as int)
                       else cast(digits[i] as int) * 2 - case when cast(digits[i] as int) > 4 then 9 else 0 end end)) % 10 = 0
         when 'phone' then length(digits) between 9 and 15
-        when 'iban' then free_before and free_after and length(compact) between 15 and 34 and list_reduce(
+        when 'iban' then length(compact) between 15 and 34 and list_reduce(
             list_prepend(0, list_transform(string_split(compact[5:] || compact[:4], ''),
                 lambda c: cast(case when c between '0' and '9' then ascii(c) - 48 else ascii(c) - 55 end as bigint))),
             lambda a, c: (case when c < 10 then a * 10 + c else a * 100 + c end) % 97) = 1
-        else free_before and free_after and coalesce(text[start:start], '') <> '-' and text[stop + 1:stop + 1] <> '-'
-             and 0.4 + case when regexp_matches(around, '(?i)\b(?:ssn|social security|national id|tax id|passport)') then 0.25 else 0 end
-                 - case when regexp_matches(around, '(?i)\b(?:example|version|isbn|order no|serial|sku|build)') then 0.3 else 0 end >= 0.5
+        else 0.4 + case when regexp_matches(around, '(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:ssn|social security|national id|tax id|passport)') then 0.25 else 0 end
+                 - case when regexp_matches(around, '(?i)(?:^|[^\p{{L}}\p{{N}}_])(?:example|version|isbn|order no|serial|sku|build)') then 0.3 else 0 end >= 0.5
     end
 ), listed as (
     select doc_id, kind, start, kind || ':' || start || ':' || stop as item,

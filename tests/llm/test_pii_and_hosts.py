@@ -82,6 +82,27 @@ def test_account_numbers_before_capitals_and_digits(spark):
         assert [s["value"] for s in spans if s["kind"] == "iban"] == expected
 
 
+def test_query_equals_its_twin_on_account_numbers(spark, tmp_path):
+    rng = random.Random(44)
+    parts = ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB29NWBK60161331926819", "NO93 8601 1117 947"]
+    parts += ["XX12 3456 7890 1234 567", "US64SVBKUS6S3300958879", "DE88370400440532013000", "AB12", "REF", "Thanks", "12"]
+    parts += ["A" * 9, "7" * 14, "é", "_", "-", "\n", "DE89", "078-05-1120", "ssn"]
+    joints = [" ", " ", " ", "  ", "", ".", "_"]
+    texts = ["".join(rng.choice(parts) + rng.choice(joints) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    # An unlisted country's number with a right checksum, alone and before a listed one.
+    unlisted = next(f"XX{c:02d}ABCD1234567" for c in range(2, 99) if int(f"1011121312345673333{c:02d}") % 97 == 1)
+    texts += [unlisted, f"{unlisted} DE89370400440532013000", f"{unlisted} A", f"é{unlisted}"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    got = sorted(map(tuple, queries.op4_pii(spark, str(tmp_path)).select(*names).collect()))
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    expected = sorted(duck.execute(f"select {', '.join(names)} from ({oracles.OP4})").fetchall())
+    assert [(texts[g[0]], g[-1], e[-1]) for g, e in zip(got, expected, strict=True) if g != e] == []
+    assert sum("iban" in g[-1] for g in got) > 500 and "iban" in got[3000][-1] and got[3001][-1].count("iban") == 2
+
+
 def test_context_moves_scores_but_base_spans_stay(spark):
     with_word, without, against = found(spark, ["call +1 279 555 0216", "xyz +1 279 555 0216", "version +1 279 555 0216"])
     assert with_word[0]["score"] > without[0]["score"] > against[0]["score"]
