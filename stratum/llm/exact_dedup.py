@@ -65,7 +65,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Per row of ``docs``: id, keep_id, group_size, kept and text_sha256.
 
     Null texts count as empty. Of rows that share both id and text one stays. Of rows without an id
-    one stays if no row with an id has the text. Other columns are not read.
+    one stays if no row with an id has the text. Texts of any length count whole. An empty table gives
+    an empty one. Other columns are not read.
     """
     # The row number tells equal rows apart; stored, it can't change when a task is repeated.
     rows = settle(

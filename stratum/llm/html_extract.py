@@ -408,7 +408,8 @@ def extract(
     """``pages`` with the main text of each whole page in the column ``out`` (replaced if it exists).
 
     One line per block. Null and empty pages, and pages without main text, have an empty text.
-    Nothing is shuffled; a task holds the nodes of a hundred pages at a time.
+    Equal pages have equal texts, and an empty table gives an empty one. Nothing is shuffled; a task
+    holds the nodes of a hundred pages at a time.
     """
     model = model or train()
     rest = [c for c in pages.columns if c.lower() != out.lower() or c == html_col]

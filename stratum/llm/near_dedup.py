@@ -537,7 +537,8 @@ def near_duplicates(
 
     A-Z count as a-z. Null and empty texts have no shingles and stay, linked with nothing. Rows
     without an id have no component and stay. Rows that repeat an id are one document: they are
-    linked with each other through it. Other columns of ``docs`` are not read.
+    linked with each other through it. An empty table gives an empty one. Other columns of ``docs`` are
+    not read.
     """
     rows = settle(set_signatures(docs, id_col, text_col, settings), "sets")
     identified = rows.filter("doc_id is not null")

@@ -163,7 +163,8 @@ def train_quality(
     """Fit on at most ``sample`` labelled documents outside the held-out fold.
 
     The sample's ids (bounded, so broadcast) pick their texts in one pass; only statistics, ten
-    numbers a row, reach the driver.
+    numbers a row, reach the driver: of at most twice ``sample`` rows if ids repeat. Rows without an id
+    or a label teach nothing. Without any row to learn from there are no rules and every score is 0.5.
     """
     chosen = sampled_ids(labels, id_col, label_col, sample)
     rows = (
@@ -183,6 +184,7 @@ def score_quality(
 ) -> DataFrame:
     """``docs`` with the score (0 to 1, higher: better) in a column that is replaced if it exists.
 
-    Null and empty texts have statistics of 0 and are scored like any other text.
+    Null and empty texts have statistics of 0 and are scored like any other text. A score follows from
+    the whole text alone, so equal rows have equal scores. An empty table gives an empty one.
     """
     return docs.withColumn(out, model.score(text_stats(text_of(text_col))))

@@ -200,6 +200,7 @@ def sample_encodings(
 
     Draws depend on the id, the text and nothing else; equal ids share them. ``round_trip`` says
     that the ids spell the whole text. Null and empty texts have one segmentation, of no ids.
+    Repeated rows give repeated rows, an empty table an empty one.
     Columns named in ``carry`` come last, others are left out. Texts are worked on in slices of about
     ``slice_bytes``: a quarter of them saves 100 MB a worker and takes an eighth more time.
     """
