@@ -25,13 +25,17 @@ def latest_per_key(
     that holds a large share of the table.
     """
     if tie_breakers is None:
-        used = {*keys, *order_by}
-        tie_breakers = [f.name for f in df.schema if f.name not in used and _orderable(f.dataType)]
+        tie_breakers = default_tie_breakers(df, [*keys, *order_by])
     ranking = [_quoted(df, name).desc_nulls_last() for name in (*order_by, *tie_breakers)]
     window = Window.partitionBy(*[_quoted(df, key) for key in keys]).orderBy(*ranking)
     return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def default_tie_breakers(df: DataFrame, used: Sequence[str]) -> list[str]:
+    """All orderable columns but those already used."""
+    return [f.name for f in df.schema if f.name not in used and _orderable(f.dataType)]
+
+
 def _quoted(df: DataFrame, name: str):
     return df[f"`{name}`"]
 

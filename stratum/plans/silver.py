@@ -6,11 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.functions.dates import resolve_timestamp
-from stratum.operators.dedupe import latest_per_key
+from stratum.operators.dedupe import default_tie_breakers, latest_per_key
 from stratum.operators.scd2 import scd2_frame
 from stratum.sources.registry import DEFAULT_PARTITION_COLUMN
 
@@ -87,37 +87,114 @@ def changed_facts(
     key = "transaction_id"
     day_of = F.col(f"`{partition_column}`")
     days = [F.lit(str(day)).cast("date") for day in days]
-    landed = bronze.filter(day_of.isin(*days))
-    candidates = keep_valid_transactions(cast_transactions(landed))
+    in_days = F.coalesce(day_of.isin(*days), F.lit(False))
+    candidates = keep_valid_transactions(cast_transactions(bronze.filter(day_of.isin(*days))))
+    touched = _ids(candidates, key)
     # Winners of a changed day; a day landed for the first time has none.
-    unsure = facts.filter(day_of.isin(*days)).select(F.col(key).alias("_id"))
-    landed_before = not unsure.isEmpty()
-    if landed_before:
-        rest = cast_transactions(bronze.filter(~F.coalesce(day_of.isin(*days), F.lit(False))))
-        rest = keep_valid_transactions(rest)
-        candidates = candidates.unionByName(_of_ids(rest, key, unsure.distinct(), "left_semi"))
-    touched = candidates.select(F.col(key).alias("_id"))
-    touched = (touched.union(unsure) if landed_before else touched).distinct()
+    unsure = _ids(facts.filter(day_of.isin(*days)), key)
+    if not unsure.isEmpty():
+        rest = keep_valid_transactions(cast_transactions(bronze.filter(~in_days)))
+        candidates = candidates.unionByName(_of_ids(rest, key, unsure))
+        touched = touched.union(unsure)
 
     at = "transaction_date"
     stored_by = F.col(at) if stored_by is None else stored_by
-    old_dates = _of_ids(facts.select(key, at), key, touched, "left_semi").select(at)
+    old_dates = _of_ids(facts.select(key, at), key, touched).select(at)
     new_dates = candidates.select(F.to_date("transaction_ts").alias(at))
     dates = [row[0] for row in old_dates.union(new_dates).select(stored_by).distinct().collect()]
     held = facts.filter(_among(stored_by, dates))
-    names = bronze.columns
-    old = _of_ids(held, key, touched, "left_semi").filter(~F.coalesce(day_of.isin(*days), F.lit(False)))
-    old = old.select(*[f"`{name}`" for name in names if name in set(facts.columns)])
-    rivals = candidates.unionByName(old, allowMissingColumns=True)
-    latest = latest_per_key(rivals, [key], ["_ingested_at"], tie_breakers)
-    made = enrich_transactions(latest).withColumn("_processed_at", resolve_timestamp(processed_at))
-    kept = _of_ids(held, key, touched, "left_anti")
-    return FactChange(made.unionByName(kept, allowMissingColumns=True), dates)
-
-
-def _of_ids(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
-    """Rows with (``left_semi``) or without (``left_anti``) one of the ids; null is an id, too."""
-    return df.join(ids, F.col(key).eqNullSafe(F.col("_id")), how)
+    return FactChange(_merged(candidates, held, in_days, key, resolve_timestamp(processed_at), tie_breakers), dates)
+
+
+_DERIVED = ("amount_usd", "transaction_date", "transaction_hour", "_processed_at")
+_ID = ["_of_id", "_no_id"]
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    """The key as two columns in which null is an id, too: they group and join by plain equality, so
+    what is grouped by them is joined where it lies."""
+    return df.withColumns({_ID[0]: F.coalesce(F.col(key), F.lit("")), _ID[1]: F.col(key).isNull()})
+
+
+def _ids(df: DataFrame, key: str) -> DataFrame:
+    return _keyed(df.select(key), key).select(_ID)
+
+
+def _of_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows with one of the ids."""
+    return _keyed(df, key).join(ids.distinct(), _ID, "left_semi").drop(*_ID)
+
+
+def _merged(
+    candidates: DataFrame,
+    held: DataFrame,
+    gone: Column,
+    key: str,
+    processed_at: Column,
+    tie_breakers: Sequence[str] | None,
+) -> DataFrame:
+    """The held partitions after the best candidate of each key has met the stored rows of that key.
+
+    A ``gone`` row only marks its key as touched. Rows of other keys stay as they are. Candidates and
+    stored rows are shuffled by their key once: the join finds both where the windows left them.
+    """
+    names = candidates.columns
+    values = [name for name in names if name != key]
+    shared = [name for name in held.columns if name in names]
+    own = [name for name in held.columns if name not in names or name in _DERIVED]
+    if tie_breakers is None:
+        tie_breakers = default_tie_breakers(candidates, [key, "_ingested_at"])
+    ranking = ["_ingested_at", *tie_breakers]
+    both = candidates.unionByName(held.select(*[f"`{name}`" for name in shared]), allowMissingColumns=True)
+    kind = {field.name: field.dataType for field in both.schema}
+
+    best = latest_per_key(_keyed(candidates, key).drop(key), _ID, ["_ingested_at"], tie_breakers)
+    best = best.select(*_ID, *[F.col(f"`{name}`").cast(kind[name]).alias(name) for name in values], F.lit(True).alias("_new"))
+
+    def kept(name: str) -> Column:
+        return F.when(~F.col("_gone"), F.col(f"`{name}`"))
+
+    stored = _keyed(held, key).withColumn("_gone", gone)
+    stored = stored.select(
+        *_ID,
+        "_gone",
+        *[(kept(name) if name in shared else F.lit(None)).cast(kind[name]).alias(f"_old_{name}") for name in values],
+        *[kept(name).alias(f"_stored_{name}") for name in own],
+    )
+    group = Window.partitionBy(*_ID)
+    order = [F.col(f"`_old_{name}`").desc_nulls_last() for name in ranking]
+    stored = stored.withColumns(
+        {"_nth": F.row_number().over(group.orderBy("_gone", *order)), "_any_gone": F.max("_gone").over(group)}
+    )
+
+    new, old_gone = F.coalesce(F.col("_new"), F.lit(False)), F.coalesce(F.col("_gone"), F.lit(True))
+    of_new = F.struct(*[F.col(f"`{name}`").alias(f"_{i}") for i, name in enumerate(ranking)])
+    of_old = F.struct(*[F.col(f"`_old_{name}`").alias(f"_{i}") for i, name in enumerate(ranking)])
+    met = best.join(stored, _ID, "full_outer").withColumns(
+        {
+            "_touched": new | F.coalesce(F.col("_any_gone"), F.lit(False)),
+            "_wins": new & (old_gone | (of_new >= of_old)),  # nulls are the least in structs
+        }
+    )
+    first = (F.coalesce(F.col("_nth"), F.lit(1)) == 1) & (F.col("_wins") | ~old_gone)
+    rows = met.filter(~F.col("_touched") | first).withColumns(
+        {
+            key: F.when(~F.col(_ID[1]), F.col(_ID[0])),
+            **{name: F.when(F.col("_wins"), F.col(f"`{name}`")).otherwise(F.col(f"`_old_{name}`")) for name in values},
+        }
+    )
+    made = enrich_transactions(rows).withColumn("_processed_at", processed_at)
+
+    def final(name: str) -> Column:
+        again = F.col(name) if name in _DERIVED else F.lit(None)
+        as_it_is = F.col(f"`_stored_{name}`") if name in own else F.lit(None)
+        return F.when(F.col("_touched"), again).otherwise(as_it_is).alias(name)
+
+    return made.select(
+        *[F.col(f"`{name}`") for name in names if name not in _DERIVED],
+        *[final(name) for name in _DERIVED],
+        *[final(name) for name in own if name not in _DERIVED],
+    )
 
 
 def _among(column: Column, values: Sequence) -> Column:

@@ -188,3 +188,30 @@ def test_command_line_with_catalog(spark, tmp_path, config):  # noqa: F811
     assert spark.table("cli_silver.fct_transactions").count() == 4
     assert main(["expire", "--as-of", "9000-01-01", *common]) == 0
     assert spark.table("cli_bronze.customer_transactions").count() == 0
+
+
+def test_change_moves_each_row_by_its_id_once(spark, tmp_path):
+    day = [datetime(2024, 1, d) for d in (1, 2)]
+    old = [(f"t{i}", "c", "5", f"2023-12-{i % 28 + 1:02d} 10:00:00") for i in range(100)]
+    land(spark.createDataFrame([*old, (None, "c", "4", "2023-12-01 10:00:00")], BRONZE), str(tmp_path / "b"), "s", day[0])
+    bronze = tables.load_table_files(spark, f"{tmp_path}/b/s")
+    path = str(tmp_path / "fct")
+    facts = silver.silver_transactions(bronze, day[0])
+    # A repeated id that is not touched stays as it is, a touched one is reduced.
+    repeated = facts.filter("transaction_id in ('t3', 't31')").withColumn("note", F.lit("again"))
+    tables.overwrite_table(facts.unionByName(repeated, allowMissingColumns=True), path, "transaction_date")
+    landed = [("t3", "c", "9", "2023-12-04 11:00:00"), (None, "d", "7", "2023-12-04 12:00:00"), ("u", "c", "1", None)]
+    land(spark.createDataFrame(landed, BRONZE), str(tmp_path / "b"), "s", day[1])
+    bronze = tables.load_table_files(spark, f"{tmp_path}/b/s")
+    change = silver.changed_facts(bronze, tables.read_table(spark, path), [day[1].date()], day[1])
+    assert sorted(change.dates, key=str) == [date(2023, 12, 1), date(2023, 12, 4), None]
+    found = change.rows.filter("transaction_id in ('t3', 't31', 'u') or transaction_id is null")
+    assert rows(found.select("transaction_id", "customer_id", "amount_usd", "_processed_at", "note")) == sorted(
+        [
+            ("t3", "c", 9.0, day[1], None), ("t31", "c", 5.0, day[0], None), ("t31", "c", 5.0, day[0], "again"),
+            ("u", "c", 1.0, day[1], None), (None, "d", 7.0, day[1], None),
+        ],
+        key=repr,
+    )
+    plan = plan_of(change.rows)
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 2
