@@ -44,6 +44,7 @@ class Units(NamedTuple):
     per_doc: np.ndarray  # index of the first unit of each document, documents + 1
     first: np.ndarray  # a unit of each distinct kind
     kind: np.ndarray  # per unit
+    hashes: np.ndarray  # per distinct kind
 
 
 def units_of(part: Slice) -> Units:
@@ -56,8 +57,11 @@ def units_of(part: Slice) -> Units:
     new[offsets[:-1][size > 0]] = True
     starts = np.flatnonzero(new)
     ends = np.append(starts[1:], len(data)) if len(starts) else starts
-    _, first, kind = np.unique(_case_hashes(data, starts, ends), return_index=True, return_inverse=True)
-    return Units(data, starts, ends, np.searchsorted(starts, offsets), first, kind)
+    coded = pa.array(CaseHashes(data).of(starts, ends)).dictionary_encode()  # in the order they appear
+    kind = coded.indices.to_numpy().astype(np.int64)
+    first = np.empty(len(coded.dictionary), np.int64)
+    first[kind[::-1]] = np.arange(len(kind))[::-1]
+    return Units(data, starts, ends, np.searchsorted(starts, offsets), first, kind, coded.dictionary.to_numpy())
 
 
 @lru_cache(maxsize=4)
@@ -209,10 +213,18 @@ _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9],
 
 def _uniform(key: np.ndarray, *place: np.ndarray | int) -> np.ndarray:
     """A draw in (0, 1) for up to three numbers that name its place, under the row's mixed key."""
+    return _drawn(_placed(key, *place))
+
+
+def _placed(key: np.ndarray, *place: np.ndarray | int) -> np.ndarray:
     x = key.astype(np.uint64)
     with np.errstate(over="ignore"):
         for factor, p in zip(_PLACES, place, strict=False):
             x += np.asarray(p).astype(np.uint64) * factor
+    return x
+
+
+def _drawn(x: np.ndarray) -> np.ndarray:
     x = mix(x)
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -223,15 +235,15 @@ def _walk(lat: Lattice, state: np.ndarray, key: np.ndarray, unit: np.ndarray, dr
     count = np.zeros(len(state), np.int64)
     who = np.flatnonzero(state >= 0)
     state = state[who]
+    place = _placed(key, unit, step, draw)[who]
     while len(who):
-        done = count.take(who)
-        edge = lat.choose(state, _uniform(key.take(who), unit.take(who), step.take(who) + done, draw))
+        edge = lat.choose(state, _drawn(place))
         walks.append(who)
         edges.append(edge)
-        count[who] = done + 1
+        count[who] = len(walks)
         state = lat.target.take(edge)
         on = np.flatnonzero(state >= 0)
-        who, state = who.take(on), state.take(on)
+        who, state, place = who.take(on), state.take(on), place.take(on) + _PLACES[1]  # the next step
     at = np.concatenate([[0], np.cumsum(count)])
     out = np.empty(at[-1], np.int64)
     for i, (w, e) in enumerate(zip(walks, edges, strict=True)):
@@ -263,7 +275,7 @@ def sample(part: Slice, keys: np.ndarray, k: int, vocab: Vocabulary, cut: Units
     The threshold is the perturbed value of what would come next, -inf if nothing is left.
     """
     docs = len(part.offsets) - 1
-    data, starts, ends, units_at, sample_of, kind = cut or units_of(part)
+    data, starts, ends, units_at, sample_of, kind, _ = cut or units_of(part)
     lat = lattice(data, starts[sample_of], ends[sample_of], vocab)
     first_state = lat.first_state[kind] if len(starts) else np.zeros(0, np.int64)
     doc_of_unit = np.repeat(np.arange(docs), np.diff(units_at))
@@ -336,12 +348,11 @@ def _fan(lat: Lattice, edge: int, edge_state: np.ndarray) -> int:
     return int(lat.edges_from[s + 1] - lat.edges_from[s])
 
 
-def _case_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes that tell upper from lower case: the shared ones don't, so case goes in by its own."""
-    hashes = Hashes(data).of(starts, ends)
-    upper = ((data >= 65) & (data <= 90)).astype(np.uint64)
-    flags = Hashes((upper + 1).astype(np.uint8)).of(starts, ends)
-    return mix(hashes + flags * np.uint64(0xC2B2AE3D27D4EB4F))
+class CaseHashes(Hashes):
+    """Hashes that tell upper from lower case."""
+
+    def __init__(self, data: np.ndarray):
+        super().__init__(data, fold=False)
 
 
 def _deviate(
@@ -411,16 +422,14 @@ def text_slices(column: pa.Array, limit: int = BATCH_BYTES):
 
 
 @lru_cache(maxsize=4)
-def _spelling(model_file: str, flatten: float) -> tuple[np.ndarray, np.ndarray]:
-    spelled = vocabulary(model_file, flatten).spelled
-    return np.frombuffer(b"".join(spelled), np.uint8), np.cumsum([0, *map(len, spelled)])
+def _spelling(model_file: str, flatten: float) -> pa.Array:
+    return pa.array(vocabulary(model_file, flatten).spelled, pa.large_binary())
 
 
 def spell(ids: np.ndarray, at: np.ndarray, model_file: str, flatten: float) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of sequences of piece ids, with the space before each text, and their offsets."""
-    letters, begin = _spelling(model_file, flatten)
-    size = begin[ids + 1] - begin[ids]
-    ends = np.cumsum(size)
-    from_ = np.repeat(begin[ids] - (ends - size), size)
-    out = letters[from_ + np.arange(len(from_))]
-    return out, np.concatenate([[0], ends])[at]
+    spelled = _spelling(model_file, flatten).take(pa.array(ids))
+    _, ends, letters = spelled.buffers()
+    ends = np.frombuffer(ends, np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+    out = np.frombuffer(letters, np.uint8)[: ends[-1]] if ends[-1] else np.zeros(0, np.uint8)
+    return out, ends[at]

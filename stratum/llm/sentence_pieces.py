@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
 
@@ -20,6 +21,7 @@ from stratum.llm.textbytes import Slice
 
 FLATTEN = 1.0
 DECODED_ROWS = 256  # lists of ids spelled at a time
+KNOWN_IDS = 2_000_000  # ids of units kept from slice to slice
 
 
 def default_model() -> str:
@@ -71,16 +73,55 @@ def _encode_slice(part: Slice, cut: pieces.Units, model_file: str) -> tuple[np.n
     if not _by_unit(model_file) or pieces.SPACE_MARK.encode() in part.data.tobytes():
         raw, at = part.data.tobytes(), part.offsets.tolist()
         return _encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(at, at[1:])], model_file)
-    raw = cut.data.tobytes()
-    begin, end = cut.starts[cut.first], cut.ends[cut.first]
-    # The processor puts the first space before a text, except before an empty one.
-    names = [raw[a + 1 : b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist())]
-    ids, at = _encode(["a" if x == "" else x for x in names], model_file)
-    ids[at[:-1][end - begin == 1]] = _processor(model_file).piece_to_id(pieces.SPACE_MARK)
-    size = np.diff(at)[cut.kind]
+    ids, begin, size = _encode_units(cut, model_file)
+    size = size[cut.kind]
     ends = np.concatenate([[0], np.cumsum(size)])
-    from_ = np.repeat(at[:-1][cut.kind] - ends[:-1], size) + np.arange(ends[-1])
-    return ids[from_], ends[cut.per_doc]
+    from_ = np.repeat(begin[cut.kind] - ends[:-1], size) + np.arange(ends[-1])
+    return ids[from_].astype(np.int64), ends[cut.per_doc]
+
+
+@dataclass
+class _Known:
+    """Ids of the units of earlier slices, found by the sorted hashes of the units."""
+
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    number: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    at: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+
+
+_known: dict[str, _Known] = {}
+
+
+def _encode_units(cut: pieces.Units, model_file: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids in which each distinct unit has a place, where it begins and how many it has.
+
+    Units of earlier slices are not encoded again, until ``KNOWN_IDS`` are kept and a new store begins.
+    """
+    known = _known.get(model_file)
+    if known is None or len(known.ids) > KNOWN_IDS:
+        known = _known[model_file] = _Known()
+    order = np.argsort(cut.hashes)
+    hashes = cut.hashes[order]
+    place = np.searchsorted(known.hashes, hashes)
+    found = np.append(known.hashes, np.uint64(0))[place] == hashes
+    found &= place < len(known.hashes)
+    number = np.empty(len(hashes), np.int64)
+    number[order[found]] = known.number[place[found]]
+    if not found.all():
+        missing = order[~found]
+        raw = cut.data.tobytes()
+        begin, end = cut.starts[cut.first[missing]], cut.ends[cut.first[missing]]
+        # The processor puts the first space before a text, except before an empty one.
+        names = [raw[a + 1 : b].decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist())]
+        ids, at = _encode(["a" if x == "" else x for x in names], model_file)
+        ids[at[:-1][end - begin == 1]] = _processor(model_file).piece_to_id(pieces.SPACE_MARK)
+        number[missing] = len(known.at) - 1 + np.arange(len(missing))
+        known.hashes = np.insert(known.hashes, place[~found], hashes[~found])
+        known.number = np.insert(known.number, place[~found], number[missing])
+        known.at = np.concatenate([known.at, known.at[-1] + at[1:]])
+        known.ids = np.concatenate([known.ids, ids.astype(np.int32)])
+    return known.ids, known.at[number], known.at[number + 1] - known.at[number]
 
 
 @lru_cache(maxsize=4)
@@ -218,14 +259,14 @@ def sample_encodings(
                 n = len(part.offsets) - 1
                 cut = pieces.units_of(part)
                 ids, at = _encode_slice(part, cut, model_file)
-                yield rows(batch, part, 0, np.arange(n), ids, at, *[np.full(n, np.nan)] * 3)
+                yield rows(batch, part, cut, 0, np.arange(n), ids, at, *[np.full(n, np.nan)] * 3)
                 samples, threshold = pieces.sample(part, keys[part.first : part.first + n], k, vocab, cut)
                 for r, s in enumerate(samples):
                     with np.errstate(over="ignore"):
                         inclusion = -np.expm1(-np.exp(s.log_prob - threshold[s.docs]))
-                    yield rows(batch, part, r + 1, s.docs, s.pieces, s.at, s.log_prob, s.perturbed, inclusion)
+                    yield rows(batch, part, cut, r + 1, s.docs, s.pieces, s.at, s.log_prob, s.perturbed, inclusion)
 
-    def rows(batch, part, number, docs, ids, at, log_prob, perturbed, inclusion) -> pa.RecordBatch:
+    def rows(batch, part, cut, number, docs, ids, at, log_prob, perturbed, inclusion) -> pa.RecordBatch:
         n = len(docs)
 
         def numbers(x: np.ndarray) -> pa.Array:
@@ -238,7 +279,7 @@ def sample_encodings(
             numbers(log_prob),
             numbers(perturbed),
             numbers(inclusion),
-            pa.array(_same_text(part, docs, ids, at, _located(model_name), flatten)),
+            pa.array(_same_text(part, cut, docs, ids, at, _located(model_name), flatten)),
             pa.array(_digest(ids, at)),
         ]
         if with_ids:
@@ -257,9 +298,12 @@ def sample_encodings(
     return map_arrow(light, run, schema)
 
 
-def _same_text(part, docs, ids, at, model_file, flatten) -> np.ndarray:
+def _same_text(part, cut, docs, ids, at, model_file, flatten) -> np.ndarray:
     """Whether the ids of each text decode to it."""
     letters, begin, end = _spelled(ids, at, model_file, flatten)
+    if len(docs) == len(part.offsets) - 1 and np.array_equal(letters, cut.data):
+        if np.array_equal(end, part.offsets[1:] + np.cumsum(np.diff(part.offsets) > 0)):
+            return np.ones(len(docs), bool)
     first = part.offsets[docs]
     size = part.offsets[docs + 1] - first
     same = end - begin == size

@@ -102,12 +102,12 @@ def words(part: Slice, is_word: np.ndarray) -> Words:
 
 
 class Hashes:
-    """Hashes of any byte range of a slice in constant time each; A-Z hash as a-z."""
+    """Hashes of any byte range of a slice in constant time each; A-Z hash as a-z if ``fold``."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, fold: bool = True):
         n = len(data)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_VALUE[LOWER][data] * powers(_BASE, n), out=self.sums[1:])
+        np.cumsum((_BYTE_VALUE[LOWER] if fold else _BYTE_VALUE)[data] * powers(_BASE, n), out=self.sums[1:])
         self.back = powers(_INVERSE, n + 1)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

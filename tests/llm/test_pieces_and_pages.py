@@ -94,6 +94,29 @@ def test_ids_by_unit_are_those_of_whole_texts(spark, sf_dir, model_file, with_ma
     assert row == len(own)
 
 
+def test_units_of_earlier_slices_are_not_encoded_again(model_file, monkeypatch):
+    texts = [f"The the {i % 7} {chr(945 + i % 5)}\U0001f600 again  {'x' * (i % 3)}" for i in range(60)]
+    whole = sentence_pieces._processor(model_file).encode(texts)
+    sent, encode = [], sentence_pieces._encode
+    monkeypatch.setattr(sentence_pieces, "_encode", lambda names, model: sent.append(len(names)) or encode(names, model))
+    monkeypatch.setattr(sentence_pieces, "_known", {})
+    for kept in (sentence_pieces.KNOWN_IDS, 10):  # a full store begins anew
+        monkeypatch.setattr(sentence_pieces, "KNOWN_IDS", kept)
+        found = []
+        for part in pieces.text_slices(pa.array(texts), 200):
+            cut = pieces.units_of(part)
+            ids, at = sentence_pieces._encode_slice(part, cut, model_file)
+            found += [ids[a:b].tolist() for a, b in zip(at, at[1:])]
+            same = sentence_pieces._same_text(part, cut, np.arange(len(at) - 1), ids, at, model_file, 1.0)
+            assert same.all()
+            ids[at[1] - 1] = ids[0]  # one text is spelled otherwise
+            same = sentence_pieces._same_text(part, cut, np.arange(len(at) - 1), ids, at, model_file, 1.0)
+            assert same.tolist() == [False] + [True] * (len(at) - 2)
+        assert found == whole
+        if kept > 10:
+            assert sum(sent) < 40  # distinct units of all slices, each once
+
+
 def test_odd_rows_are_encoded(spark, odd_documents, no_documents):
     rows = sentence_pieces.sample_encodings(odd_documents, k=2).collect()
     assert all(r["round_trip"] for r in rows)
